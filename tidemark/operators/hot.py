@@ -1,0 +1,38 @@
+"""Find the few keys too large for one task, so that windows over them can be split.
+
+A window sorts one key in one task. That is fine for most keys and hopeless for a key with a third of the
+table. The list of such keys only steers how a result is computed, never what it is.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A key above this many rows is split.
+HOT_ROWS = 1_000_000
+# The list is bounded: a key that does not make it holds at most 1/10,000 of the rows.
+MAX_HOT_KEYS = 10_000
+# Instants of a split key are grouped by minute, which holds at most 60 million microseconds.
+CHUNK_SECONDS = 60
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[str]:
+    """The keys with more than ``hot_rows`` rows, largest first, at most ``MAX_HOT_KEYS`` of them.
+
+    One pass over the key column with map-side partial counts; only the bounded list reaches the driver.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+    return [row[key] for row in counts.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()]
+
+
+def split(rows: DataFrame, key: str, hot: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys if there are any. NULL keys are ordinary."""
+    if not hot:
+        return rows, None
+    listed = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} string"))
+    return rows.join(listed, key, "left_anti"), rows.join(listed, key, "left_semi")
+
+
+def minute(at: Column) -> Column:
+    """Minute number of a timestamp, zoned or not; only its order and equality matter."""
+    return F.floor(F.unix_seconds(at.cast("timestamp")) / F.lit(CHUNK_SECONDS))

@@ -1,0 +1,89 @@
+"""A table written one folder per micro-batch, so that a replayed batch replaces itself."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+
+class BatchLog:
+    """Partials of each batch under ``batches/batch_id=N``; folded ones under ``folded/upto=N``.
+
+    Writing batch N twice leaves one copy, which makes a ``foreachBatch`` sink exactly-once. ``fold`` merges
+    all batches up to N into one table, so that reads do not slow down with the age of the stream.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self._batch(batch_id))
+
+    def before(self, batch_id: int) -> DataFrame:
+        """What the batch before this one wrote, or the fold it went into. Enough where rows are cumulative."""
+        if batch_id - 1 in self._numbers("batches", "batch_id"):
+            return self._read([self._batch(batch_id - 1)])
+        return self._read([self._fold(n) for n in self._numbers("folded", "upto") if n < batch_id][-1:])
+
+    def rows(self) -> DataFrame:
+        """Everything written so far: the newest fold and the batches after it."""
+        upto = max(self._numbers("folded", "upto"), default=None)
+        later = [n for n in self._numbers("batches", "batch_id") if upto is None or n > upto]
+        paths = [self._batch(n) for n in later] + ([] if upto is None else [self._fold(upto)])
+        return self._read(paths)
+
+    def fold(self, merge: Callable[[DataFrame], DataFrame], upto: int) -> None:
+        """Replace the batches up to ``upto`` by their merge. Run it between batches, not during a read."""
+        done = max(self._numbers("folded", "upto"), default=None)
+        old = [n for n in self._numbers("batches", "batch_id") if n <= upto]
+        paths = [self._batch(n) for n in old if done is None or n > done]
+        if not paths:
+            return
+        if done is not None:
+            paths.append(self._fold(done))
+        merge(self._read(paths)).write.mode("overwrite").parquet(self._fold(upto))
+        for gone in [self._batch(n) for n in old] + ([] if done is None else [self._fold(done)]):
+            self._fs(gone).delete(self._hadoop_path(gone), True)
+
+    def _batch(self, n: int) -> str:
+        return f"{self.path}/batches/batch_id={n}"
+
+    def _fold(self, n: int) -> str:
+        return f"{self.path}/folded/upto={n}"
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        # The folder names are bookkeeping, not columns.
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*paths)
+
+    def _numbers(self, folder: str, label: str) -> list[int]:
+        """Committed folders only: a write that died half way has no ``_SUCCESS`` and is not read."""
+        root = self._hadoop_path(f"{self.path}/{folder}")
+        fs = self._fs(root.toString())
+        if not fs.exists(root):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{label}=")]
+        done = [n for n in numbers if fs.exists(self._hadoop_path(f"{self.path}/{folder}/{label}={n}/_SUCCESS"))]
+        return sorted(done)
+
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self, path: str):
+        return self._hadoop_path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+
+def run(writer, once: bool, interval: str = "10 seconds"):
+    """Start a query every ten seconds, or over what is there now and then stop."""
+    if once:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query
+    return writer.trigger(processingTime=interval).start()
+
+
+def total(rows: DataFrame, by: tuple[str, ...], count: str = "n") -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum(count).alias(count))
