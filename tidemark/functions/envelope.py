@@ -19,6 +19,15 @@ TYPE_UNKNOWN = "event_type must be one of: impression, click, dwell, like, share
 MAX_BODY_BYTES = 65536
 
 
+def computed_once(struct: Column) -> Column:
+    """The struct as a generated column, which the optimizer does not copy into filters above it.
+
+    A plain projection would be substituted into each condition on its fields, and the text parsed again
+    for every one of them.
+    """
+    return F.explode(F.array(struct))
+
+
 def decode(value: Column) -> Column:
     """Struct of the four text fields, all NULL unless the text starts with one JSON object.
 

@@ -16,16 +16,16 @@ def parse_events(wire: DataFrame, value: str = "value") -> DataFrame:
     """
     raw = F.col(value)
     kept = [c for c in wire.columns if c != value and c not in ENVELOPE.names]
-    decoded = wire.withColumn("_e", envelope.decode(raw))
-    e = F.col("_e")
-    accepted = decoded.withColumn("created_at", text.instant(e["created_at"])).where(
-        envelope.is_valid_event(e["user_id"], e["item_id"], e["event_type"], F.col("created_at"))
-        & envelope.is_scalar_id(raw, "user_id", e["user_id"])
-        & envelope.is_scalar_id(raw, "item_id", e["item_id"])
-    )
-    return accepted.select(
-        *kept, e["user_id"].alias("user_id"), e["item_id"].alias("item_id"), e["event_type"].alias("event_type"),
-        "created_at",
+    decoded = wire.select(*kept, raw.alias("_raw"), envelope.computed_once(envelope.decode(raw)).alias("_e"))
+    user_id, item_id, event_type = F.col("_e.user_id"), F.col("_e.item_id"), F.col("_e.event_type")
+    created_at = text.instant(F.col("_e.created_at"))
+    return decoded.where(
+        envelope.is_valid_event(user_id, item_id, event_type, created_at)
+        & envelope.is_scalar_id(F.col("_raw"), "user_id", user_id)
+        & envelope.is_scalar_id(F.col("_raw"), "item_id", item_id)
+    ).select(
+        *kept, user_id.alias("user_id"), item_id.alias("item_id"), event_type.alias("event_type"),
+        created_at.alias("created_at"),
     )
 
 

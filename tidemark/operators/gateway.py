@@ -19,32 +19,29 @@ def inspect_bodies(bodies: DataFrame, value: str = "value") -> DataFrame:
     decodes to an empty event and so fails validation, not parsing.
     """
     raw = F.col(value)
-    docs, doc = F.col("_docs"), F.col("_doc")
-    fits = F.octet_length(raw) <= envelope.MAX_BODY_BYTES
-    checked = (
-        bodies.withColumn("_fits", fits)
+    docs, entries = F.col("_docs"), F.col("_entries")
+    document = F.map_entries(F.coalesce(F.try_element_at(docs, F.lit(1)), _no_fields()))
+    parsed = (
+        bodies.withColumn("_fits", F.coalesce(F.octet_length(raw) <= envelope.MAX_BODY_BYTES, F.lit(True)))
         .withColumn("_docs", F.when(F.col("_fits"), envelope.sole_document(raw)))
-        .withColumn("_one", F.coalesce(F.size(docs) == 1, F.lit(False)))
-        .withColumn(
-            "_doc", F.when(F.col("_one"), F.map_entries(F.coalesce(F.try_element_at(docs, F.lit(1)), _no_fields())))
-        )
-        .withColumn("_readable", F.col("_one") & ~envelope.has_wrong_type(doc))
+        .withColumn("_entries", F.when(F.size(docs) == 1, document))
+        .withColumn("_readable", F.col("_entries").isNotNull() & ~envelope.has_wrong_type(entries))
     )
-    for name in ("user_id", "item_id", "event_type"):
-        checked = checked.withColumn(name, F.when(F.col("_readable"), envelope.text_field(doc, name)))
-    checked = checked.withColumn(
-        "problems",
-        F.when(
-            F.col("_readable"), envelope.problems(F.col("user_id"), F.col("item_id"), F.col("event_type"))
-        ),
+    names = ("user_id", "item_id", "event_type")
+    fields = parsed.withColumns({f"_{n}": F.when(F.col("_readable"), envelope.text_field(entries, n)) for n in names})
+    checked = fields.withColumn(
+        "_problems", F.when(F.col("_readable"), envelope.problems(*[F.col(f"_{n}") for n in names]))
     )
     outcome = (
-        F.when(~F.coalesce(F.col("_fits"), F.lit(True)), TOO_LARGE)
+        F.when(~F.col("_fits"), TOO_LARGE)
         .when(~F.col("_readable"), MALFORMED)
-        .when(F.col("problems") != "", INVALID)
+        .when(F.col("_problems") != "", INVALID)
         .otherwise(ACCEPTED)
     )
-    return checked.withColumn("outcome", outcome).drop("_fits", "_docs", "_one", "_doc", "_readable")
+    found = F.struct(*[F.col(f"_{n}").alias(n) for n in (*names, "problems")], outcome.alias("outcome"))
+    return checked.select(*bodies.columns, envelope.computed_once(found).alias("_found")).select(
+        *bodies.columns, "_found.*"
+    )
 
 
 def _no_fields() -> Column:
