@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators import hot as hot_groups
 
@@ -33,45 +33,43 @@ def as_of_join(
     if hot is None:
         keys = entities.select(key).unionAll(features.select(key))
         hot = hot_groups.hot_keys(keys, key)
-    found = [F.col(time).alias("seen_at"), *[F.col(n) for n in names]]
+    found = F.struct(F.col(time).alias("seen_at"), *names)
     tie = F.col(created) if created else F.lit(None).cast("timestamp")
-    history = features.select(key, F.col(time).alias("_at"), tie.alias("_tie"), F.struct(*found).alias("_found"))
+    history = features.select(key, F.col(time).alias("_at"), tie.alias("_tie"), found.alias("_found"))
     ordinary, large = hot_groups.split(entities, key, hot)
     ordinary_history, large_history = hot_groups.split(history, key, hot)
-    joined = _carry(_stack(ordinary.withColumn("_at", F.col(time)), ordinary_history), key)
-    result = _unpack(joined, entities.columns, time, names, ttl)
-    if large is None:
-        return result
-    # Of a hot key only its distinct instants are placed in time; the entity rows look the result up.
-    instants = large.select(key, F.col(time).alias("_at")).distinct()
-    resolved = _carry_by_minute(_stack(instants, large_history), key).select(key, F.col("_at").alias(time), "_found")
-    return result.unionByName(
-        _unpack(large.join(resolved, [key, time], "left"), entities.columns, time, names, ttl)
-    )
+    asked = ordinary.select(key, F.col(time).alias("_at"), F.struct(*entities.columns).alias("_row"))
+    result = _carry(_stack(asked, ordinary_history), key).select("_row.*", "_found")
+    if large is not None:
+        # Of a hot key only its distinct instants are placed in time; the entity rows look the result up.
+        instants = large.select(key, F.col(time).alias("_at")).distinct().withColumn("_row", F.struct("_at"))
+        resolved = _carry_by_minute(_stack(instants, large_history), key).select(key, F.col("_at").alias(time), "_found")
+        looked_up = large.join(resolved, [key, time], "left")
+        result = result.unionByName(looked_up.select(*entities.columns, "_found"))
+    fresh = F.col("_found.seen_at") >= F.col(time) - F.lit(ttl)
+    return result.select(*entities.columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])
 
 
 def _stack(asked: DataFrame, history: DataFrame) -> DataFrame:
+    """Both kinds of row in one table; each carries only its own struct through the sort."""
     return asked.withColumn("_side", F.lit(_ENTITY)).unionByName(
         history.withColumn("_side", F.lit(_FEATURE)), allowMissingColumns=True
     )
 
 
-def _order() -> list[Column]:
-    # Feature rows sort before entity rows of the same instant.
-    return [F.col("_at"), F.col("_side"), F.col("_tie").asc_nulls_first()]
-
-
 def _carry(stacked: DataFrame, *by: str) -> DataFrame:
-    so_far = Window.partitionBy(*by).orderBy(*_order()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Feature rows sort before entity rows of the same instant.
+    order = [F.col("_at"), F.col("_side"), F.col("_tie").asc_nulls_first()]
+    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = stacked.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far))
-    return carried.where(F.col("_side") == _ENTITY).drop("_side", "_tie")
+    return carried.where(F.col("_row").isNotNull())
 
 
 def _carry_by_minute(stacked: DataFrame, key: str) -> DataFrame:
     """``_carry`` for hot keys: within a minute, else the last feature row of the earlier minutes."""
     by_minute = stacked.withColumn("_minute", hot_groups.minute(F.col("_at")))
     earlier = Window.partitionBy(key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.max(F.when(F.col("_side") == _FEATURE, F.struct("_at", "_tie", "_found")))
+    latest = F.max(F.when(F.col("_found").isNotNull(), F.struct("_at", "_tie", "_found")))
     before = (
         by_minute.groupBy(key, "_minute")
         .agg(latest.alias("_latest"))
@@ -79,8 +77,3 @@ def _carry_by_minute(stacked: DataFrame, key: str) -> DataFrame:
     )
     within = _carry(by_minute, key, "_minute")
     return within.join(before, [key, "_minute"]).withColumn("_found", F.coalesce("_found", "_before"))
-
-
-def _unpack(joined: DataFrame, columns: list[str], time: str, names: tuple[str, ...], ttl: timedelta) -> DataFrame:
-    fresh = F.col("_found.seen_at") >= F.col(time) - F.lit(ttl)
-    return joined.select(*columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])

@@ -25,7 +25,9 @@ from tidemark.operators import hot as hot_groups
 EVENT_ROW, AVAILABILITY_ROW = 0, 1
 BOTH_ROWS = (EVENT_ROW, AVAILABILITY_ROW)
 
+# Running sums, and what is gathered from the points of one instant.
 _STATE = ("event_n", "event_clicks", "available_n", "available_clicks")
+_AT_INSTANT = {"has_event": F.max, "has_available": F.max, "first_ingested": F.min}
 
 
 def _tick_after(at: Column) -> Column:
@@ -78,23 +80,36 @@ def _count_in_key(rows: DataFrame, key: str, prefix: str) -> DataFrame:
         F.when(ingested.isNotNull(), F.greatest(ingested, _tick_after(created)))
     )
     step, start, stop = F.col("_step"), F.col("_from"), _expiry(created)
+    add = F.when(step == 0, F.coalesce(start == asked_at, F.lit(False)).cast("long")).otherwise(step)
+    carried = [c for c in rows.columns if c not in (key, "kind")]
     points = (
         rows.withColumn("_from", F.when(known_from < stop, known_from))
         .withColumn("_step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1))))
         # The asking row itself (0) adds the event when both fall on one instant.
         .where((step == 0) | (start.isNotNull() & ((step == -1) | (start != asked_at))))
-        .withColumn("_at", F.when(step == 0, asked_at).when(step == 1, start).otherwise(stop))
-        .withColumn(
-            "_add", F.when(step == 0, F.coalesce(start == asked_at, F.lit(False)).cast("long")).otherwise(step)
+        .select(
+            key,
+            "kind",
+            F.when(step == 0, asked_at).when(step == 1, start).otherwise(stop).alias("_at"),
+            add.alias("_add"),
+            F.when(F.col("clicked"), add).otherwise(0).alias("_add_click"),
+            # Only asking rows carry their columns through the sort.
+            F.when(step == 0, F.struct(*carried)).alias("_row"),
         )
     )
     # The default frame is a RANGE up to the current instant: ties see one value.
     so_far = Window.partitionBy(key, "kind").orderBy("_at")
+    counts = {"_n": F.sum("_add").over(so_far), "_clicks": F.sum("_add_click").over(so_far)}
     return (
-        points.withColumn(f"{prefix}_event_count_7d", F.sum("_add").over(so_far))
-        .withColumn(f"{prefix}_click_count_7d", F.sum(F.when(F.col("clicked"), F.col("_add")).otherwise(0)).over(so_far))
-        .where(F.col("_step") == 0)
-        .drop("_from", "_step", "_at", "_add")
+        points.withColumns(counts)
+        .where(F.col("_row").isNotNull())
+        .select(
+            key,
+            "kind",
+            *[f"_row.{c}" for c in carried],
+            F.col("_n").alias(f"{prefix}_event_count_7d"),
+            F.col("_clicks").alias(f"{prefix}_click_count_7d"),
+        )
     )
 
 
@@ -105,13 +120,25 @@ def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
     and the earliest ingestion among the events created there.
     """
     ordinary, large = hot_groups.split(events, key, hot)
-    # Each event crosses the network once; its points are made, added up and summed where it lands.
-    per_instant = _add_up(_points(ordinary.repartition(key), key), key)
-    so_far = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = _asked(per_instant.withColumns({c: F.sum(c).over(so_far) for c in _STATE}))
+    # Each event crosses the network once; its points are made, sorted and summed where it lands.
+    points = _points(ordinary.repartition(key), key)
+    so_far = Window.partitionBy(key).orderBy("at")
+    here = so_far.rangeBetween(Window.currentRow, Window.currentRow)
+    state = (
+        points.withColumns(
+            {
+                **{c: F.sum(c).over(so_far) for c in _STATE},
+                **{c: rule(c).over(here) for c, rule in _AT_INSTANT.items()},
+                "_previous": F.lag("at").over(so_far),
+            }
+        )
+        # The frames give all points of an instant the same values; keep the first.
+        .where(F.col("_previous").isNull() | (F.col("_previous") != F.col("at")))
+        .drop("_previous")
+    )
     if large is None:
-        return state
-    return state.unionByName(_split_state(large, key))
+        return _asked(state)
+    return _asked(state).unionByName(_split_state(large, key))
 
 
 def _points(events: DataFrame, key: str) -> DataFrame:
@@ -150,15 +177,6 @@ def _points(events: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _add_up(points: DataFrame, *by: str) -> DataFrame:
-    return points.groupBy(*by, "at").agg(
-        *[F.sum(c).alias(c) for c in _STATE],
-        F.max("has_event").alias("has_event"),
-        F.max("has_available").alias("has_available"),
-        F.min("first_ingested").alias("first_ingested"),
-    )
-
-
 def _asked(state: DataFrame) -> DataFrame:
     return state.where((F.col("has_event") == 1) | (F.col("has_available") == 1))
 
@@ -168,8 +186,11 @@ def _split_state(events: DataFrame, key: str) -> DataFrame:
     points = _points(events, key)
     minute = hot_groups.minute(F.col("at"))
     within = Window.partitionBy(key, "_minute").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Ties of an instant are added up before the exchange, so a burst at one instant stays small.
+    sums = [F.sum(c).alias(c) for c in _STATE]
     local = (
-        _add_up(points, key)
+        points.groupBy(key, "at")
+        .agg(*sums, *[rule(c).alias(c) for c, rule in _AT_INSTANT.items()])
         .withColumn("_minute", minute)
         .withColumns({c: F.sum(c).over(within) for c in _STATE})
     )
@@ -178,7 +199,7 @@ def _split_state(events: DataFrame, key: str) -> DataFrame:
     carried = (
         points.withColumn("_minute", minute)
         .groupBy(key, "_minute")
-        .agg(*[F.sum(c).alias(c) for c in _STATE])
+        .agg(*sums)
         .select(key, "_minute", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in _STATE])
     )
     whole = local.join(carried, [key, "_minute"])

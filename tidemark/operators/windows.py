@@ -37,7 +37,7 @@ def arrival_watermark(
     ``arrival`` is a unique integer position. A running maximum over the whole stream would be one task, so
     it is taken within runs of positions, and the maxima of the earlier runs, one row per run, are added.
     """
-    runs = events.withColumn("_run", F.floor(F.col(arrival) / F.lit(run_length)))
+    runs = events.withColumn("_run", F.col(arrival) - F.pmod(F.col(arrival), F.lit(run_length)))
     inside = Window.partitionBy("_run").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     per_run = (
