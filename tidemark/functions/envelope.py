@@ -73,32 +73,36 @@ def sole_document(value: Column) -> Column:
     return F.when(~value.contains("]") | braced.isNotNull(), wrapped)
 
 
-def _kind(entry: Column) -> Column:
-    return F.schema_of_variant(entry["value"])
-
+def known_fields(document: Column) -> Column:
+    """The known fields of a document map, in document order: lower-case name, JSON type and value."""
+    known = F.map_filter(document, lambda key, _: F.lower(key).isin(*FIELDS))
+
+    def describe(entry: Column) -> Column:
+        value = entry["value"]
+        return F.struct(
+            F.lower(entry["key"]).alias("name"), F.schema_of_variant(value).alias("kind"), value.alias("value")
+        )
 
-def _named(entry: Column, name: str) -> Column:
-    return F.lower(entry["key"]) == name
+    return F.transform(F.map_entries(known), describe)
 
 
-def has_wrong_type(entries: Column) -> Column:
+def has_wrong_type(fields: Column) -> Column:
     """A known field that is neither text nor null, or a ``created_at`` that is no RFC 3339 time."""
 
-    def wrong(entry: Column) -> Column:
-        known = F.lower(entry["key"]).isin(*FIELDS)
-        as_text = F.try_variant_get(entry["value"], "$", "string")
-        readable = as_text.rlike(text.RFC3339) & F.try_to_timestamp(as_text).isNotNull()
-        bad_time = _named(entry, "created_at") & (_kind(entry) == "STRING") & ~readable
-        return (known & ~_kind(entry).isin("STRING", "VOID")) | bad_time
+    def wrong(field: Column) -> Column:
+        at = field["value"].cast("string")
+        bad_time = ~(at.rlike(text.RFC3339) & F.try_to_timestamp(at).isNotNull())
+        return ~field["kind"].isin("STRING", "VOID") | (
+            (field["name"] == "created_at") & (field["kind"] == "STRING") & bad_time
+        )
 
-    return F.exists(entries, wrong)
+    return F.exists(fields, wrong)
 
 
-def text_field(entries: Column, name: str) -> Column:
-    """Last text value under the name in any case; empty when absent or null."""
-    hits = F.filter(entries, lambda e: _named(e, name) & (_kind(e) == "STRING"))
-    last = F.try_element_at(hits, F.lit(-1))["value"]
-    return F.coalesce(F.try_variant_get(last, "$", "string"), F.lit(""))
+def text_field(fields: Column, name: str) -> Column:
+    """Last text value under the name; empty when absent or null."""
+    hits = F.filter(fields, lambda field: (field["name"] == name) & (field["kind"] == "STRING"))
+    return F.coalesce(F.try_element_at(hits, F.lit(-1))["value"].cast("string"), F.lit(""))
 
 
 def problems(user_id: Column, item_id: Column, event_type: Column) -> Column:

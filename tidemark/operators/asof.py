@@ -24,11 +24,15 @@ def as_of_join(
     hot: list[str] | None = None,
     time: str = "event_timestamp",
     created: str | None = "created_timestamp",
+    instants: DataFrame | None = None,
 ) -> DataFrame:
     """Entity rows with the feature columns; NULL where no feature row is within the ttl (both ends count).
 
     A feature row at the very instant of an entity row is used. Of feature rows at one instant the one
     created last wins. Every entity column passes through and duplicates stay.
+
+    ``instants`` may name a cheaper frame with the same (key, time) pairs as ``entities``; it is read instead
+    of them where only the pairs of hot keys are needed.
     """
     if hot is None:
         keys = entities.select(key).unionAll(features.select(key))
@@ -42,8 +46,9 @@ def as_of_join(
     result = _carry(_stack(asked, ordinary_history), key).select("_row.*", "_found")
     if large is not None:
         # Of a hot key only its distinct instants are placed in time; the entity rows look the result up.
-        instants = large.select(key, F.col(time).alias("_at")).distinct().withColumn("_row", F.struct("_at"))
-        resolved = _carry_by_minute(_stack(instants, large_history), key).select(key, F.col("_at").alias(time), "_found")
+        pairs = large if instants is None else hot_groups.split(instants, key, hot)[1]
+        moments = pairs.select(key, F.col(time).alias("_at")).distinct().withColumn("_row", F.struct("_at"))
+        resolved = _carry_by_minute(_stack(moments, large_history), key).select(key, F.col("_at").alias(time), "_found")
         looked_up = large.join(resolved, [key, time], "left")
         result = result.unionByName(looked_up.select(*entities.columns, "_found"))
     fresh = F.col("_found.seen_at") >= F.col(time) - F.lit(ttl)

@@ -19,16 +19,16 @@ def inspect_bodies(bodies: DataFrame, value: str = "value") -> DataFrame:
     decodes to an empty event and so fails validation, not parsing.
     """
     raw = F.col(value)
-    docs, entries = F.col("_docs"), F.col("_entries")
-    document = F.map_entries(F.coalesce(F.try_element_at(docs, F.lit(1)), _no_fields()))
+    docs, known = F.col("_docs"), F.col("_known")
+    document = F.coalesce(F.try_element_at(docs, F.lit(1)), _no_fields())
     parsed = (
         bodies.withColumn("_fits", F.coalesce(F.octet_length(raw) <= envelope.MAX_BODY_BYTES, F.lit(True)))
         .withColumn("_docs", F.when(F.col("_fits"), envelope.sole_document(raw)))
-        .withColumn("_entries", F.when(F.size(docs) == 1, document))
-        .withColumn("_readable", F.col("_entries").isNotNull() & ~envelope.has_wrong_type(entries))
+        .withColumn("_known", F.when(F.size(docs) == 1, envelope.known_fields(document)))
+        .withColumn("_readable", known.isNotNull() & ~envelope.has_wrong_type(known))
     )
     names = ("user_id", "item_id", "event_type")
-    fields = parsed.withColumns({f"_{n}": F.when(F.col("_readable"), envelope.text_field(entries, n)) for n in names})
+    fields = parsed.withColumns({f"_{n}": F.when(F.col("_readable"), envelope.text_field(known, n)) for n in names})
     checked = fields.withColumn(
         "_problems", F.when(F.col("_readable"), envelope.problems(*[F.col(f"_{n}") for n in names]))
     )

@@ -100,7 +100,9 @@ class FeatureRegistry:
             require_columns(result, (key, "event_timestamp"), "entity rows")
             source = self.source(view.name).withColumnRenamed(view.time, "event_timestamp")
             listed = None if hot is None else hot[key]
-            result = asof.as_of_join(result, source, key, names, view.ttl, listed, "event_timestamp", view.created)
+            result = asof.as_of_join(
+                result, source, key, names, view.ttl, listed, "event_timestamp", view.created, instants=entities
+            )
         return result
 
     def latest(self, name: str, start: Column, end: Column) -> DataFrame:

@@ -36,9 +36,15 @@ _PEAK = T.StructType([T.StructField("peak_ms", T.LongType())])
 class WindowedCounts:
     """Counts, late events and the event-time peak of one stream, below one directory."""
 
-    def __init__(self, spark: SparkSession, directory: str, out_of_order_ms: int = windows.OUT_OF_ORDER_MS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        directory: str,
+        out_of_order_ms: int = windows.OUT_OF_ORDER_MS,
+        checkpoint: str | None = None,
+    ):
         self.spark, self.out_of_order_ms = spark, out_of_order_ms
-        self.checkpoint = f"{directory}/checkpoint"
+        self.checkpoint = checkpoint or f"{directory}/checkpoint"
         self.counts_log = BatchLog(spark, f"{directory}/counts", _COUNTS)
         self.late_log = BatchLog(spark, f"{directory}/late", _LATE)
         self.peak_log = BatchLog(spark, f"{directory}/peak", _PEAK)
