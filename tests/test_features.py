@@ -171,8 +171,10 @@ def test_hot_keys_are_found_by_count(spark):
     data, df = adversarial(spark, 300, 9)
     users = [row[0] for row in data]
     want = sorted({u for u in users if users.count(u) > 40}, key=lambda u: -users.count(u))
-    assert hot.hot_keys(df, "user_id", 40) == want
-    assert hot.hot_keys(df, "user_id") == []
+    assert hot.hot_keys(df, "user_id", hot_rows=40) == {"user_id": want}
+    both = features.find_hot(df, 40)
+    assert both["user_id"] == want and both["item_id"][0] == "i0"
+    assert features.find_hot(df) == NONE_HOT
 
 
 def test_sources_are_written_whole_and_twice_the_same(spark, tmp_path):

@@ -36,7 +36,7 @@ def as_of_join(
     """
     if hot is None:
         keys = entities.select(key).unionAll(features.select(key))
-        hot = hot_groups.hot_keys(keys, key)
+        hot = hot_groups.hot_keys(keys, key)[key]
     found = F.struct(F.col(time).alias("seen_at"), *names)
     tie = F.col(created) if created else F.lit(None).cast("timestamp")
     history = features.select(key, F.col(time).alias("_at"), tie.alias("_tie"), found.alias("_found"))

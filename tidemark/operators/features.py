@@ -33,7 +33,7 @@ def canonical_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 
 def find_hot(events: DataFrame, hot_rows: int = hot_groups.HOT_ROWS) -> dict[str, list[str]]:
     """Hot users and items of an event table, for passing to several calls."""
-    return {key: hot_groups.hot_keys(events, key, hot_rows) for key in ENTITY_KEYS.values()}
+    return hot_groups.hot_keys(events, *ENTITY_KEYS.values(), hot_rows=hot_rows)
 
 
 def feature_rows(
@@ -87,7 +87,7 @@ def entity_source(events: DataFrame, entity: str, hot: dict[str, list[str]] | No
     """
     key = ENTITY_KEYS[entity]
     base = canonical_events(events).withColumn("clicked", F.col("event_type") == "click")
-    listed = hot_groups.hot_keys(base, key) if hot is None else hot[key]
+    listed = (hot_groups.hot_keys(base, key) if hot is None else hot)[key]
     state = rolling.instant_state(base, key, listed)
     event_first = (F.col("has_event") == 1) & (
         (F.col("has_available") == 0) | F.coalesce(F.col("first_ingested") <= F.col("at"), F.lit(False))

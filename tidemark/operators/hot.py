@@ -6,6 +6,7 @@ table. The list of such keys only steers how a result is computed, never what it
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key above this many rows is split.
@@ -16,20 +17,26 @@ MAX_HOT_KEYS = 10_000
 CHUNK_SECONDS = 60
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[str]:
-    """The keys with more than ``hot_rows`` rows, largest first, at most ``MAX_HOT_KEYS`` of them.
+def hot_keys(rows: DataFrame, *keys: str, hot_rows: int = HOT_ROWS) -> dict[str, list[str]]:
+    """Per key column the values with more than ``hot_rows`` rows, ``MAX_HOT_KEYS`` of them over all columns.
 
-    One pass over the key column with map-side partial counts; only the bounded list reaches the driver.
+    One pass over the key columns with map-side partial counts; only the bounded list, largest first,
+    reaches the driver.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
-    return [row[key] for row in counts.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()]
+    labelled = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in keys]))
+    counts = rows.select(labelled.alias("_k")).groupBy("_k.key", "_k.value").agg(F.count("*").alias("n"))
+    large = counts.where((F.col("n") > hot_rows) & F.col("value").isNotNull())
+    found: dict[str, list[str]] = {k: [] for k in keys}
+    for row in large.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect():
+        found[row["key"]].append(row["value"])
+    return found
 
 
 def split(rows: DataFrame, key: str, hot: list[str]) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys if there are any. NULL keys are ordinary."""
     if not hot:
         return rows, None
-    listed = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} string"))
+    listed = F.broadcast(rows.sparkSession.createDataFrame(pa.table({key: pa.array(hot, pa.string())})))
     return rows.join(listed, key, "left_anti"), rows.join(listed, key, "left_semi")
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join input even where that costs a later operator its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows multiply after the exchange that places their key, so a small shuffle is still real work.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 

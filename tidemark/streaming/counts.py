@@ -69,8 +69,8 @@ class WindowedCounts:
             if summary["any_late"]:
                 self.late_log.put(windows.late_events(judged).select(*_LATE.names), batch_id)
             seen = [p for p in (peak, summary["peak"]) if p is not None]
-            highest = [(max(seen),)] if seen else [(None,)]
-            self.peak_log.put(self.spark.createDataFrame(highest, _PEAK).coalesce(1), batch_id)
+            highest = F.lit(max(seen, default=None)).cast("long").alias("peak_ms")
+            self.peak_log.put(self.spark.range(1).select(highest), batch_id)
             groups.unpersist()
         finally:
             judged.unpersist()
