@@ -50,3 +50,12 @@ def test_latest_images_of_parts_merge(spark):
     parts = [changes.latest_images(unwrapped.where(f"lsn % 4 = {p}")) for p in range(4)]
     merged = changes.latest_images(parts[0].union(parts[1]).union(parts[2]).union(parts[3]).select(*unwrapped.columns))
     assert sorted(merged.collect()) == sorted(whole.collect())
+
+
+def test_record_with_its_schema_and_own_position(spark):
+    bare = f'{{"before":null,"after":{image(7)},"op":"c","ts_ms":5,"source":{{"lsn":40}}}}'
+    wrapped = f'{{"schema":{{"type":"struct"}},"payload":{{"before":{{"id":7}},"after":null,"op":"d","ts_ms":6,"source":{{"lsn":41}}}}}}'
+    df = spark.createDataFrame([(bare,), (wrapped,)], "value string")
+    rows = changes.unwrap(df).orderBy("lsn").collect()
+    assert [(r["lsn"], r["id"], r["op"]) for r in rows] == [(40, 7, "c"), (41, 7, "d")]
+    assert changes.current_state(changes.latest_images(changes.unwrap(df))).count() == 0

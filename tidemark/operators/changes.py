@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.envelope import STRICT_JSON
+from tidemark.functions.envelope import STRICT_JSON, computed_once
 from tidemark.schemas import CHANGE, EVENT_TYPES
 
 # Change operations create, update, delete and snapshot read.
@@ -14,19 +14,25 @@ OPERATIONS = ("c", "u", "d", "r")
 def unwrap(changes: DataFrame, order: str = "lsn", value: str = "value") -> DataFrame:
     """One row per change: order, key, operation, change time and the row image after it (NULL on delete).
 
+    The log position comes from the column ``order`` if the records have one, else from the record itself.
     Records that are no change of a known operation, or carry no key, are dropped; so are tombstones.
     """
-    change = F.from_json(F.col(value), CHANGE, STRICT_JSON)
-    parsed = changes.select(order, change.alias("_c"))
-    key = F.coalesce("_c.after.id", "_c.before.id")
-    return parsed.where(F.col("_c.op").isin(*OPERATIONS) & key.isNotNull()).select(
-        order,
+    record = F.from_json(F.col(value), CHANGE, STRICT_JSON)
+    position = [F.col(order).alias("_position")] if order in changes.columns else []
+    parsed = changes.select(*position, computed_once(record).alias("_r"))
+
+    def field(path: str) -> Column:
+        return F.coalesce(F.col(f"_r.{path}"), F.col(f"_r.payload.{path}"))
+
+    key = F.coalesce(field("after.id"), field("before.id"))
+    return parsed.where(field("op").isin(*OPERATIONS) & key.isNotNull()).select(
+        (F.col("_position") if position else field("source.lsn")).alias(order),
         key.alias("id"),
-        F.col("_c.op").alias("op"),
-        F.col("_c.ts_ms").alias("ts_ms"),
-        F.col("_c.after.user_id").alias("user_id"),
-        F.col("_c.after.item_id").alias("item_id"),
-        F.col("_c.after.event_type").alias("event_type"),
+        field("op").alias("op"),
+        field("ts_ms").alias("ts_ms"),
+        field("after.user_id").alias("user_id"),
+        field("after.item_id").alias("item_id"),
+        field("after.event_type").alias("event_type"),
     )
 
 

@@ -44,14 +44,16 @@ INTERACTION_IMAGE = T.StructType(
     ]
 )
 
-CHANGE = T.StructType(
-    [
-        T.StructField("before", INTERACTION_IMAGE),
-        T.StructField("after", INTERACTION_IMAGE),
-        T.StructField("op", T.StringType()),
-        T.StructField("ts_ms", T.LongType()),
-    ]
-)
+_CHANGE_FIELDS = [
+    T.StructField("before", INTERACTION_IMAGE),
+    T.StructField("after", INTERACTION_IMAGE),
+    T.StructField("op", T.StringType()),
+    T.StructField("ts_ms", T.LongType()),
+    T.StructField("source", T.StructType([T.StructField("lsn", T.LongType())])),
+]
+
+# A change record, bare or as the payload beside its own schema, as the connector is set to write it.
+CHANGE = T.StructType([*_CHANGE_FIELDS, T.StructField("payload", T.StructType(_CHANGE_FIELDS))])
 
 
 def require_columns(df: DataFrame, names: tuple[str, ...], what: str = "events") -> DataFrame:

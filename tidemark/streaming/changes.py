@@ -32,7 +32,7 @@ class FollowedTable:
         self.log = BatchLog(spark, f"{directory}/images", _LATEST)
 
     def start(self, records: DataFrame, once: bool = False) -> StreamingQuery:
-        """Follow streaming records of ``lsn`` and ``value``."""
+        """Follow streaming records; without an ``lsn`` column the position is read from the records."""
         writer = changes.unwrap(records).writeStream.foreachBatch(self._take)
         return run(writer.option("checkpointLocation", self.checkpoint), once)
 
