@@ -29,10 +29,15 @@ def test_features_job_writes_sources_and_online_tables(spark, tmp_path):
 def test_bodies_reach_the_lake_through_the_topic(spark, tmp_path, monkeypatch):
     monkeypatch.delenv("CHECKPOINTS_DIRECTORY", raising=False)
     good = '{"user_id":" u%d ","item_id":"i","event_type":"click"}'
-    (tmp_path / "bodies.txt").write_text("\n".join([*[good % i for i in range(20)], "{bad", '{"user_id":"u"}']) + "\n")
-    topic, refused = str(tmp_path / "topic"), str(tmp_path / "refused")
-    jobs.main(["accept", "--bodies", str(tmp_path / "bodies.txt"), "--format", "parquet", "--path", topic, "--output", refused])
-    outcomes = {r["outcome"]: r["count"] for r in spark.read.parquet(refused).groupBy("outcome").count().collect()}
+    (tmp_path / "bodies").mkdir()
+    (tmp_path / "bodies" / "0").write_text("\n".join([*[good % i for i in range(20)], "{bad", '{"user_id":"u"}']) + "\n")
+    topic, intake = str(tmp_path / "topic"), str(tmp_path / "intake")
+    for _ in range(2):
+        jobs.main(
+            ["accept", "--bodies", str(tmp_path / "bodies"), "--format", "parquet", "--path", topic, "--output", intake, "--once"]
+        )
+    refused = spark.read.parquet(f"{intake}/refused")
+    outcomes = {r["outcome"]: r["count"] for r in refused.groupBy("outcome").count().collect()}
     assert outcomes == {"malformed": 1, "invalid": 1}
     landed = str(tmp_path / "lake")
     for _ in range(2):
@@ -46,9 +51,9 @@ def test_bodies_reach_the_lake_through_the_topic(spark, tmp_path, monkeypatch):
     assert WindowedCounts(spark, counted).counts().agg(F.sum("n")).first()[0] == 20
 
 
-@pytest.mark.parametrize(("given", "env", "want"), [("x", "y", "x"), (None, "y", "y"), (None, None, "out/checkpoint")])
+@pytest.mark.parametrize(("given", "env", "want"), [("x", "y", "x"), (None, "y", "y/land"), (None, None, "out/checkpoint")])
 def test_checkpoint_directory(monkeypatch, given, env, want):
     monkeypatch.delenv("CHECKPOINTS_DIRECTORY", raising=False)
     if env:
         monkeypatch.setenv("CHECKPOINTS_DIRECTORY", env)
-    assert jobs._checkpoint(given, "out") == want
+    assert jobs._checkpoint(given, "land", "out") == want

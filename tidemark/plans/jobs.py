@@ -11,10 +11,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators import features, gateway
+from tidemark.operators import features
 from tidemark.plans import registry
 from tidemark.session import configure
 from tidemark.sources import lake, topics
+from tidemark.streaming import intake
 from tidemark.streaming.counts import WindowedCounts
 from tidemark.streaming.landing import land, land_table
 
@@ -32,19 +33,14 @@ def materialize(events: DataFrame, directory: str, end: datetime) -> dict[str, s
     return store.materialize(f"{directory}/online", F.lit(end))
 
 
-def accept(bodies: DataFrame, options: dict[str, str], fmt: str, topic: str | None, refused: str) -> None:
-    """Publish the accepted bodies of a batch and keep the refused ones with their reason."""
-    gateway.publish(gateway.serialize(gateway.normalize(bodies)), options, fmt, topic)
-    gateway.quarantine(bodies).write.mode("append").partitionBy("outcome").parquet(refused)
-
-
 def _options(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
-def _checkpoint(given: str | None, state: str) -> str:
-    """The argument, the environment's durable directory, or a folder beside the output."""
-    return given or os.environ.get("CHECKPOINTS_DIRECTORY") or f"{state}/checkpoint"
+def _checkpoint(given: str | None, job: str, output: str) -> str:
+    """The argument, the job's folder in the environment's durable directory, or a folder beside the output."""
+    durable = os.environ.get("CHECKPOINTS_DIRECTORY")
+    return given or (f"{durable.rstrip('/')}/{job}" if durable else f"{output}/checkpoint")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -58,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--output", required=True)
         job.add_argument("--checkpoint")
         job.add_argument("--table", help="land into this catalog table instead of the output folder")
-        job.add_argument("--bodies", help="request bodies to accept, one document per line")
+        job.add_argument("--bodies", help="folder of request bodies to accept, one document per line")
         job.add_argument("--once", action="store_true", help="take what is there now and stop")
     job = jobs.add_parser("features")
     job.add_argument("--lake", help="folder of the event table; the registered table if absent")
@@ -73,10 +69,17 @@ def main(argv: list[str] | None = None) -> None:
         return
     options = _options(args.option)
     if args.job == "accept":
-        accept(topics.bodies(spark, args.bodies), options, args.format, args.path, args.output)
+        bodies = topics.stream(spark, "text", {}, args.bodies)
+        state = _checkpoint(args.checkpoint, args.job, args.output)
+        queries = [
+            intake.accept(bodies, f"{state}/accepted", options, args.format, args.path, once=args.once),
+            intake.refuse(bodies, f"{state}/refused", f"{args.output}/refused", once=args.once),
+        ]
+        for query in queries:
+            query.awaitTermination()
         return
     wire = topics.stream(spark, args.format, options, args.path)
-    checkpoint = _checkpoint(args.checkpoint, args.output)
+    checkpoint = _checkpoint(args.checkpoint, args.job, args.output)
     if args.job == "counts":
         counted = WindowedCounts(spark, args.output, checkpoint=checkpoint)
         query = counted.start(wire, args.once)

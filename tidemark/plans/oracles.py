@@ -183,6 +183,10 @@ counts AS (
   FROM judged WHERE NOT late GROUP BY event_type, start_ms)
 """
 
+_RECORDS = r"""SELECT user_id AS key, concat('{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type,
+  '","created_at":"', regexp_replace(strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f'), '\.?0+$', ''), 'Z"}') AS value
+FROM routed WHERE outcome = 'accepted'"""
+
 ORACLES: dict[str, str] = {
     "parse_envelopes": _with(
         _CLASSES, _CONSUMED, "SELECT seq, user_id, item_id, event_type, created_at FROM consumed"
@@ -205,12 +209,7 @@ ORACLES: dict[str, str] = {
              CASE outcome WHEN 'malformed' THEN 'malformed JSON body' ELSE concat('invalid event: ', problems) END AS reason
            FROM texts WHERE outcome <> 'accepted'""",
     ),
-    "envelope_serialize": _with(
-        _CLASSES, _GATEWAY,
-        r"""SELECT user_id AS key, concat('{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type,
-              '","created_at":"', regexp_replace(strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f'), '\.?0+$', ''), 'Z"}') AS value
-            FROM routed WHERE outcome = 'accepted'""",
-    ),
+    "envelope_serialize": _with(_CLASSES, _GATEWAY, _RECORDS),
     "publish_keyed": _with(
         _CLASSES, _GATEWAY,
         """SELECT CAST(CAST(concat('0x', md5(user_id)[1:8]) AS BIGINT) % 3 AS INTEGER) AS "partition", user_id, count(*) AS n
@@ -245,6 +244,7 @@ ORACLES: dict[str, str] = {
     "stream_lake_append": _with(
         _CLASSES, _CONSUMED, "SELECT user_id, item_id, event_type, created_at, ingested_at FROM consumed"
     ),
+    "stream_publish": _with(_CLASSES, _GATEWAY, _RECORDS),
     "feature_event_rows": _with(_EVENT_ROWS, f"SELECT seq, {_FEATURE_COLUMNS} FROM event_rows"),
     "feature_availability_rows": _with(_AVAILABILITY_ROWS, f"SELECT seq, {_FEATURE_COLUMNS} FROM availability_rows"),
     "feature_snapshot": _with(_SNAPSHOT, f"SELECT {_FEATURE_COLUMNS} FROM snapshot"),

@@ -14,6 +14,7 @@ from tidemark.session import configure, shared_dir
 from tidemark.sources import derived, lake, topics
 from tidemark.streaming.changes import FollowedTable
 from tidemark.streaming.counts import WindowedCounts
+from tidemark.streaming.intake import accept
 from tidemark.streaming.landing import land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,20 +158,34 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(_counted_stream(spark, sf_dir).late(), "created_at")
 
 
-def stream_lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land envelopes delivered in two parts, restarting the stream between them; nothing is landed twice."""
+def _delivered_in_two_parts(spark: SparkSession, sf_dir: str, wire: str):
+    """All envelopes with their arrival time, half of them per round; yields the topic stream each time."""
     records = derived.envelopes(spark, sf_dir).select(
         F.lit(None).cast("string").alias("key"), "value", F.col("ingested_at").cast("timestamp").alias("timestamp"), "seq"
     )
-    directory = shared_dir(spark, "landing")
-    wire, table = f"{directory}/wire", f"{directory}/events"
     for part in (0, 1):
         records.where(F.col("seq") % 2 == part).drop("seq").write.mode("append").parquet(wire)
-        stream = topics.stream(spark, "parquet", {}, wire)
+        yield topics.stream(spark, "parquet", {}, wire)
+
+
+def stream_lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land envelopes delivered in two parts, restarting the stream between them; nothing is landed twice."""
+    directory = shared_dir(spark, "landing")
+    table = f"{directory}/events"
+    for stream in _delivered_in_two_parts(spark, sf_dir, f"{directory}/wire"):
         land(stream, table, f"{directory}/checkpoint", F.col("timestamp"), once=True)
     return _zoneless(lake.scan(spark, table), "created_at", "ingested_at")
 
 
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gateway over the same deliveries: what the topic holds after both rounds."""
+    directory = shared_dir(spark, "intake")
+    topic = f"{directory}/topic"
+    for stream in _delivered_in_two_parts(spark, sf_dir, f"{directory}/wire"):
+        accept(stream, f"{directory}/checkpoint", {}, "parquet", topic, F.col("timestamp"), once=True)
+    return spark.read.parquet(topic).select("key", "value")
+
+
 # Features ---------------------------------------------------------------------------------------------
 
 
@@ -299,7 +314,7 @@ _ALL: tuple[Query, ...] = (
     parse_envelopes, parse_lake_rows, event_type_counts,
     gateway_validate, gateway_normalize, gateway_route, gateway_quarantine, envelope_serialize, publish_keyed,
     arrival_watermark, tumbling_counts, late_events, window_firings, count_lines,
-    lake_scan, lake_partitions, stream_counts, stream_late, stream_lake_append,
+    lake_scan, lake_partitions, stream_counts, stream_late, stream_lake_append, stream_publish,
     feature_event_rows, feature_availability_rows, feature_snapshot, user_feature_source, item_feature_source,
     pit_user, pit_item, pit_ranking_features,
     online_latest_user, online_latest_item, online_lookup, offline_online_parity,
