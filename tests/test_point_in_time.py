@@ -123,6 +123,31 @@ def test_no_pairs_are_formed(spark, events):
     assert "Join" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_computed_and_stored_sources_agree_and_are_not_moved_twice(spark, tmp_path):
+    rng = random.Random(21)
+    start = datetime(2026, 1, 1)
+    rows = []
+    for _ in range(300):
+        created = start + timedelta(minutes=10 * rng.randrange(2000))
+        delay = timedelta(minutes=rng.choice([0, 3, 60]))
+        rows.append((f"u{rng.randrange(6)}", f"i{rng.randrange(5)}", rng.choice(["click", "like"]), created, created + delay))
+    path = str(tmp_path / "e")
+    spark.createDataFrame(rows, EVENT_SCHEMA).write.parquet(path)
+    events = spark.read.parquet(path)
+    asked = events.selectExpr("user_id", "item_id", "created_at AS event_timestamp", "event_type")
+    results = []
+    for computed in (True, False):
+        store = registry.FeatureRegistry()
+        for view in registry.RANKING.views:
+            store.apply(view, features.entity_source(events, view.entity.name, NONE_HOT), computed)
+        joined = store.historical(asked, registry.RANKING, NONE_HOT)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        results.append((sorted(joined.collect()), plan.count("ENSURE_REQUIREMENTS")))
+    assert results[0][0] == results[1][0]
+    # Sources that are placed stay where they are; otherwise each view moves features and rows together.
+    assert [n for _, n in results] == [0, 2]
+
+
 # Registry ---------------------------------------------------------------------------------------------
 
 

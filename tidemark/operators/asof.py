@@ -25,6 +25,7 @@ def as_of_join(
     time: str = "event_timestamp",
     created: str | None = "created_timestamp",
     instants: DataFrame | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Entity rows with the feature columns; NULL where no feature row is within the ttl (both ends count).
 
@@ -32,7 +33,9 @@ def as_of_join(
     created last wins. Every entity column passes through and duplicates stay.
 
     ``instants`` may name a cheaper frame with the same (key, time) pairs as ``entities``; it is read instead
-    of them where only the pairs of hot keys are needed.
+    of them where only the pairs of hot keys are needed. ``placed`` says that the features come out of an
+    exchange by ``key`` already, as computed sources do: then only the entity rows are moved to them, and the
+    union of the two keeps the placement. Stored features and entity rows share one exchange instead.
     """
     if hot is None:
         keys = entities.select(key).unionAll(features.select(key))
@@ -43,6 +46,8 @@ def as_of_join(
     ordinary, large = hot_groups.split(entities, key, hot)
     ordinary_history, large_history = hot_groups.split(history, key, hot)
     asked = ordinary.select(key, F.col(time).alias("_at"), F.struct(*entities.columns).alias("_row"))
+    if placed and large is None:
+        asked = asked.repartition(key)
     result = _carry(_stack(asked, ordinary_history), key).select("_row.*", "_found")
     if large is not None:
         # Of a hot key only its distinct instants are placed in time; the entity rows look the result up.

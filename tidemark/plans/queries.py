@@ -218,7 +218,7 @@ def _store(spark: SparkSession, sf_dir: str) -> tuple[registry.FeatureRegistry,
     hot = features.find_hot(events)
     store = registry.FeatureRegistry()
     for view in registry.RANKING.views:
-        store.apply(view, features.entity_source(events, view.entity.name, hot))
+        store.apply(view, features.entity_source(events, view.entity.name, hot), computed=True)
     return store, hot
 
 

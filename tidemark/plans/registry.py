@@ -47,9 +47,10 @@ RANKING = FeatureService("ranking_features", (USER_VIEW, ITEM_VIEW))
 class FeatureRegistry:
     """Views with the DataFrames behind them. Sources are checked when a view is applied, before any job."""
 
-    _sources: dict[str, tuple[FeatureView, DataFrame]] = field(default_factory=dict)
+    _sources: dict[str, tuple[FeatureView, DataFrame, bool]] = field(default_factory=dict)
 
-    def apply(self, view: FeatureView, source: DataFrame) -> FeatureRegistry:
+    def apply(self, view: FeatureView, source: DataFrame, computed: bool = False) -> FeatureRegistry:
+        """Register a view. ``computed`` marks a source still to be computed, whose rows are placed by its key."""
         key, types = view.entity.join_key, dict(source.dtypes)
         require_columns(source, (key, view.time, view.created, *view.features), view.name)
         if types[key] != "string":
@@ -57,7 +58,7 @@ class FeatureRegistry:
         wrong = {n: types[n] for n in view.features if types[n] != "bigint"}
         if wrong:
             raise TypeError(f"{view.name}: features must be bigint: {wrong}")
-        self._sources[view.name] = (view, source)
+        self._sources[view.name] = (view, source, computed)
         return self
 
     def view(self, name: str) -> FeatureView:
@@ -66,7 +67,7 @@ class FeatureRegistry:
     def source(self, name: str) -> DataFrame:
         return self._entry(name)[1]
 
-    def _entry(self, name: str) -> tuple[FeatureView, DataFrame]:
+    def _entry(self, name: str) -> tuple[FeatureView, DataFrame, bool]:
         if name not in self._sources:
             raise LookupError(f"feature view {name} is not registered")
         return self._sources[name]
@@ -100,8 +101,9 @@ class FeatureRegistry:
             require_columns(result, (key, "event_timestamp"), "entity rows")
             source = self.source(view.name).withColumnRenamed(view.time, "event_timestamp")
             listed = None if hot is None else hot[key]
+            placed = self._entry(view.name)[2]
             result = asof.as_of_join(
-                result, source, key, names, view.ttl, listed, "event_timestamp", view.created, instants=entities
+                result, source, key, names, view.ttl, listed, "event_timestamp", view.created, entities, placed
             )
         return result
 
