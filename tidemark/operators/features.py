@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.operators import hot as hot_groups, rolling
-from tidemark.operators.rolling import AVAILABILITY_ROW, BOTH_ROWS, EVENT_ROW
+from tidemark.operators.rolling import AVAILABILITY_ROW, EVENT_ROW
 from tidemark.schemas import EVENT_COLUMNS, ITEM_FEATURES, USER_FEATURES, require_columns
 
 ENTITY_KEYS = {"user": "user_id", "item": "item_id"}
@@ -37,10 +37,7 @@ def find_hot(events: DataFrame, hot_rows: int = hot_groups.HOT_ROWS) -> dict[str
 
 
 def feature_rows(
-    events: DataFrame,
-    keep: tuple[str, ...] = (),
-    kinds: tuple[int, ...] = BOTH_ROWS,
-    hot: dict[str, list[str]] | None = None,
+    events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """Feature rows of both entities: one per event at its event time, one at its availability.
 
@@ -50,7 +47,7 @@ def feature_rows(
     base = canonical_events(events, keep)
     hot = find_hot(base) if hot is None else hot
     base = base.withColumn("clicked", F.col("event_type") == "click").drop("event_type")
-    by_user = rolling.add_counts(base, "user_id", "user", base, hot["user_id"], kinds)
+    by_user = rolling.add_counts(base, "user_id", "user", base, hot["user_id"], scored=False)
     by_both = rolling.add_counts(by_user, "item_id", "item", base, hot["item_id"])
     return by_both.select(
         *keep, "kind", "user_id", "item_id", "event_timestamp",
@@ -59,13 +56,13 @@ def feature_rows(
 
 
 def event_rows(events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None) -> DataFrame:
-    return feature_rows(events, keep, (EVENT_ROW,), hot).drop("kind")
+    return feature_rows(events, keep, hot).where(F.col("kind") == EVENT_ROW).drop("kind")
 
 
 def availability_rows(
     events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None
 ) -> DataFrame:
-    return feature_rows(events, keep, (AVAILABILITY_ROW,), hot).drop("kind")
+    return feature_rows(events, keep, hot).where(F.col("kind") == AVAILABILITY_ROW).drop("kind")
 
 
 def feature_snapshot(events: DataFrame, hot: dict[str, list[str]] | None = None) -> DataFrame:

@@ -23,96 +23,95 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.operators import hot as hot_groups
 
 EVENT_ROW, AVAILABILITY_ROW = 0, 1
-BOTH_ROWS = (EVENT_ROW, AVAILABILITY_ROW)
 
 # Running sums, and what is gathered from the points of one instant.
 _STATE = ("event_n", "event_clicks", "available_n", "available_clicks")
 _AT_INSTANT = {"has_event": F.max, "has_available": F.max, "first_ingested": F.min}
+# A point asks for the counts at its row's instant, ends an event's interval, or begins one that could not
+# begin with an asking row.
+_ASK, _END, _BEGIN = 0, 1, 2
 
 
-def _tick_after(at: Column) -> Column:
-    return at + F.expr("INTERVAL '0.000001' SECOND")
-
-
-def _expiry(at: Column) -> Column:
-    return at + F.expr("INTERVAL '7' DAY")
-
-
-def score_rows(events: DataFrame, kinds: tuple[int, ...] = BOTH_ROWS) -> DataFrame:
+def score_rows(events: DataFrame) -> DataFrame:
     """One row per event and kind, at the instant the kind asks for. A narrow step: no exchange."""
     created, ingested, kind = F.col("created_at"), F.col("ingested_at"), F.col("kind")
-    each = events.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in kinds])))
+    each = events.withColumn("kind", F.explode(F.array(F.lit(EVENT_ROW), F.lit(AVAILABILITY_ROW))))
     return each.where((kind == EVENT_ROW) | (ingested >= created)).withColumn(
         "event_timestamp", F.when(kind == EVENT_ROW, created).otherwise(ingested)
     )
 
 
 def add_counts(
-    rows: DataFrame, key: str, prefix: str, events: DataFrame, hot: list[str], kinds: tuple[int, ...] | None = None
+    rows: DataFrame, key: str, prefix: str, events: DataFrame, hot: list[str], scored: bool = True
 ) -> DataFrame:
     """Score rows with ``{prefix}_event_count_7d`` and ``{prefix}_click_count_7d`` of their key.
 
-    Pass events and ``kinds`` to have the score rows made after the exchange, which then moves each event
-    once. Rows of ordinary keys carry their other columns through the window, so nothing is joined back.
+    With ``scored=False`` the rows are events, and their score rows are made after the exchange, which then
+    moves each event once. Rows of ordinary keys carry their other columns through the window, so nothing is
+    joined back. Both kinds of row must be there, as each brings part of its event's points.
     """
+
+    def score(df: DataFrame) -> DataFrame:
+        return df if scored else score_rows(df)
+
     ordinary, large = hot_groups.split(rows, key, hot)
-    placed = ordinary.repartition(key)
-    counted = _count_in_key(placed if kinds is None else score_rows(placed, kinds), key, prefix)
+    counted = _count_in_key(score(ordinary.repartition(key)), key, prefix)
     if large is None:
         return counted
-    asked = large if kinds is None else score_rows(large, kinds)
     state = _split_state(hot_groups.split(events, key, hot)[1], key).withColumnRenamed("at", "event_timestamp")
+    looked_up = score(large).join(state.select(key, "event_timestamp", *_STATE), [key, "event_timestamp"])
+    return counted.unionByName(_of_kind(looked_up, prefix).select(*counted.columns))
+
+
+def _of_kind(rows: DataFrame, prefix: str) -> DataFrame:
+    """The pair of running sums that the row's kind asks for, under the feature names."""
     is_event = F.col("kind") == EVENT_ROW
-    looked_up = (
-        asked.join(state.select(key, "event_timestamp", *_STATE), [key, "event_timestamp"])
-        .withColumn(f"{prefix}_event_count_7d", F.when(is_event, F.col("event_n")).otherwise(F.col("available_n")))
-        .withColumn(
-            f"{prefix}_click_count_7d", F.when(is_event, F.col("event_clicks")).otherwise(F.col("available_clicks"))
-        )
-    )
-    return counted.unionByName(looked_up.select(*counted.columns))
+    n = F.when(is_event, F.col("event_n")).otherwise(F.col("available_n"))
+    clicks = F.when(is_event, F.col("event_clicks")).otherwise(F.col("available_clicks"))
+    named = {f"{prefix}_event_count_7d": n, f"{prefix}_click_count_7d": clicks}
+    return rows.withColumns(named).drop(*_STATE)
 
 
-def _count_in_key(rows: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Each kind only counts events that have a row of that kind, so the kinds are independent sums."""
-    created, ingested, asked_at = F.col("created_at"), F.col("ingested_at"), F.col("event_timestamp")
-    known_from = F.when(F.col("kind") == AVAILABILITY_ROW, ingested).otherwise(
-        F.when(ingested.isNotNull(), F.greatest(ingested, _tick_after(created)))
-    )
-    step, start, stop = F.col("_step"), F.col("_from"), _expiry(created)
-    add = F.when(step == 0, F.coalesce(start == asked_at, F.lit(False)).cast("long")).otherwise(step)
-    carried = [c for c in rows.columns if c not in (key, "kind")]
-    points = (
-        rows.withColumn("_from", F.when(known_from < stop, known_from))
-        .withColumn("_step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1))))
-        # The asking row itself (0) adds the event when both fall on one instant.
-        .where((step == 0) | (start.isNotNull() & ((step == -1) | (start != asked_at))))
-        .select(
-            key,
-            "kind",
-            F.when(step == 0, asked_at).when(step == 1, start).otherwise(stop).alias("_at"),
-            add.alias("_add"),
-            F.when(F.col("clicked"), add).otherwise(0).alias("_add_click"),
-            # Only asking rows carry their columns through the sort.
-            F.when(step == 0, F.struct(*carried)).alias("_row"),
-        )
-    )
-    # The default frame is a RANGE up to the current instant: ties see one value.
-    so_far = Window.partitionBy(key, "kind").orderBy("_at")
-    counts = {"_n": F.sum("_add").over(so_far), "_clicks": F.sum("_add_click").over(so_far)}
+def _points(rows: DataFrame, key: str, *extra: Column) -> DataFrame:
+    """The points of score rows, three or four per event: at creation, at ingestion, at expiry, and one
+    tick after creation for an event ingested by then.
+
+    The availability row's own point begins the event's intervals. ``extra`` columns may use ``step``.
+    """
+    created, ingested = F.col("created_at"), F.col("ingested_at")
+    kind, step = F.col("kind"), F.col("step")
+    expiry = created + F.expr("INTERVAL '7' DAY")
+    tick_after = created + F.expr("INTERVAL '0.000001' SECOND")
+    known = ingested < expiry
+    begins = (step == _ASK) & (kind == AVAILABILITY_ROW) & known
+    event_n = F.when((begins & (ingested > created)) | (step == _BEGIN), 1).when(step == _END, -1).otherwise(0)
+    available_n = F.when(begins, 1).when((step == _END) & (ingested >= created), -1).otherwise(0)
+    steps = F.when(kind == EVENT_ROW, F.array(F.lit(_ASK), F.lit(_END), F.lit(_BEGIN))).otherwise(F.array(F.lit(_ASK)))
+    no_click = F.lit(0)
     return (
-        points.withColumns(counts)
-        .where(F.col("_row").isNotNull())
+        rows.withColumn("step", F.explode(steps))
+        .where((step == _ASK) | ((step == _END) & known) | ((step == _BEGIN) & (ingested <= created)))
         .select(
             key,
-            "kind",
-            *[f"_row.{c}" for c in carried],
-            F.col("_n").alias(f"{prefix}_event_count_7d"),
-            F.col("_clicks").alias(f"{prefix}_click_count_7d"),
+            F.when(step == _ASK, F.col("event_timestamp")).when(step == _END, expiry).otherwise(tick_after).alias("at"),
+            event_n.cast("long").alias("event_n"),
+            F.when(F.col("clicked"), event_n).otherwise(no_click).cast("long").alias("event_clicks"),
+            available_n.cast("long").alias("available_n"),
+            F.when(F.col("clicked"), available_n).otherwise(no_click).cast("long").alias("available_clicks"),
+            *extra,
         )
     )
 
 
+def _count_in_key(rows: DataFrame, key: str, prefix: str) -> DataFrame:
+    # Only asking points carry the row's columns through the sort.
+    row = F.when(F.col("step") == _ASK, F.struct(*[c for c in rows.columns if c != key])).alias("_row")
+    # The default frame is a RANGE up to the current instant: ties see one value.
+    so_far = Window.partitionBy(key).orderBy("at")
+    summed = _points(rows, key, row).withColumns({c: F.sum(c).over(so_far) for c in _STATE})
+    return _of_kind(summed.where(F.col("_row").isNotNull()).select(key, "_row.*", *_STATE), prefix)
+
+
 def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
     """Both counts at every (key, instant) somebody asks about, one row each.
 
@@ -121,7 +120,7 @@ def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
     """
     ordinary, large = hot_groups.split(events, key, hot)
     # Each event crosses the network once; its points are made, sorted and summed where it lands.
-    points = _points(ordinary.repartition(key), key)
+    points = _asking_points(ordinary.repartition(key), key)
     so_far = Window.partitionBy(key).orderBy("at")
     here = so_far.rangeBetween(Window.currentRow, Window.currentRow)
     state = (
@@ -141,39 +140,15 @@ def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
     return _asked(state).unionByName(_split_state(large, key))
 
 
-def _points(events: DataFrame, key: str) -> DataFrame:
-    """Three or four points per event: created, ingested, expiry, and the tick after created if known by then."""
-    created, ingested, step = F.col("created_at"), F.col("ingested_at"), F.col("_step")
-    stop = _expiry(created)
-    known = ingested < stop
-    step_exists = (
-        F.when(step == 0, F.lit(True))
-        .when(step == 1, ingested >= created)
-        .when(step == 2, known)
-        .otherwise(ingested <= created)
-    )
-    event_n = (
-        F.when((step == 1) & known & (ingested > created), 1).when(step == 2, -1).when(step == 3, 1).otherwise(0)
-    )
-    available_n = F.when((step == 1) & known, 1).when((step == 2) & (ingested >= created), -1).otherwise(0)
-    return (
-        events.select(key, "created_at", "ingested_at", "clicked", F.explode(F.array(*map(F.lit, range(4)))).alias("_step"))
-        .where(step_exists)
-        .select(
-            key,
-            F.when(step == 0, created)
-            .when(step == 1, ingested)
-            .when(step == 2, stop)
-            .otherwise(_tick_after(created))
-            .alias("at"),
-            event_n.cast("long").alias("event_n"),
-            F.when(F.col("clicked"), event_n).otherwise(0).cast("long").alias("event_clicks"),
-            available_n.cast("long").alias("available_n"),
-            F.when(F.col("clicked"), available_n).otherwise(0).cast("long").alias("available_clicks"),
-            (step == 0).cast("int").alias("has_event"),
-            (step == 1).cast("int").alias("has_available"),
-            F.when(step == 0, ingested).alias("first_ingested"),
-        )
+def _asking_points(events: DataFrame, key: str) -> DataFrame:
+    asks, kind = F.col("step") == _ASK, F.col("kind")
+    rows = score_rows(events.select(key, "created_at", "ingested_at", "clicked"))
+    return _points(
+        rows,
+        key,
+        (asks & (kind == EVENT_ROW)).cast("int").alias("has_event"),
+        (asks & (kind == AVAILABILITY_ROW)).cast("int").alias("has_available"),
+        F.when(asks & (kind == EVENT_ROW), F.col("ingested_at")).alias("first_ingested"),
     )
 
 
@@ -183,7 +158,7 @@ def _asked(state: DataFrame) -> DataFrame:
 
 def _split_state(events: DataFrame, key: str) -> DataFrame:
     """``instant_state`` of hot keys: sums within a minute plus the totals of all earlier minutes."""
-    points = _points(events, key)
+    points = _asking_points(events, key)
     minute = hot_groups.minute(F.col("at"))
     within = Window.partitionBy(key, "_minute").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Ties of an instant are added up before the exchange, so a burst at one instant stays small.
