@@ -177,6 +177,24 @@ def test_hot_keys_are_found_by_count(spark):
     assert features.find_hot(df) == NONE_HOT
 
 
+def test_a_full_hot_list_only_leaves_keys_unsplit(spark, monkeypatch):
+    data, df = adversarial(spark, 200, 17)
+    monkeypatch.setattr(hot, "MAX_HOT_KEYS", 2)
+    found = features.find_hot(df, 10)
+    assert sum(map(len, found.values())) == 2
+    assert sorted(tuple(r) for r in features.feature_rows(df, hot=found).collect()) == brute_force(data)
+
+
+def test_hot_keys_are_summed_by_minute(spark):
+    """No window over a hot key may sort its rows as one group; only its minutes' totals."""
+    _, df = adversarial(spark, 50, 1)
+    state = features.entity_source(df, "user", {"user_id": [f"u{i}" for i in range(5)]})
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    by_minute = [line for line in plan.splitlines() if "Window [" in line and "_minute" in line]
+    assert len(by_minute) == 2
+    assert plan.count("partial_sum") >= 2 and "LeftSemi" in plan and "LeftAnti" in plan
+
+
 def test_sources_are_written_whole_and_twice_the_same(spark, tmp_path):
     _, df = adversarial(spark, 120, 11)
     for _ in range(2):

@@ -32,6 +32,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, name: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-warehouse-"))

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.schemas import EVENT_COLUMNS, FEATURE_WINDOW, LAKE_EVENT, require_columns
+from tidemark.schemas import EVENT_COLUMNS, LAKE_EVENT, require_columns
 
 NAMESPACE, TABLE = "event_lake", "events_raw"
 DAY = "created_day"
 # Fixed value: target size of a data file, 128 MiB.
 TARGET_FILE_BYTES = 134_217_728
-# A landed event takes well over 16 bytes even compressed, so a file of this many rows is not tiny, and the
-# cap keeps one huge day from becoming one huge file.
-MAX_RECORDS_PER_FILE = 8_000_000
+# The file writer counts rows, not bytes: the target size at 16 compressed bytes per event.
+MAX_RECORDS_PER_FILE = TARGET_FILE_BYTES // 16
 
 
 def ensure_table(
@@ -54,10 +53,10 @@ def with_day(events: DataFrame) -> DataFrame:
 
 
 def append(events: DataFrame, path: str) -> str:
-    """Append a batch. Rows are spread by day and type-free hash so that a big day fills several files.
+    """Append a batch, few files per day.
 
-    ``REBALANCE`` lets AQE cut the day's rows into partitions of the target size and merge small days,
-    instead of one task per day.
+    The rebalance hint lets AQE cut a big day into several tasks and put small days together, where a plain
+    repartition by day would give a day with a third of the rows to one task.
     """
     placed = with_day(events).hint("rebalance", DAY)
     placed.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(DAY).parquet(path)
@@ -69,11 +68,6 @@ def scan(spark: SparkSession, path: str, first: date | None = None, last: date |
     return _days(spark.read.parquet(path), first, last).select(*EVENT_COLUMNS)
 
 
-def rebuild_input(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
-    """Events needed to rebuild the features of the given days: those days and the window before them."""
-    return scan(spark, path, first - FEATURE_WINDOW - timedelta(days=1), last)
-
-
 def day_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows per partition day. Only the partition column is read."""
     return spark.read.parquet(path).groupBy(DAY).agg(F.count("*").alias("n"))
