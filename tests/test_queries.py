@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tidemark.operators import features
+from tidemark.sources import derived
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +25,7 @@ def test_every_query_has_its_sql():
     assert set(driver.queries()) == set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_query_equals_sql(spark, duck, sf_dir, name):
+def check(spark, duck, sf_dir, name):
     frame = driver.queries()[name](spark, sf_dir)
     columns = sorted(frame.columns)
     got = Counter(tuple(row) for row in frame.select(*[f"`{c}`" for c in columns]).collect())
@@ -35,6 +36,22 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert sum(got.values()) > 0
 
 
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    check(spark, duck, sf_dir, name)
+
+
+@pytest.mark.parametrize(
+    "name", ["feature_snapshot", "pit_item", "pit_ranking_features", "online_lookup", "offline_online_parity"]
+)
+def test_query_equals_sql_when_some_keys_are_hot(spark, duck, sf_dir, name, monkeypatch):
+    find = features.find_hot
+    monkeypatch.setattr(features, "find_hot", lambda events: find(events, 12))
+    found = features.find_hot(derived.interactions(spark, sf_dir))
+    assert 0 < len(found["user_id"]) and 0 < len(found["item_id"]) < 100
+    check(spark, duck, sf_dir, name)
+
+
 def test_entry(spark):
     frame = driver.entry(spark)
     assert frame.columns[:2] == ["seq", "user_id"] and frame.limit(1).count() == 1

@@ -212,13 +212,20 @@ def item_feature_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _store(spark: SparkSession, sf_dir: str) -> tuple[registry.FeatureRegistry, dict[str, list[str]]]:
     """Both views over their sources, and the hot keys of the events.
 
-    The entity rows of these queries are the events again, so a key is as hot in them as in the events.
+    The entity rows of these queries are the events again, so a key is as hot in them as in the events. With a
+    hot key a source is read by several branches of a join, so it is written once instead of computed in each.
     """
     events = derived.interactions(spark, sf_dir)
     hot = features.find_hot(events)
     store = registry.FeatureRegistry()
     for view in registry.RANKING.views:
-        store.apply(view, features.entity_source(events, view.entity.name, hot), computed=True)
+        source = features.entity_source(events, view.entity.name, hot)
+        if hot[view.entity.join_key]:
+            path = shared_dir(spark, "source")
+            source.write.parquet(path)
+            store.apply(view, spark.read.parquet(path))
+        else:
+            store.apply(view, source, computed=True)
     return store, hot
 
 
