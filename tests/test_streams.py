@@ -85,6 +85,17 @@ def test_replayed_batch_replaces_itself_and_fold_changes_nothing(spark, tmp_path
     assert sorted(r["user_id"] for r in counted.late().collect()) == ["u4", "u7"]
 
 
+def test_long_stream_folds_itself(spark, tmp_path):
+    counted = WindowedCounts(spark, str(tmp_path / "state"), fold_every=3)
+    schema = "user_id string, item_id string, event_type string, created_at timestamp"
+    for batch_id in range(8):
+        at = datetime.fromtimestamp(BASE + batch_id, timezone.utc)
+        counted._take(spark.createDataFrame([("u", "i", "click", at)], schema), batch_id)
+    assert counts(counted) == {("click", 0): 8}
+    assert counted._peak_before(8) == (BASE + 7) * 1000
+    assert len(list((tmp_path / "state" / "counts" / "batches").iterdir())) == 2
+
+
 def test_empty_batches_keep_the_peak(spark, tmp_path):
     counted = WindowedCounts(spark, str(tmp_path / "state"))
     schema = "user_id string, item_id string, event_type string, created_at timestamp"

@@ -22,7 +22,7 @@ class BatchLog:
 
     def before(self, batch_id: int) -> DataFrame:
         """What the batch before this one wrote, or the fold it went into. Enough where rows are cumulative."""
-        if batch_id - 1 in self._numbers("batches", "batch_id"):
+        if self._committed(self._batch(batch_id - 1)):
             return self._read([self._batch(batch_id - 1)])
         return self._read([self._fold(n) for n in self._numbers("folded", "upto") if n < batch_id][-1:])
 
@@ -66,8 +66,10 @@ class BatchLog:
             return []
         names = [s.getPath().getName() for s in fs.listStatus(root)]
         numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{label}=")]
-        done = [n for n in numbers if fs.exists(self._hadoop_path(f"{self.path}/{folder}/{label}={n}/_SUCCESS"))]
-        return sorted(done)
+        return sorted(n for n in numbers if self._committed(f"{self.path}/{folder}/{label}={n}"))
+
+    def _committed(self, folder: str) -> bool:
+        return self._fs(folder).exists(self._hadoop_path(f"{folder}/_SUCCESS"))
 
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

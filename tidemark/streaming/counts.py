@@ -42,8 +42,9 @@ class WindowedCounts:
         directory: str,
         out_of_order_ms: int = windows.OUT_OF_ORDER_MS,
         checkpoint: str | None = None,
+        fold_every: int = 360,
     ):
-        self.spark, self.out_of_order_ms = spark, out_of_order_ms
+        self.spark, self.out_of_order_ms, self.fold_every = spark, out_of_order_ms, fold_every
         self.checkpoint = checkpoint or f"{directory}/checkpoint"
         self.counts_log = BatchLog(spark, f"{directory}/counts", _COUNTS)
         self.late_log = BatchLog(spark, f"{directory}/late", _LATE)
@@ -74,6 +75,8 @@ class WindowedCounts:
             groups.unpersist()
         finally:
             judged.unpersist()
+        if batch_id and batch_id % self.fold_every == 0:
+            self.fold(batch_id - 1)
 
     def _peak_before(self, batch_id: int) -> int | None:
         """Each batch records the peak so far, so only the one before is read, also when a batch is replayed."""
@@ -93,7 +96,10 @@ class WindowedCounts:
         return self.late_log.rows()
 
     def fold(self, upto: int) -> None:
-        """Merge the partial counts, late events and peaks of the batches up to ``upto``, all of them finished."""
+        """Merge the partial counts and peaks of the batches up to ``upto``, all of them finished.
+
+        Runs by itself every ``fold_every`` batches, so that the folders of a long stream stay few. Late events
+        stay as they were written: only batches that had some left a folder.
+        """
         self.counts_log.fold(lambda rows: total(rows, ("event_type", "start_ms")), upto)
-        self.late_log.fold(lambda rows: rows, upto)
         self.peak_log.fold(lambda rows: rows.agg(F.max("peak_ms").alias("peak_ms")), upto)
