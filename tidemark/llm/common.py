@@ -41,8 +41,16 @@ def lower_ascii(text: Column) -> Column:
 
 
 def bounded_sample(df: DataFrame, *key: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows, the same ones in every run: those with the smallest hash of the key columns."""
-    return df.orderBy(F.xxhash64(*key), *key).limit(rows)
+    """At most ``rows`` rows, the same ones in every run: those with the smallest hash of the key columns.
+
+    Hashes are even, so a first cut at twice the share that is needed leaves little to put in order.
+    """
+    space = 1 << 40
+    place = F.pmod(F.xxhash64(*key), F.lit(space))
+    count = df.count()
+    if count > 4 * rows:
+        df = df.where(place < space * 2 * rows // count)
+    return df.orderBy(place, *key).limit(rows)
 
 
 def blocks_for(rows: int, rows_per_block: int, least: int) -> int:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import bounded_sample, id_and_bytes, written
 
-MAX_ROWS = 8_000
+MAX_ROWS = 6_000
 # A word is a feature if it occurs in at least so many of the labelled rows, and in at most this share of them.
 LEAST_ROWS = 4
 MOST_SHARE = 0.3
@@ -110,34 +110,39 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, max_rows: int = MAX_R
     graded = labels.select(F.col(id_col).cast("long").alias("doc_id"), grade.cast("int").alias("grade"))
     taught = bounded_sample(graded.where("doc_id IS NOT NULL AND grade IS NOT NULL"), "doc_id", "grade", rows=max_rows)
 
+    texts = id_and_bytes(docs, id_col, text_col).join(F.broadcast(taught), "doc_id").select("text", "grade")
+    texts = written(texts, "taught")
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(words(t.as_py())) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.binary())), batch.column(1)], ["words", "grade"])
+            found = [np.array([_key(w) for w in sorted(words(t.as_py()))], np.uint64).tobytes() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], ["words", "grade"])
 
-    texts = id_and_bytes(docs, id_col, text_col).join(F.broadcast(taught), "doc_id").select("text", "grade")
-    texts = written(texts, "taught")
-    hashed = texts.mapInArrow(features, "words array<binary>, grade int").select(
-        F.transform("words", lambda w: F.xxhash64(w)).alias("words"), "grade", F.monotonically_increasing_id().alias("row")
-    )
-    placed = hashed.toPandas().sort_values(["row"])
-    grades = placed["grade"].to_numpy()
+    # Bounded: a hash per different word of the labelled rows.
+    placed = texts.mapInArrow(features, "words binary, grade int").orderBy("grade", "words").collect()
+    grades = np.array([r["grade"] for r in placed])
     if len(np.unique(grades)) < 2:
         return OrdinalModel(constant=float(grades[0]) if len(grades) else 0.0)
-    rows = np.repeat(np.arange(len(placed)), placed["words"].map(len))
-    if not len(rows):
-        rows = np.zeros(0, int)
-    keys, columns = np.unique(np.concatenate([np.asarray(w, np.int64) for w in placed["words"]]), return_inverse=True)
-    occurs = np.bincount(columns, minlength=len(keys))
-    common = (occurs >= LEAST_ROWS) & (occurs <= max(LEAST_ROWS, MOST_SHARE * len(placed)))
-    order = np.cumsum(common) - 1
+    sizes = [len(r["words"]) // 8 for r in placed]
+    rows = np.repeat(np.arange(len(placed), dtype=np.int32), sizes)
+    hashes = np.frombuffer(b"".join(r["words"] for r in placed), np.uint64)
+    del placed
+    keys, columns, occurs = np.unique(hashes, return_inverse=True, return_counts=True)
+    common = (occurs >= LEAST_ROWS) & (occurs <= max(LEAST_ROWS, MOST_SHARE * len(grades)))
     kept = common[columns]
-    weights, thresholds = fit_ordinal(rows[kept], order[columns[kept]], max(1, int(common.sum())), grades)
-    # Repeated levels of a skipped grade share a threshold, so that severity still counts in grades.
+    order = np.cumsum(common) - 1
+    rows, columns, keys = rows[kept], order[columns[kept]], keys[common]
+    weights, thresholds = fit_ordinal(rows, columns, max(1, len(keys)), grades)
+    # A grade that no label has shares the threshold of the next one, so that severity still counts in grades.
     levels = np.unique(grades)
-    gaps = np.diff(levels)
-    chosen = dict(zip(keys[common][weights[: common.sum()] != 0].tolist(), weights[weights != 0].tolist()))
-    return OrdinalModel(_spelled(texts, chosen), np.repeat(thresholds, gaps).tolist(), float(levels[0]))
+    chosen = {int(keys[i]): float(weights[i]) for i in np.flatnonzero(weights)}
+    return OrdinalModel(_spelled(texts, chosen), np.repeat(thresholds, np.diff(levels)).tolist(), float(levels[0]))
+
+
+def _key(word: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word)
 
 
 def _spelled(texts: DataFrame, chosen: dict[int, float]) -> dict[bytes, float]:
@@ -145,12 +150,11 @@ def _spelled(texts: DataFrame, chosen: dict[int, float]) -> dict[bytes, float]:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = sorted(set().union(*(words(t.as_py()) for t in batch.column(0))))
+            found = sorted(w for w in set().union(*(words(t.as_py()) for t in batch.column(0))) if _key(w) in chosen)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["word"])
 
-    spelled = texts.select("text").mapInArrow(work, "word binary").select("word", F.xxhash64("word").alias("key"))
-    wanted = spelled.where(F.col("key").isin(list(chosen))).distinct() if len(chosen) <= 1000 else spelled.distinct()
-    return {bytes(r["word"]): chosen[r["key"]] for r in wanted.collect() if r["key"] in chosen}
+    spelled = texts.select("text").mapInArrow(work, "word binary").distinct()
+    return {bytes(r["word"]): chosen[_key(bytes(r["word"]))] for r in spelled.collect()}
 
 
 def verdict(model: OrdinalModel, toxic_from: float = TOXIC_FROM) -> Callable[[Column], Column]:
