@@ -31,7 +31,7 @@ from tidemark.llm.url_trust import host_of
 
 LANGUAGES = ("en", "fr", "de", "es")
 OTHER = "other"
-SAMPLE = 6_000
+SAMPLE = 4_000
 BUCKET_BITS = 14
 SMOOTHING = 0.05
 WITNESSES = 40
@@ -85,24 +85,65 @@ def learn(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     return np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
-def likelihoods(table: np.ndarray):
-    """A pandas UDF over text bytes: per language the weighed log likelihood, NULL without letters."""
+def softmax(logs: np.ndarray) -> np.ndarray:
+    parts = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return parts / parts.sum(axis=1, keepdims=True)
 
-    @F.pandas_udf("array<double>")
-    def judge(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            total, n = np.zeros(table.shape[1]), 0
+
+def witness(table: np.ndarray, languages: tuple[str, ...]):
+    """A pandas UDF over text bytes and declaration.
+
+    Per language the log evidence of both, what share of the row each language so gets, and if there are letters.
+    """
+    said = np.log((1 - DECLARED_RIGHT) / len(languages))
+
+    @F.pandas_udf("logs array<double>, shares array<double>, letters boolean")
+    def judge(texts: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        logs, letters = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts), bool)
+        for row, (text, name) in enumerate(zip(texts, declared)):
+            n = 0
             for at in range(0, len(text or b""), PIECE):
                 found = trigrams(text[at : at + PIECE])
-                total += table[found].sum(axis=0, dtype=np.float64)
+                logs[row] += table[found].sum(axis=0, dtype=np.float64)
                 n += len(found)
-            out.append((total / n * min(n, WITNESSES)).tolist() if n else None)
-        return pd.Series(out, dtype=object)
+            logs[row] *= min(n, WITNESSES) / max(n, 1)
+            letters[row] = n > 0
+            if name in languages:
+                logs[row] += said
+                logs[row, languages.index(name)] += np.log(DECLARED_RIGHT) - said
+        return pd.DataFrame({"logs": list(logs), "shares": list(softmax(logs)), "letters": letters})
 
     return judge
 
 
+def fusion(classes: list[str], whole: np.ndarray, suffixes: int):
+    """A pandas UDF that adds priors and suffixes to the evidence of a row: language and posterior.
+
+    ``whole`` are the shares of all rows, ``suffixes`` how many different ones there are. The host's, the domain's
+    and the suffix's shares are those of all their rows, NULL without such a level; a row's own are taken out.
+    """
+    overall = np.append((whole[:-1] + 1) / (whole[:-1].sum() + len(whole) - 1) * (1 - OTHER_PRIOR), OTHER_PRIOR)
+
+    def rest(level: pd.Series, own: np.ndarray) -> np.ndarray:
+        missing = np.zeros(len(classes))
+        return np.maximum(np.stack([missing if v is None else v for v in level]) - own, 0)
+
+    @F.pandas_udf("language string, posterior double")
+    def fuse(logs: pd.Series, shares: pd.Series, host: pd.Series, domain: pd.Series, suffix: pd.Series) -> pd.DataFrame:
+        if logs.empty:
+            return pd.DataFrame({"language": pd.Series([], dtype=str), "posterior": pd.Series([], dtype=float)})
+        own, prior = np.stack(shares), overall
+        for level, pull in ((rest(domain, own), DOMAIN_PULL), (rest(host, own), HOST_PULL)):
+            prior = (level + pull * prior) / (level.sum(axis=1, keepdims=True) + pull)
+        known = np.array([v is not None for v in suffix])
+        told = np.log((rest(suffix, own) + 1) / (np.maximum(whole - own, 0) + max(suffixes, 1)))
+        posterior = softmax(np.stack(logs) + np.log(prior) + np.where(known[:, None], told, 0.0))
+        best = posterior.argmax(axis=1)
+        return pd.DataFrame({"language": np.array(classes)[best], "posterior": posterior.max(axis=1)})
+
+    return fuse
+
+
 def markup_language(html: Column) -> Column:
     """The ``lang`` that the root element of a page declares, without its region; NULL if none."""
     named = F.regexp_extract(F.substring(html, 1, 4000), r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]+)""", 1)
@@ -120,94 +161,51 @@ def domain_of(host: Column) -> Column:
 
 
 def web_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, text, declared, host, suffix) of web pages; markup is taken out of the text."""
+    """(id, text, declared, host) of web pages; markup is taken out of the text."""
     host = F.nullif(host_of(F.col(url_col)), F.lit(""))
     plain = F.regexp_replace(F.regexp_replace(html_col, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
     return pages.select(
         F.col(id_col).cast("long").alias("id"), plain.alias("text"), markup_language(F.col(html_col)).alias("declared"),
-        host.alias("host"), suffix_of(host).alias("suffix"),
+        host.alias("host"),
     )
 
 
 def document_evidence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(id, text, declared, host, suffix) of documents, whose source stands for the host."""
+    """(id, text, declared, host) of documents, whose source stands for the host."""
     return docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lower(lang_col).alias("declared"),
-        F.col(source_col).alias("host"), suffix_of(F.col(source_col)).alias("suffix"),
+        F.col(source_col).alias("host"),
     )
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    total = F.aggregate(F.array(*logs), F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - top))
-    return [F.exp(x - top) / total for x in logs]
-
-
-def _sums(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
-
-
 def identify(evidence: DataFrame, keys: list[str], languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     """The key columns with language, posterior and kept, for every row.
 
-    ``evidence`` has the keys and id, text, declared, host and suffix.
+    ``evidence`` has the keys, text, declared and host; the keys name a row.
     """
     classes = [*languages, OTHER]
-    read = evidence.select(*keys, "id", F.col("text").cast("binary").alias("text"), "declared", "host", "suffix")
-    taught = bounded_sample(read.where(F.col("declared").isin(*languages)), "id", "declared", rows=SAMPLE)
+    read = evidence.select(*keys, F.col("text").cast("binary").alias("text"), "declared", "host")
+    taught = bounded_sample(read.where(F.col("declared").isin(*languages)), *keys, "declared", rows=SAMPLE)
     table = learn(taught.select("text", "declared"), languages)
-    scored = written(
-        read.select(*keys, "declared", "host", "suffix", domain_of(F.col("host")).alias("domain"), likelihoods(table)("text").alias("text")),
-        "likelihoods",
-    )
-    known = F.col("declared").isin(*languages)
-    own = []
-    for i, name in enumerate(classes):
-        said = F.when(F.col("declared") == name, DECLARED_RIGHT).otherwise((1 - DECLARED_RIGHT) / len(languages))
-        own.append(F.coalesce(F.col("text")[i], F.lit(0.0)) + F.when(known, F.log(said)).otherwise(0.0))
-    shares = [f"share_{i}" for i in range(len(classes))]
-    logs = [f"log_{i}" for i in range(len(classes))]
-    rows = scored.withColumns(dict(zip(logs, own)))
-    rows = rows.withColumns(dict(zip(shares, _softmax([F.col(x) for x in logs]))))
-
-    whole = rows.agg(*[F.sum(s).alias(s) for s in shares], F.countDistinct("suffix").alias("suffixes")).first()
-    total = sum(whole[s] or 0.0 for s in shares[:-1])
-    overall = [((whole[s] or 0.0) + 1) / (total + len(languages)) * (1 - OTHER_PRIOR) for s in shares[:-1]] + [OTHER_PRIOR]
-
-    def joined(rows: DataFrame, key: str, prefix: str) -> DataFrame:
-        sums = _sums(rows, key, shares).select(key, *[F.col(s).alias(f"{prefix}{s}") for s in shares])
-        return rows.join(sums, key, "left")
-
-    for key, prefix in (("host", "h_"), ("domain", "d_"), ("suffix", "s_")):
-        rows = joined(rows, key, prefix)
-
-    def add(rows: DataFrame, prefix: str, values: list[Column]) -> tuple[DataFrame, list[Column]]:
-        """One column per class, so that the next step names it and does not compute it again."""
-        names = [f"{prefix}_{i}" for i in range(len(values))]
-        return rows.withColumns(dict(zip(names, values))), [F.col(n) for n in names]
-
-    def level(rows: DataFrame, prefix: str, above: list[Column], pull: float) -> tuple[DataFrame, list[Column]]:
-        """Shares at a level without the row's own, drawn towards the level above."""
-        others = [F.greatest(F.coalesce(F.col(f"{prefix}{s}") - F.col(s), F.lit(0.0)), F.lit(0.0)) for s in shares]
-        rows, rest = add(rows, f"{prefix}rest", others)
-        rows = rows.withColumn(f"{prefix}size", sum(rest[1:], rest[0]))
-        return add(rows, f"{prefix}prior", [(r + pull * a) / (F.col(f"{prefix}size") + pull) for r, a in zip(rest, above)])
-
-    rows, prior = level(rows, "d_", [F.lit(p) for p in overall], DOMAIN_PULL)
-    rows, prior = level(rows, "h_", prior, HOST_PULL)
-    fused = []
-    for i, s in enumerate(shares):
-        seen = F.greatest(F.col(f"s_{s}") - F.col(s), F.lit(0.0)) + 1
-        suffix = F.coalesce(F.log(seen / ((whole[s] or 0.0) + max(whole["suffixes"], 1))), F.lit(0.0))
-        fused.append(F.col(logs[i]) + F.log(prior[i]) + suffix)
-    rows, fused = add(rows, "fused", fused)
-    rows, posterior = add(rows, "posterior", _softmax(fused))
-    rows = rows.withColumn("best", F.greatest(*posterior))
-    best = F.col("best")
-    language = F.lit(None).cast("string")
-    for name, p in reversed(list(zip(classes, posterior))):
-        language = F.when(p == best, name).otherwise(language)
-    rows = rows.withColumn("language", language)
-    judged = rows.select(*keys, "language", best.alias("posterior"), F.col("text").isNotNull().alias("letters"))
+    seen = witness(table, languages)(F.col("text"), F.col("declared")).alias("w")
+    rows = written(read.select(*keys, "host", seen).select(*keys, "host", "w.*"), "evidence")
+
+    def added(frame: DataFrame, name: str):
+        return frame.agg(F.array(*[F.sum(F.col(name)[i]) for i in range(len(classes))]).alias("sums"))
+
+    hosts = added(rows.where("host IS NOT NULL").groupBy("host"), "shares").withColumnRenamed("sums", "of_host")
+    hosts = written(hosts.select("*", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")), "hosts")
+    # Domain and suffix follow from the host, so what is known of all three is one row per host.
+    for level in ("domain", "suffix"):
+        sums = added(hosts.where(F.col(level).isNotNull()).groupBy(level), "of_host")
+        hosts = hosts.join(sums.withColumnRenamed("sums", f"of_{level}"), level, "left")
+    whole = added(rows, "shares").first()["sums"]
+    suffixes = hosts.agg(F.countDistinct("suffix")).first()[0]
+    # Rows without a host meet nobody; spread out, they do not meet in one task either.
+    apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
+    joined = rows.withColumn("host", F.coalesce("host", apart)).join(hosts, "host", "left")
+    fuse = fusion(classes, np.array([x or 0.0 for x in whole]), suffixes)
+    fused = fuse(*[F.col(c) for c in ("logs", "shares", "of_host", "of_domain", "of_suffix")])
+    judged = joined.select(*keys, "letters", fused.alias("f")).select(*keys, "letters", "f.*")
     kept = F.col("letters") & (F.col("language") != OTHER) & (F.col("posterior") >= SURE)
     return judged.select(*keys, "language", "posterior", kept.alias("kept"))
