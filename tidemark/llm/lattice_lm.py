@@ -142,6 +142,22 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the highest counts, ``most`` of them or fewer: as many whole steps of the count as fit.
+
+    A step is an eighth of a power of two, so some five hundred numbers say where to stop.
+    """
+    step = F.floor(F.log2("c") * 8).cast("int")
+    sizes = sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"])
+    lowest, taken = 1 << 30, 0
+    for r in sizes:
+        taken += r["count"]
+        if taken > most:
+            break
+        lowest = r["step"]
+    return counts.where(step >= lowest)
+
+
 def reweighted(counts: DataFrame, weights: dict, byte_weights: list, longest: int, prior: float) -> dict[str, float]:
     """One round of expected counts over all training words; the result is as large as the vocabulary."""
 
@@ -186,12 +202,22 @@ def score_documents(
     def end_of(lattice_log: float, c: int) -> float:
         return math.log10(c + smooth * math.exp(lattice_log))
 
-    top = {r["word"].encode(): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(frequent).collect()}
     base_end, score_end = math.log10(ends + 1), end_of(end_weight, ends)
 
+    def with_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words with their counts and the logarithm that the model scores them by."""
+        lattice = Lattice(weights, byte_weights, longest)
+        for batch in batches:
+            found, cs = batch.column(0), batch.column(1).to_pylist()
+            logs = [end_of(lattice.log_probability(w), c) for w, c in zip(found.to_pylist(), cs)]
+            yield pa.RecordBatch.from_arrays([found, pa.array(cs, pa.int64()), pa.array(logs, pa.float64())], ["word", "c", "log"])
+
+    scored_schema = "word string, c long, log double"
+    frequent_words = most_frequent(counts, frequent).mapInArrow(with_logs, scored_schema).collect()
+    top = {r["word"].encode(): (r["c"], math.log10(r["c"] + 1), r["log"]) for r in frequent_words}
+
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums over the frequent words of each row; its other words follow as rows of their own."""
-        lattice, known = Lattice(weights, byte_weights, longest), {}
         for batch in batches:
             out = []
             for row, doc, held, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -199,35 +225,23 @@ def score_documents(
                 n, n_known, base, score = 1, int(ends > 0), base_end, score_end
                 for word, times in found.items():
                     n += times
-                    c = top.get(word)
-                    if c is None:
+                    logs = top.get(word)
+                    if logs is None:
                         out.append((row, None, None, 0, 0, 0.0, 0.0, word, times))
                         continue
-                    logs = known.get(word)
-                    if logs is None:
-                        log = end_of(lattice.log_probability(word.decode()), c)
-                        logs = known[word] = math.log10(c + 1), log
                     n_known += times
-                    base += times * logs[0]
-                    score += times * logs[1]
+                    base += times * logs[1]
+                    score += times * logs[2]
                 out.append((row, doc, held, n, n_known, base, score, None, 0))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 9, KINDS)], NAMES)
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Count of a word, and its two logarithms."""
-        lattice = Lattice(weights, byte_weights, longest)
-        for batch in batches:
-            found, cs = batch.column(0), batch.column(1).to_pylist()
-            logs = [end_of(lattice.log_probability(w), c) for w, c in zip(found.to_pylist(), cs)]
-            yield pa.RecordBatch.from_arrays([found, pa.array(cs, pa.int64()), pa.array(logs, pa.float64())], ["word", "c", "log"])
-
     numbered = read.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     parts = written(numbered.mapInArrow(first, SCHEMA), "parts")
     of_rows = parts.where("word IS NULL")
     others = parts.where("word IS NOT NULL").select("row", F.col("word").cast("string").alias("word"), "times")
     scored = others.select("word").distinct().join(counts, "word", "left")
     scored = scored.select("word", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
-    scored = scored.mapInArrow(rare, "word string, c long, log double")
+    scored = scored.mapInArrow(with_logs, scored_schema)
     sums = others.join(scored, "word").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
         F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("base"),
