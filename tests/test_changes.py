@@ -59,3 +59,13 @@ def test_record_with_its_schema_and_own_position(spark):
     rows = changes.unwrap(df).orderBy("lsn").collect()
     assert [(r["lsn"], r["id"], r["op"]) for r in rows] == [(40, 7, "c"), (41, 7, "d")]
     assert changes.current_state(changes.latest_images(changes.unwrap(df))).count() == 0
+
+
+def test_a_record_without_a_position_is_kept_and_yields_to_one_with(spark):
+    def record(lsn, key, kind, ts):
+        return lsn, f'{{"before":null,"after":{{"id":{key},"user_id":"a","item_id":"b","event_type":"{kind}"}},"op":"c","ts_ms":{ts}}}'
+
+    rows = [record(None, 5, "like", 9), record(None, 5, "share", 11), record(None, 6, "click", 99), record(3, 6, "dwell", 1)]
+    unwrapped = changes.unwrap(spark.createDataFrame(rows, "lsn long, value string"))
+    state = changes.current_state(changes.latest_images(unwrapped)).collect()
+    assert {r["id"]: r["event_type"] for r in state} == {5: "share", 6: "dwell"}

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
@@ -34,55 +35,82 @@ def text_stream(spark, wire):
     return topics.stream(spark, "text", {"maxFilesPerTrigger": "1"}, str(wire))
 
 
-RECORDS = [("u1", "click", 0), ("u2", "click", -3), ("u3", "click", 8), ("u9", "share", 20), ("u4", "click", -30)]
+# Second of each record, in arrival order; the mark trails the largest before it by two seconds. A record is late
+# once the mark has passed its window by five: 31 comes after 55, 44 and 58 after 71.
+SECONDS = [40, 38, 55, 31, 47, 71, 44, 58, 62]
+LATE = [31, 44, 58]
 
 
-def test_one_record_per_batch_is_the_per_record_rule_across_restarts(spark, tmp_path):
-    wire = tmp_path / "wire"
+def topic(spark, path, seconds, first=0, parts=1):
+    schema = "value string, timestamp timestamp, partition int, offset long"
+    rows = [(line(f"p{s}", "like", s), None, 0, first + i) for i, s in enumerate(seconds)]
+    spark.createDataFrame(rows, schema).repartition(parts).write.mode("append").parquet(path)
+
+
+def by_rule(seconds):
+    """Count per window and late seconds, record by record."""
+    kept, late, peak = {}, [], None
+    for second in seconds:
+        start = second - second % 10
+        if peak is not None and (peak - 2) * 1000 >= (start + 10) * 1000 - 1 + 5000:
+            late.append(second)
+        else:
+            kept[("like", start)] = kept.get(("like", start), 0) + 1
+        peak = second if peak is None else max(peak, second)
+    return kept, late
+
+
+def late_seconds(counted):
+    return sorted(int(r["user_id"][1:]) for r in counted.late().collect())
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, 4, len(SECONDS)])
+def test_late_is_what_the_records_before_say_however_they_are_cut(spark, tmp_path, per_batch):
     counted = WindowedCounts(spark, str(tmp_path / "state"))
-    for i, record in enumerate(RECORDS):
-        put(wire, f"{i}.json", line(*record), "{not json")
+    wire = str(tmp_path / "wire")
+    for at in range(0, len(SECONDS), per_batch):
+        topic(spark, wire, SECONDS[at : at + per_batch], at, parts=3)
         # A new start each time: the checkpoint carries on.
-        counted.start(text_stream(spark, wire), once=True)
-    assert counts(counted) == {("click", -10): 1, ("click", 0): 2, ("share", 20): 1}
-    assert [r["user_id"] for r in counted.late().collect()] == ["u4"]
-    counted.start(text_stream(spark, wire), once=True)
-    assert sum(counts(counted).values()) == 4
+        counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
+    kept, late = by_rule(SECONDS)
+    assert late == LATE and counts(counted) == kept and late_seconds(counted) == sorted(LATE)
 
 
-def test_one_big_batch_is_more_lenient(spark, tmp_path):
-    wire = tmp_path / "wire"
-    put(wire, "all.json", *[line(*r) for r in RECORDS])
+def test_partitions_have_marks_of_their_own(spark, tmp_path):
     counted = WindowedCounts(spark, str(tmp_path / "state"))
-    counted.start(text_stream(spark, wire), once=True)
-    assert counted.late().count() == 0
-    assert sum(counts(counted).values()) == 5
+    schema = "user_id string, item_id string, event_type string, created_at timestamp, partition int, offset long"
+    at = lambda s: datetime.fromtimestamp(BASE + s, timezone.utc)
+    counted._take(spark.createDataFrame([("p90", "i", "like", at(90), 0, 5), ("p10", "i", "like", at(10), 1, 9)], schema), 0)
+    counted._take(spark.createDataFrame([("p11", "i", "like", at(11), 1, 10), ("p12", "i", "like", at(12), 0, 6)], schema), 1)
+    assert late_seconds(counted) == [12]
 
 
 def test_replayed_batch_replaces_itself_and_fold_changes_nothing(spark, tmp_path):
-    wire = tmp_path / "wire"
+    wire = str(tmp_path / "wire")
     counted = WindowedCounts(spark, str(tmp_path / "state"))
-    for i, record in enumerate(RECORDS):
-        put(wire, f"{i}.json", line(*record))
-        counted.start(text_stream(spark, wire), once=True)
-    before, late = counts(counted), counted.late().collect()
-    last = spark.createDataFrame(
-        [("u4", "i", "click", datetime.fromtimestamp(BASE - 30, timezone.utc))],
+    for i, second in enumerate(SECONDS):
+        topic(spark, wire, [second], i)
+        counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
+    last = len(SECONDS) - 1
+    before = counts(counted), late_seconds(counted)
+    again = spark.createDataFrame(
+        [(f"p{SECONDS[-1]}", "i", "like", datetime.fromtimestamp(BASE + SECONDS[-1], timezone.utc))],
         "user_id string, item_id string, event_type string, created_at timestamp",
     )
-    counted._take(last, 4)
-    assert counts(counted) == before and counted.late().collect() == late
-    counted.fold(3)
-    assert counts(counted) == before
-    counted._take(last, 4)
-    assert counts(counted) == before and counted.late().collect() == late
-    counted.fold(4)
-    counted.fold(4)
-    assert counts(counted) == before and counted.late().collect() == late
-    # The peak survives the fold: a new far-behind record is still late.
-    put(wire, "9.json", line("u7", "click", -60))
-    counted.start(text_stream(spark, wire), once=True)
-    assert sorted(r["user_id"] for r in counted.late().collect()) == ["u4", "u7"]
+    for upto in (None, last - 1, last, last):
+        if upto is not None:
+            counted.fold(upto)
+        if upto != last:
+            counted._take(again, last)
+        assert (counts(counted), late_seconds(counted)) == before
+    # The peak survives the fold.
+    topic(spark, wire, [33], last + 1)
+    counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
+    assert late_seconds(counted) == [31, 33, 44, 58]
+
+
+def peak(counted, batch_id):
+    return [r["peak_ms"] for r in counted._peaks_before(batch_id).collect()]
 
 
 def test_long_stream_folds_itself(spark, tmp_path):
@@ -92,7 +120,7 @@ def test_long_stream_folds_itself(spark, tmp_path):
         at = datetime.fromtimestamp(BASE + batch_id, timezone.utc)
         counted._take(spark.createDataFrame([("u", "i", "click", at)], schema), batch_id)
     assert counts(counted) == {("click", 0): 8}
-    assert counted._peak_before(8) == (BASE + 7) * 1000
+    assert peak(counted, 8) == [(BASE + 7) * 1000]
     assert len(list((tmp_path / "state" / "counts" / "batches").iterdir())) == 2
 
 
@@ -102,8 +130,8 @@ def test_empty_batches_keep_the_peak(spark, tmp_path):
     at = datetime.fromtimestamp(BASE, timezone.utc)
     counted._take(spark.createDataFrame([("u", "i", "click", at)], schema), 0)
     counted._take(spark.createDataFrame([], schema), 1)
-    assert counted._peak_before(2) == BASE * 1000
-    assert counted._peak_before(0) is None
+    assert peak(counted, 2) == [BASE * 1000]
+    assert peak(counted, 0) == []
 
 
 def test_half_written_batch_is_not_read(spark, tmp_path):
@@ -115,6 +143,14 @@ def test_half_written_batch_is_not_read(spark, tmp_path):
     assert total(log.rows(), ("event_type",)).first()["n"] == 1
 
 
+def test_a_batch_beside_a_landing_stream_is_refused(spark, tmp_path):
+    put(tmp_path / "wire", "0.json", *lake_lines(2))
+    table = str(tmp_path / "lake")
+    land(text_stream(spark, tmp_path / "wire"), table, str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)), once=True)
+    with pytest.raises(ValueError, match="belongs to a landing stream"):
+        lake.append(lake.scan(spark, table), table)
+
+
 def lake_lines(n, start=0):
     return [line(f"u{i}", "click", i * 3600) for i in range(start, start + n)]
 

@@ -37,6 +37,8 @@ def as_of_join(
     exchange by ``key`` already, as computed sources do: then only the entity rows are moved to them, and the
     union of the two keeps the placement. Stored features and entity rows share one exchange instead.
     """
+    # A NULL key meets no feature, here as in an online lookup.
+    features = features.where(F.col(key).isNotNull())
     if hot is None:
         keys = entities.select(key).unionAll(features.select(key))
         hot = hot_groups.hot_keys(keys, key)[key]

@@ -39,11 +39,13 @@ def unwrap(changes: DataFrame, order: str = "lsn", value: str = "value") -> Data
 def latest_images(unwrapped: DataFrame, order: str = "lsn") -> DataFrame:
     """Last change per key, deletes kept as markers. Mergeable: latest images of parts can be merged again.
 
-    The log position decides, as it is the order of commit; the partial maximum runs before the exchange, so
-    a key that changes all the time sends one row per task.
+    The log position decides, as it is the order of commit, then the change time; a record without a position
+    counts before all that have one. The partial maximum runs before the exchange, so a key that changes all the
+    time sends one row per task.
     """
     columns = [c for c in unwrapped.columns if c != "id"]
-    newest = F.max_by(F.struct(*columns), F.col(order))
+    # NULLs are the least values inside a struct, and the struct itself is never NULL.
+    newest = F.max_by(F.struct(*columns), F.struct(order, "ts_ms"))
     return unwrapped.groupBy("id").agg(newest.alias("_v")).select("id", *[f"_v.{c}" for c in columns])
 
 

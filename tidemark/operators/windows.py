@@ -31,21 +31,31 @@ def arrival_watermark(
     ms: str = "ms",
     bound_ms: int = OUT_OF_ORDER_MS,
     run_length: int = RUN_LENGTH,
+    source: str | None = None,
+    peaks: DataFrame | None = None,
 ) -> DataFrame:
     """Events with ``watermark_ms`` as it stood before each of them; NULL on the first.
 
     ``arrival`` is a unique integer position. A running maximum over the whole stream would be one task, so
     it is taken within runs of positions, and the maxima of the earlier runs, one row per run, are added.
+
+    With ``source`` every source has positions and a watermark of its own, and ``peaks`` (source, peak_ms) may
+    say what its largest event time was before these events.
     """
+    by = [source] if source else []
     runs = events.withColumn("_run", F.col(arrival) - F.pmod(F.col(arrival), F.lit(run_length)))
-    inside = Window.partitionBy("_run").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, "_run").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     per_run = (
-        runs.groupBy("_run").agg(F.max(ms).alias("_peak")).select("_run", F.max("_peak").over(earlier).alias("_before"))
+        runs.groupBy(*by, "_run").agg(F.max(ms).alias("_peak")).select(*by, "_run", F.max("_peak").over(earlier).alias("_before"))
     )
+    if peaks is not None:
+        per_run = per_run.join(peaks.select(*by, F.col("peak_ms").alias("_seed")), by, "left").withColumn(
+            "_before", F.greatest("_before", "_seed")
+        )
     return (
         runs.withColumn("_inside", F.max(ms).over(inside))
-        .join(per_run, "_run")
+        .join(per_run.select(*by, "_run", "_before"), [*by, "_run"])
         # greatest skips NULLs: no earlier run, or first of its run.
         .withColumn("watermark_ms", F.greatest("_inside", "_before") - F.lit(bound_ms))
         .drop("_run", "_inside", "_before")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.plans.queries import BEHIND_MS, LATER_WIRE_MS
 from tidemark.sources.derived import DENSE_EPOCH_MS
 
 _INTERACTIONS = """
@@ -157,17 +156,6 @@ changed AS (
   UNION ALL SELECT seq * 3 + 2, seq, 'd', NULL, NULL, NULL FROM interactions WHERE seq % 25 = 0)
 """
 
-_DELIVERED = f"""
-delivered AS (
-  SELECT user_id, item_id, event_type, {DENSE_EPOCH_MS} + seq * 700 AS ms, false AS late FROM interactions
-  UNION ALL
-  SELECT user_id, item_id, event_type,
-    CASE WHEN seq % 3 = 0 THEN {DENSE_EPOCH_MS} - {BEHIND_MS} - seq * 700
-         ELSE {DENSE_EPOCH_MS} + seq * 700 + {LATER_WIRE_MS} END AS ms,
-    seq % 3 = 0 AS late FROM interactions)
-"""
-
-
 def _with(*ctes_and_select: str) -> str:
     *ctes, select = ctes_and_select
     return "WITH " + ", ".join(c.strip() for c in (_INTERACTIONS, *ctes)) + "\n" + select.strip()
@@ -233,13 +221,11 @@ ORACLES: dict[str, str] = {
     "lake_partitions": _with(
         "SELECT CAST(created_at AS DATE) AS created_day, count(*) AS n FROM interactions GROUP BY 1"
     ),
-    "stream_counts": _with(
-        _DELIVERED,
-        f"""SELECT event_type, {_ntz("ms - ms % 10000")} AS window_start, count(*) AS n
-            FROM delivered WHERE NOT late GROUP BY 1, 2""",
-    ),
+    "stream_counts": _with(_WATERMARK, _COUNTS, "SELECT event_type, window_start, n FROM counts"),
     "stream_late": _with(
-        _DELIVERED, f"SELECT user_id, item_id, event_type, {_ntz('ms')} AS created_at FROM delivered WHERE late"
+        _WATERMARK,
+        f"""SELECT user_id, item_id, j.event_type, {_ntz('ms')} AS created_at
+            FROM judged j JOIN interactions USING (seq) WHERE late""",
     ),
     "stream_lake_append": _with(
         _CLASSES, _CONSUMED, "SELECT user_id, item_id, event_type, created_at, ingested_at FROM consumed"

@@ -21,8 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values shared with the SQL checks.
 MATERIALIZE_END = "TIMESTAMP_NTZ'2024-01-25 00:00:00'"
-LATER_WIRE_MS = 100_000_000_000
-BEHIND_MS = 60_000
 
 
 def _zoneless(df: DataFrame, *names: str) -> DataFrame:
@@ -125,28 +123,16 @@ def lake_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ----------------------------------------------------------------------------------------------
 
 
-def _publish_at(rows: DataFrame, ms: str, path: str) -> None:
-    """Envelopes of the rows at a given event time, added to a topic folder."""
-    timed = rows.withColumn("created_at", F.timestamp_millis(F.expr(ms)))
-    records = gateway.serialize(timed, keep=("created_at",)).withColumnRenamed("created_at", "timestamp")
-    records.write.mode("append").parquet(path)
-
-
 def _counted_stream(spark: SparkSession, sf_dir: str) -> WindowedCounts:
-    """Two deliveries of all events, the stream stopped between them.
-
-    The first is in order. In the second every third event lies a minute or more before the first delivery
-    began, so it is too late; the others follow on.
-    """
-    rows = derived.interactions(spark, sf_dir)
+    """The dense interactions in the order of their offsets, all of them in one delivery of several files."""
+    timed = derived.dense_interactions(spark, sf_dir).withColumn("created_at", F.timestamp_millis("ms"))
+    records = gateway.serialize(timed, keep=("created_at", "seq"))
     directory = shared_dir(spark, "counts")
     wire = f"{directory}/wire"
+    named = records.withColumnsRenamed({"created_at": "timestamp", "seq": "offset"}).withColumn("partition", F.lit(0))
+    named.repartition(4, "offset").write.parquet(wire)
     counted = WindowedCounts(spark, directory)
-    first = f"{derived.DENSE_EPOCH_MS} + seq * 700"
-    behind = f"{derived.DENSE_EPOCH_MS} - {BEHIND_MS} - seq * 700"
-    for ms in (first, f"CASE WHEN seq % 3 = 0 THEN {behind} ELSE {first} + {LATER_WIRE_MS} END"):
-        _publish_at(rows, ms, wire)
-        counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
+    counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
     return counted
 
 

@@ -52,12 +52,20 @@ def with_day(events: DataFrame) -> DataFrame:
     return events.select(*EVENT_COLUMNS, F.to_date("created_at").alias(DAY))
 
 
+def refuse_stream_folder(spark: SparkSession, path: str) -> None:
+    """A folder that a stream lands in is read by the stream's own log, which would hide a batch written beside it."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} belongs to a landing stream: land the batch through it, or through a catalog table")
+
+
 def append(events: DataFrame, path: str) -> str:
     """Append a batch, few files per day.
 
     The rebalance hint lets AQE cut a big day into several tasks and put small days together, where a plain
     repartition by day would give a day with a third of the rows to one task.
     """
+    refuse_stream_folder(events.sparkSession, path)
     placed = with_day(events).hint("rebalance", DAY)
     placed.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(DAY).parquet(path)
     return path

@@ -1,9 +1,10 @@
 """Live ten-second counts that keep too-late events instead of dropping them.
 
-Spark's own windowed aggregate drops what is behind the watermark. Here each micro-batch is judged against
-the largest event time of the batches before it, and both outcomes are written: partial counts to one batch
-log, late events whole to another. A batch may hold many records where the reference rule moves record by
-record, so a bigger batch is more lenient, never stricter.
+Spark's own windowed aggregate drops what is behind the watermark. Here each record is judged by the records
+before it in its partition of the topic, those of earlier batches by their recorded peak and those of its own
+batch by their offsets, so it does not matter how the records were cut into batches. Both outcomes are written:
+partial counts to one batch log, late events whole to another. Records without an offset count in the order in
+which they are read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ _LATE = T.StructType(
         T.StructField("created_at", T.TimestampType()),
     ]
 )
-_PEAK = T.StructType([T.StructField("peak_ms", T.LongType())])
+_PEAK = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("peak_ms", T.LongType())])
 
 
 class WindowedCounts:
@@ -56,32 +57,28 @@ class WindowedCounts:
         return run(writer.option("checkpointLocation", self.checkpoint), once)
 
     def _take(self, batch: DataFrame, batch_id: int) -> None:
-        peak = self._peak_before(batch_id)
-        mark = F.lit(None).cast("long") if peak is None else F.lit(peak - self.out_of_order_ms)
-        judged = windows.judge(
-            batch.withColumn("ms", F.unix_millis("created_at")).withColumn("watermark_ms", mark)
-        ).persist()
+        peaks = self._peaks_before(batch_id)
+        placed = _placed(batch).withColumn("ms", F.unix_millis("created_at")).persist()
+        marked = windows.arrival_watermark(placed, "offset", bound_ms=self.out_of_order_ms, source="partition", peaks=peaks)
+        judged = windows.judge(marked).persist()
         try:
-            # One row per type, window and verdict: small whatever the size of the batch.
-            groups = judged.groupBy("event_type", "start_ms", "late").agg(F.count("*").alias("n"), F.max("ms").alias("peak"))
-            groups = groups.persist()
-            self.counts_log.put(groups.where(~F.col("late")).select(*_COUNTS.names), batch_id)
-            summary = groups.agg(F.max("peak").alias("peak"), F.max("late").alias("any_late")).first()
-            if summary["any_late"]:
+            # One row per partition, type, window and verdict: small whatever the size of the batch.
+            groups = judged.groupBy("partition", "event_type", "start_ms", "late").agg(F.count("*").alias("n"), F.max("ms").alias("peak_ms"))
+            counted = total(groups.where(~F.col("late")), ("event_type", "start_ms"))
+            self.counts_log.put(counted.select(*_COUNTS.names), batch_id)
+            if not groups.where("late").isEmpty():
                 self.late_log.put(windows.late_events(judged).select(*_LATE.names), batch_id)
-            seen = [p for p in (peak, summary["peak"]) if p is not None]
-            highest = F.lit(max(seen, default=None)).cast("long").alias("peak_ms")
-            self.peak_log.put(self.spark.range(1).select(highest), batch_id)
-            groups.unpersist()
+            seen = peaks.unionByName(groups.select(*_PEAK.names))
+            self.peak_log.put(_highest(seen), batch_id)
         finally:
-            judged.unpersist()
+            for kept in (judged, placed):
+                kept.unpersist()
         if batch_id and batch_id % self.fold_every == 0:
             self.fold(batch_id - 1)
 
-    def _peak_before(self, batch_id: int) -> int | None:
-        """Each batch records the peak so far, so only the one before is read, also when a batch is replayed."""
-        row = self.peak_log.before(batch_id).agg(F.max("peak_ms").alias("peak_ms")).first()
-        return row["peak_ms"]
+    def _peaks_before(self, batch_id: int) -> DataFrame:
+        """Each batch records the peaks so far, so only the one before is read, also when a batch is replayed."""
+        return _highest(self.peak_log.before(batch_id))
 
     def counts(self) -> DataFrame:
         """Count per type and window as of now; a window's row is updated by allowed late events."""
@@ -102,4 +99,18 @@ class WindowedCounts:
         stay as they were written: only batches that had some left a folder.
         """
         self.counts_log.fold(lambda rows: total(rows, ("event_type", "start_ms")), upto)
-        self.peak_log.fold(lambda rows: rows.agg(F.max("peak_ms").alias("peak_ms")), upto)
+        self.peak_log.fold(_highest, upto)
+
+
+def _highest(peaks: DataFrame) -> DataFrame:
+    return peaks.groupBy("partition").agg(F.max("peak_ms").alias("peak_ms"))
+
+
+def _placed(batch: DataFrame) -> DataFrame:
+    """The batch with a partition and an offset on every record."""
+    own = {c: F.col(c) if c in batch.columns else F.lit(None) for c in ("partition", "offset")}
+    as_read = F.monotonically_increasing_id()
+    return batch.withColumns({
+        "partition": F.coalesce(own["partition"], F.lit(0)).cast("int"),
+        "offset": F.coalesce(own["offset"], as_read).cast("long"),
+    })
