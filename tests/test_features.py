@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import features, hot
-from tidemark.schemas import EVENT_COLUMNS, ITEM_FEATURES, USER_FEATURES
+from tidemark.schemas import EVENT_COLUMNS
 
 NONE_HOT = {"user_id": [], "item_id": []}
 WEEK = timedelta(days=7)
@@ -21,71 +21,6 @@ def ev(kind, created, ingested, user="u1", item="i1"):
     return (user, item, kind, f"2026-01-{created}Z", f"2026-01-{ingested}Z")
 
 
-def rows_of(df, kind):
-    return features.feature_rows(df, hot=NONE_HOT).where(F.col("kind") == kind).orderBy("event_timestamp").collect()
-
-
-def test_current_event_is_excluded(spark):
-    df = events(spark, ev("click", "01T00:00:00", "01T00:00:01"), ev("impression", "02T00:00:00", "02T00:00:01"))
-    first, second = rows_of(df, 0)
-    assert first["user_click_count_7d"] == 0
-    assert [second[c] for c in USER_FEATURES] == [1, 1] and second["item_event_count_7d"] == 1
-    assert second["event_timestamp"] == datetime(2026, 1, 2)
-
-
-def test_seven_day_boundary(spark):
-    df = events(spark, ev("click", "01T00:00:00", "01T00:00:01"), ev("impression", "08T00:00:00", "08T00:00:01"))
-    row = rows_of(df, 0)[1]
-    assert row["user_event_count_7d"] == 0 and row["item_click_count_7d"] == 0
-
-
-def test_ties_are_scored_before_history_moves(spark):
-    df = events(
-        spark,
-        ev("click", "01T00:00:00", "01T00:00:01"),
-        ev("impression", "01T00:00:00", "01T00:00:02"),
-        ev("impression", "01T01:00:00", "01T01:00:01"),
-    )
-    got = rows_of(df, 0)
-    assert [r["user_event_count_7d"] for r in got] == [0, 0, 2]
-    assert [r["user_click_count_7d"] for r in got] == [0, 0, 1]
-
-
-def test_late_event_is_unseen_until_ingested(spark):
-    df = events(
-        spark,
-        ev("click", "01T10:00:00", "01T10:05:00"),
-        ev("impression", "01T10:02:00", "01T10:02:01"),
-        ev("impression", "01T10:06:00", "01T10:06:01"),
-    )
-    assert [r["user_click_count_7d"] for r in rows_of(df, 0)] == [0, 0, 1]
-
-
-def test_delayed_availability(spark):
-    df = events(spark, ev("click", "01T10:00:00", "01T10:05:00"))
-    (row,) = rows_of(df, 1)
-    assert row["event_timestamp"] == datetime(2026, 1, 1, 10, 5)
-    assert [row[c] for c in (*USER_FEATURES, *ITEM_FEATURES)] == [1, 1, 1, 1]
-
-
-def test_equal_clocks_give_both_rows(spark):
-    df = events(spark, ev("click", "01T10:00:00", "01T10:00:00"))
-    got = features.in_snapshot_order(features.feature_rows(df, hot=NONE_HOT)).collect()
-    assert [r["user_event_count_7d"] for r in got] == [0, 1]
-    assert [r["user_click_count_7d"] for r in got] == [0, 1]
-
-
-def test_events_expire_independently(spark):
-    df = events(
-        spark,
-        ev("click", "01T00:00:00", "01T00:00:01"),
-        ev("impression", "01T00:00:01", "01T00:00:02"),
-        ev("impression", "08T00:00:01", "08T00:00:02"),
-    )
-    row = rows_of(df, 0)[2]
-    assert row["user_event_count_7d"] == 0 and row["user_click_count_7d"] == 0
-
-
 def test_missing_columns(spark):
     df = spark.createDataFrame([("u1",)], "user_id string")
     with pytest.raises(ValueError, match="events missing required columns: .'created_at', 'event_type'"):

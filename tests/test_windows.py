@@ -25,38 +25,6 @@ def late(df):
     return sorted(r["user_id"] for r in windows.late_events(df).collect())
 
 
-def test_two_windows(spark):
-    df = judged(
-        spark,
-        [("u1", "click", 0), ("u2", "click", 3), ("u1", "impression", 4), ("u3", "click", 9), ("u4", "impression", 5), ("u5", "click", 12)],
-        bound_ms=0,
-    )
-    assert counts(df) == {("click", 0): 3, ("impression", 0): 2, ("click", 10): 1}
-    assert late(df) == []
-
-
-def test_too_late_goes_to_the_side_output(spark):
-    df = judged(spark, [("u1", "click", 100), ("u2", "click", 40)], bound_ms=0)
-    assert late(df) == ["u2"]
-    assert counts(df) == {("click", 100): 1}
-
-
-def test_the_bound_moves_the_watermark_not_acceptance(spark):
-    df = judged(
-        spark, [("u1", "click", 0), ("u2", "click", -3), ("u3", "click", 8), ("u9", "share", 20), ("u4", "click", -30)]
-    )
-    assert late(df) == ["u4"]
-    assert counts(df) == {("click", -10): 1, ("click", 0): 2, ("share", 20): 1}
-
-
-def test_bursts(spark):
-    df = judged(
-        spark,
-        [("a", "click", 1), ("b", "click", 2), ("c", "share", 3), ("d", "click", 14), ("e", "impression", 15), ("f", "click", 27)],
-    )
-    assert counts(df) == {("click", 0): 2, ("share", 0): 1, ("click", 10): 1, ("impression", 10): 1, ("click", 20): 1}
-
-
 def test_malformed_lines_are_filtered_first(spark):
     def line(kind, second):
         return f'{{"user_id":"u","item_id":"i","event_type":"{kind}","created_at":"2027-01-15T08:00:0{second}Z"}}'
