@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 from tidemark.operators import changes
+from tidemark.plans import jobs
+from tidemark.streaming.changes import FollowedTable
 
 
 def state(spark, *values):
@@ -39,7 +43,46 @@ def test_state_is_the_last_image_without_deleted_or_impossible_rows(spark):
         f'{{"before":null,"after":{image(4, user="null")},"op":"c","ts_ms":2}}',
     )
     rows = changes.current_state(changes.latest_images(unwrapped)).collect()
-    assert [(r["id"], r["event_type"]) for r in rows] == [(1, "like")]
+    assert [(r["id"], r["event_type"], r["created_at"]) for r in rows] == [(1, "like", datetime(2026, 1, 1))]
+
+
+def test_refused_records_are_kept_and_leave_the_image_alone(spark):
+    good = f'{{"before":null,"after":{image(1)},"op":"c","ts_ms":1}}'
+    bad = [
+        (f'{{"before":null,"after":{image(1, "hover")},"op":"u","ts_ms":2}}', changes.IMPOSSIBLE),
+        (f'{{"before":null,"after":{image(1, user="null")},"op":"u","ts_ms":3}}', changes.IMPOSSIBLE),
+        ('{"before":{"id":1},"after":null,"op":"u","ts_ms":4}', changes.IMPOSSIBLE),
+        ('{"before":null,"after":null,"op":"d","ts_ms":5}', changes.NO_KEY),
+        (f'{{"before":null,"after":{image(1)},"op":"m","ts_ms":6}}', changes.NO_CHANGE),
+        ("[]", changes.NO_CHANGE),
+        ("", changes.NO_CHANGE),
+    ]
+    values = [good, *[v for v, _ in bad], None]
+    df = spark.createDataFrame(list(enumerate(values)), "lsn int, value string").selectExpr("CAST(lsn AS bigint) AS lsn", "value")
+    assert {(r["value"], r["reason"]) for r in changes.refused(df).collect()} == set(bad)
+    state = changes.current_state(changes.latest_images(changes.unwrap(df))).collect()
+    assert [(r["id"], r["event_type"]) for r in state] == [(1, "click")]
+
+
+def test_changes_job_follows_keeps_what_it_refuses_and_folds(spark, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+
+    def send(lsn, after, op="u"):
+        value = f'{{"before":{{"id":1}},"after":{after},"op":"{op}","ts_ms":1,"source":{{"lsn":{lsn}}}}}'
+        row = spark.createDataFrame([(value,)], "value string").coalesce(1)
+        row.write.mode("append").parquet(topic)
+        jobs.main(["changes", "--format", "parquet", "--path", topic, "--output", out, "--once"])
+
+    followed = FollowedTable(spark, out)
+    send(5, image(1))
+    send(4, image(1, "like"))
+    send(6, image(1, "hover"))
+    assert [(r["event_type"], r["created_at"]) for r in followed.state().collect()] == [("click", datetime(2026, 1, 1))]
+    assert [(r["lsn"], r["reason"]) for r in followed.refused().collect()] == [(6, changes.IMPOSSIBLE)]
+    FollowedTable(spark, out, fold_every=2).fold(1)
+    assert followed.state().count() == 1
+    send(7, "null", "d")
+    assert followed.state().count() == 0
 
 
 def test_latest_images_of_parts_merge(spark):

@@ -117,6 +117,16 @@ def test_random_rows_equal_brute_force(spark, hot):
     assert join(asked_at(spark, *asked_rows), feature_table(spark, table_rows), hot) == expected
 
 
+@pytest.mark.parametrize("hot", [(), ("x",)])
+def test_rows_without_a_key_meet_nothing_and_share_no_task(spark, hot):
+    day = datetime(2026, 1, 1)
+    table = feature_table(spark, [("x", day, day, 1, 10), (None, day, day, 2, 20), ("\0" + "0", day, day, 3, 30)])
+    asked = asked_at(spark, *[(n, None if n % 2 else "x", day) for n in range(40)]).repartition(4, "n")
+    assert join(asked, table, hot) == {n: (None, None) if n % 2 else (1, 10) for n in range(40)}
+    joined = asof.as_of_join(asked, table, "k", ("a",), timedelta(days=7), list(hot))
+    assert "SPARK_PARTITION_ID" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_pairs_are_formed(spark, events):
     asked = spark.createDataFrame([("u1", datetime(2026, 1, 2))], "user_id string, event_timestamp timestamp")
     joined = store_of(events).historical(asked, [USER_CLICKS], NONE_HOT)
@@ -209,4 +219,5 @@ def test_parity_counts_differences_and_one_sided_keys(spark):
     schema = "k string, a long, b long"
     off = spark.createDataFrame([("x", 1, 1), ("y", 2, 2), ("z", None, None), ("only", 5, 5)], schema)
     on = spark.createDataFrame([("x", 1, 1), ("y", 2, 3)], schema)
-    assert online.parity(off, on, "k", ("a", "b")).first()["mismatches"] == 2
+    row = online.parity(off, on, "k", ("a", "b")).first()
+    assert (row["mismatches"], row["compared"]) == (2, 4)

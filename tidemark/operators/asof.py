@@ -30,7 +30,8 @@ def as_of_join(
     """Entity rows with the feature columns; NULL where no feature row is within the ttl (both ends count).
 
     A feature row at the very instant of an entity row is used. Of feature rows at one instant the one
-    created last wins. Every entity column passes through and duplicates stay.
+    created last wins. Every entity column passes through and duplicates stay. The key is text; entity rows
+    without one meet no feature, and each input partition of them is a group of its own, so they share no task.
 
     ``instants`` may name a cheaper frame with the same (key, time) pairs as ``entities``; it is read instead
     of them where only the pairs of hot keys are needed. ``placed`` says that the features come out of an
@@ -47,7 +48,9 @@ def as_of_join(
     history = features.select(key, F.col(time).alias("_at"), tie.alias("_tie"), found.alias("_found"))
     ordinary, large = hot_groups.split(entities, key, hot)
     ordinary_history, large_history = hot_groups.split(history, key, hot)
-    asked = ordinary.select(key, F.col(time).alias("_at"), F.struct(*entities.columns).alias("_row"))
+    nobody = F.concat(F.lit("\0"), F.spark_partition_id())
+    place = F.coalesce(F.col(key), nobody).alias(key)
+    asked = ordinary.select(place, F.col(time).alias("_at"), F.struct(*entities.columns).alias("_row"))
     if placed and large is None:
         asked = asked.repartition(key)
     result = _carry(_stack(asked, ordinary_history), key).select("_row.*", "_found")
@@ -58,7 +61,7 @@ def as_of_join(
         resolved = _carry_by_minute(_stack(moments, large_history), key).select(key, F.col("_at").alias(time), "_found")
         looked_up = large.join(resolved, [key, time], "left")
         result = result.unionByName(looked_up.select(*entities.columns, "_found"))
-    fresh = F.col("_found.seen_at") >= F.col(time) - F.lit(ttl)
+    fresh = F.col(key).isNotNull() & (F.col("_found.seen_at") >= F.col(time) - F.lit(ttl))
     return result.select(*entities.columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])
 
 

@@ -80,10 +80,10 @@ def entity_source(events: DataFrame, entity: str, hot: dict[str, list[str]] | No
     Of several rows at one instant the one available first is kept, event rows before availability rows.
     So where an event of the key was ingested exactly at the instant, its post-state stands in for the
     strict-before state of an event that became known later. All rows of a kind agree at an instant, which
-    is why the state per instant is enough and no row has to be ranked.
+    is why the state per instant is enough and no row has to be ranked. Events without the key have no part.
     """
     key = ENTITY_KEYS[entity]
-    base = canonical_events(events).withColumn("clicked", F.col("event_type") == "click")
+    base = canonical_events(events).where(F.col(key).isNotNull()).withColumn("clicked", F.col("event_type") == "click")
     listed = (hot_groups.hot_keys(base, key) if hot is None else hot)[key]
     state = rolling.instant_state(base, key, listed)
     event_first = (F.col("has_event") == 1) & (

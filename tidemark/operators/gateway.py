@@ -16,19 +16,31 @@ def inspect_bodies(bodies: DataFrame, value: str = "value") -> DataFrame:
     """Bodies with the three text fields, the problem list and the routing outcome.
 
     The order of the checks is size, one well-formed document of the right types, validation. JSON null
-    decodes to an empty event and so fails validation, not parsing.
+    decodes to an empty event and so fails validation, not parsing. Ordinary bodies take one typed parse; only the
+    others are taken apart as variants.
     """
     raw = F.col(value)
-    docs, known = F.col("_docs"), F.col("_known")
+    plain, docs, known = F.col("_plain"), F.col("_docs"), F.col("_known")
     document = F.coalesce(F.try_element_at(docs, F.lit(1)), _no_fields())
     parsed = (
         bodies.withColumn("_fits", F.coalesce(F.octet_length(raw) <= envelope.MAX_BODY_BYTES, F.lit(True)))
-        .withColumn("_docs", F.when(F.col("_fits"), envelope.sole_document(raw)))
+        .withColumn("_plain", F.when(F.col("_fits"), envelope.decode_ordinary(raw)))
+        .withColumn("_docs", F.when(F.col("_fits") & plain.isNull(), envelope.sole_document(raw)))
         .withColumn("_known", F.when(F.size(docs) == 1, envelope.known_fields(document)))
-        .withColumn("_readable", known.isNotNull() & ~envelope.has_wrong_type(known))
+        .withColumn(
+            "_readable",
+            F.when(
+                plain.isNotNull(), plain["created_at"].isNull() | text.is_rfc3339(plain["created_at"])
+            ).otherwise(known.isNotNull() & ~envelope.has_wrong_type(known)),
+        )
     )
+
+    def field(name: str) -> Column:
+        quick = F.when(plain.isNotNull(), F.coalesce(plain[name], F.lit("")))
+        return F.when(F.col("_readable"), quick.otherwise(envelope.text_field(known, name)))
+
     names = ("user_id", "item_id", "event_type")
-    fields = parsed.withColumns({f"_{n}": F.when(F.col("_readable"), envelope.text_field(known, n)) for n in names})
+    fields = parsed.withColumns({f"_{n}": field(n) for n in names})
     checked = fields.withColumn(
         "_problems", F.when(F.col("_readable"), envelope.problems(*[F.col(f"_{n}") for n in names]))
     )

@@ -46,9 +46,9 @@ def look_up(entities: DataFrame, online: DataFrame, key: str, names: tuple[str,
 
 
 def parity(offline: DataFrame, online: DataFrame, key: str, names: tuple[str, ...]) -> DataFrame:
-    """Keys of either side whose values differ, as one count over the whole of both tables."""
+    """How many keys of either side differ in their values, and how many were compared."""
     left = offline.select(key, *[F.col(n).alias(f"_off_{n}") for n in names])
     right = online.select(key, *[F.col(n).alias(f"_on_{n}") for n in names])
     equal = reduce(lambda a, b: a & b, [F.col(f"_off_{n}").eqNullSafe(F.col(f"_on_{n}")) for n in names])
     both = left.join(right, key, "full_outer")
-    return both.agg(F.coalesce(F.sum((~equal).cast("long")), F.lit(0)).alias("mismatches"))
+    return both.agg(F.count_if(~equal).alias("mismatches"), F.count("*").alias("compared"))

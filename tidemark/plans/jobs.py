@@ -16,6 +16,7 @@ from tidemark.plans import registry
 from tidemark.session import configure
 from tidemark.sources import lake, topics
 from tidemark.streaming import intake
+from tidemark.streaming.changes import FollowedTable
 from tidemark.streaming.counts import WindowedCounts
 from tidemark.streaming.landing import land, land_table
 
@@ -46,7 +47,7 @@ def _checkpoint(given: str | None, job: str, output: str) -> str:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("counts", "land", "accept"):
+    for name in ("counts", "land", "accept", "changes"):
         job = jobs.add_parser(name)
         job.add_argument("--format", default="kafka")
         job.add_argument("--option", action="append", default=[], help="source or sink option, name=value")
@@ -80,7 +81,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     wire = topics.stream(spark, args.format, options, args.path)
     checkpoint = _checkpoint(args.checkpoint, args.job, args.output)
-    if args.job == "counts":
+    if args.job == "changes":
+        query = FollowedTable(spark, args.output, checkpoint).start(wire, args.once)
+    elif args.job == "counts":
         counted = WindowedCounts(spark, args.output, checkpoint=checkpoint)
         query = counted.start(wire, args.once)
     elif args.table:

@@ -20,7 +20,8 @@ _CLASSES = """
 classes AS (
   SELECT *, CASE WHEN seq % 101 = 0 THEN 'syntax' WHEN seq % 103 = 0 THEN 'null' WHEN seq % 107 = 0 THEN 'blank'
     WHEN seq % 109 = 0 THEN 'hover' WHEN seq % 113 = 0 THEN 'no_time' WHEN seq % 127 = 0 THEN 'bad_time'
-    WHEN seq % 131 = 0 THEN 'blank_id' WHEN seq % 137 = 0 THEN 'padded' WHEN seq % 139 = 0 THEN 'tail' ELSE 'plain' END AS class
+    WHEN seq % 131 = 0 THEN 'blank_id' WHEN seq % 137 = 0 THEN 'padded' WHEN seq % 139 = 0 THEN 'tail'
+    WHEN seq % 149 = 0 THEN 'large' ELSE 'plain' END AS class
   FROM interactions)
 """
 
@@ -28,14 +29,14 @@ _CONSUMED = """
 consumed AS (
   SELECT seq, CASE class WHEN 'padded' THEN concat('  ', user_id, ' ') ELSE user_id END AS user_id,
     CASE class WHEN 'padded' THEN concat(' ', item_id) ELSE item_id END AS item_id, event_type, created_at, ingested_at
-  FROM classes WHERE class IN ('plain', 'padded', 'tail'))
+  FROM classes WHERE class IN ('plain', 'padded', 'tail', 'large'))
 """
 
 _TYPE_PROBLEM = "event_type must be one of: impression, click, dwell, like, share"
 _GATEWAY = f"""
 routed AS (
   SELECT *, CASE WHEN class IN ('syntax', 'blank', 'bad_time', 'tail') THEN 'malformed'
-      WHEN class IN ('null', 'hover', 'blank_id') THEN 'invalid' ELSE 'accepted' END AS outcome,
+      WHEN class IN ('null', 'hover', 'blank_id') THEN 'invalid' WHEN class = 'large' THEN 'too_large' ELSE 'accepted' END AS outcome,
     CASE class WHEN 'null' THEN 'user_id is required; item_id is required; {_TYPE_PROBLEM}'
       WHEN 'hover' THEN '{_TYPE_PROBLEM}' WHEN 'blank_id' THEN 'user_id is required' ELSE '' END AS problems
   FROM classes)
@@ -49,6 +50,7 @@ texts AS (
     WHEN 'bad_time' THEN concat('{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"yesterday"}')
     WHEN 'blank_id' THEN concat('{"user_id":" ","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '"}')
     WHEN 'tail' THEN concat('{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '"} tail')
+    WHEN 'large' THEN concat('{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '","extra":"', repeat('x', 65536), '"}')
     END AS value
   FROM (SELECT *, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS c FROM routed))
 """
@@ -120,7 +122,8 @@ def _source(entity: str) -> str:
 _SOURCES = f"{_SNAPSHOT}, {_source('user')}, {_source('item')}"
 _TRAINING = """
 training AS (
-  SELECT seq, user_id, item_id, created_at AS event_timestamp, CAST(event_type = 'click' AS BIGINT) AS label FROM interactions)
+  SELECT seq, CASE WHEN seq % 211 <> 0 THEN user_id END AS user_id, CASE WHEN seq % 223 <> 0 THEN item_id END AS item_id,
+    created_at AS event_timestamp, CAST(event_type = 'click' AS BIGINT) AS label FROM interactions)
 """
 _END = "TIMESTAMP '2024-01-25 00:00:00'"
 
@@ -151,9 +154,11 @@ def _latest(entity: str) -> str:
 
 _CHANGES = """
 changed AS (
-  SELECT seq * 3 AS lsn, seq AS id, 'c' AS op, user_id, item_id, event_type FROM interactions
-  UNION ALL SELECT seq * 3 + 1, seq, 'u', user_id, item_id, 'like' FROM interactions WHERE seq % 10 = 0
-  UNION ALL SELECT seq * 3 + 2, seq, 'd', NULL, NULL, NULL FROM interactions WHERE seq % 25 = 0)
+  SELECT CASE WHEN seq % 31 > 0 THEN seq * 3 END AS lsn, seq AS id, 'c' AS op, user_id, item_id, event_type, created_at
+  FROM interactions
+  UNION ALL SELECT seq * 3 + 1, seq, 'u', user_id, item_id, 'like', created_at FROM interactions
+  WHERE seq % 10 = 0 AND seq % 70 <> 0
+  UNION ALL SELECT seq * 3 + 2, seq, 'd', NULL, NULL, NULL, NULL FROM interactions WHERE seq % 25 = 0)
 """
 
 def _with(*ctes_and_select: str) -> str:
@@ -162,8 +167,8 @@ def _with(*ctes_and_select: str) -> str:
 
 
 _STATE_SELECT = """
-SELECT id, user_id, item_id, event_type FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS r FROM changed) WHERE r = 1 AND op <> 'd'
+SELECT id, user_id, item_id, event_type, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC NULLS LAST) AS r FROM changed) WHERE r = 1 AND op <> 'd'
 """
 _COUNTS = f"""
 counts AS (
@@ -185,7 +190,7 @@ ORACLES: dict[str, str] = {
     "event_type_counts": _with(
         _CLASSES, _CONSUMED, "SELECT event_type, count(*) AS n FROM consumed GROUP BY event_type"
     ),
-    "gateway_validate": _with(_CLASSES, _GATEWAY, "SELECT seq, problems FROM routed WHERE outcome <> 'malformed'"),
+    "gateway_validate": _with(_CLASSES, _GATEWAY, "SELECT seq, problems FROM routed WHERE outcome IN ('accepted', 'invalid')"),
     "gateway_normalize": _with(
         _CLASSES, _GATEWAY,
         "SELECT seq, user_id, item_id, ingested_at AS received_at FROM routed WHERE outcome = 'accepted'",
@@ -193,8 +198,8 @@ ORACLES: dict[str, str] = {
     "gateway_route": _with(_CLASSES, _GATEWAY, "SELECT outcome, count(*) AS n FROM routed GROUP BY outcome"),
     "gateway_quarantine": _with(
         _CLASSES, _GATEWAY, _ENVELOPE_TEXT,
-        """SELECT seq, value, outcome, CAST(400 AS INTEGER) AS status,
-             CASE outcome WHEN 'malformed' THEN 'malformed JSON body' ELSE concat('invalid event: ', problems) END AS reason
+        """SELECT seq, value, outcome, CAST(CASE outcome WHEN 'too_large' THEN 413 ELSE 400 END AS INTEGER) AS status,
+             CASE outcome WHEN 'malformed' THEN 'malformed JSON body' WHEN 'too_large' THEN 'body exceeds 64 KiB' ELSE concat('invalid event: ', problems) END AS reason
            FROM texts WHERE outcome <> 'accepted'""",
     ),
     "envelope_serialize": _with(_CLASSES, _GATEWAY, _RECORDS),
@@ -256,12 +261,20 @@ ORACLES: dict[str, str] = {
         """asked AS (
              SELECT DISTINCT user_id, item_id FROM interactions
              UNION ALL SELECT DISTINCT user_id, 'never' FROM interactions
-             UNION ALL SELECT DISTINCT 'never', item_id FROM interactions)""",
+             UNION ALL SELECT DISTINCT 'never', item_id FROM interactions
+             UNION ALL SELECT DISTINCT user_id, NULL FROM interactions
+             UNION ALL SELECT DISTINCT NULL, item_id FROM interactions)""",
         """SELECT a.user_id, a.item_id, user_event_count_7d, user_click_count_7d, item_event_count_7d, item_click_count_7d
            FROM asked a LEFT JOIN user_latest u ON a.user_id = u.user_id LEFT JOIN item_latest i ON a.item_id = i.item_id""",
     ),
-    "offline_online_parity": "SELECT 'user_id' AS key, CAST(0 AS BIGINT) AS mismatches UNION ALL SELECT 'item_id', 0",
-    "cdc_unwrap": _with(_CHANGES, "SELECT lsn, id, op, user_id, item_id, event_type FROM changed"),
+    "offline_online_parity": _with(
+        """SELECT 'user_id' AS key, CAST(0 AS BIGINT) AS mismatches, count(DISTINCT user_id) AS compared FROM interactions
+           UNION ALL SELECT 'item_id', 0, count(DISTINCT item_id) FROM interactions"""
+    ),
+    "cdc_unwrap": _with(_CHANGES, "SELECT lsn, id, op, user_id, item_id, event_type, created_at FROM changed"),
+    "cdc_refused": _with(
+        "SELECT seq * 3 + 1 AS lsn, 'image breaks the rules of the table' AS reason FROM interactions WHERE seq % 70 = 0"
+    ),
     "cdc_current_state": _with(_CHANGES, _STATE_SELECT),
     "stream_cdc_state": _with(_CHANGES, _STATE_SELECT),
 }

@@ -256,12 +256,14 @@ def online_latest_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pair that ever met, and for every user and item a pair with a partner never seen."""
+    """Every pair that ever met, and for every user and item a pair with a partner never seen and one with none."""
     store, _ = _store(spark, sf_dir)
     pairs = derived.interactions(spark, sf_dir).select("user_id", "item_id").distinct()
     unseen_item = pairs.select("user_id", F.lit("never").alias("item_id")).distinct()
     unseen_user = pairs.select(F.lit("never").alias("user_id"), "item_id").distinct()
-    asked = pairs.unionByName(unseen_item).unionByName(unseen_user)
+    no_item = pairs.select("user_id", F.lit(None).cast("string").alias("item_id")).distinct()
+    no_user = pairs.select(F.lit(None).cast("string").alias("user_id"), "item_id").distinct()
+    asked = reduce(DataFrame.unionByName, [pairs, unseen_item, unseen_user, no_item, no_user])
     tables = {view.name: _latest(store, view) for view in registry.RANKING.views}
     return store.online(asked, registry.RANKING, tables, _end())
 
@@ -276,7 +278,7 @@ def offline_online_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
         at_end = events.select(key).distinct().withColumn("event_timestamp", _end())
         offline = store.historical(at_end, [f"{view.name}:{n}" for n in names], hot)
         mismatches = online.parity(offline, _latest(store, view), key, names)
-        parts.append(mismatches.select(F.lit(key).alias("key"), "mismatches"))
+        parts.append(mismatches.select(F.lit(key).alias("key"), "mismatches", "compared"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -284,11 +286,16 @@ def offline_online_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.unwrap(derived.changelog(spark, sf_dir)).drop("ts_ms")
+    return _zoneless(changes.unwrap(derived.changelog(spark, sf_dir)).drop("ts_ms"), "created_at")
+
+
+def cdc_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.refused(derived.changelog(spark, sf_dir)).select("lsn", "reason")
 
 
 def cdc_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.current_state(changes.latest_images(changes.unwrap(derived.changelog(spark, sf_dir))))
+    latest = changes.latest_images(changes.unwrap(derived.changelog(spark, sf_dir)))
+    return _zoneless(changes.current_state(latest), "created_at")
 
 
 def stream_cdc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,9 +305,9 @@ def stream_cdc_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     wire = f"{directory}/wire"
     followed = FollowedTable(spark, directory)
     for part in (1, 0):
-        log.where(F.col("lsn") % 2 == part).write.mode("append").parquet(wire)
+        log.where(F.coalesce("lsn", F.lit(0)) % 2 == part).write.mode("append").parquet(wire)
         followed.start(spark.readStream.schema(log.schema).parquet(wire), once=True)
-    return followed.state()
+    return _zoneless(followed.state(), "created_at")
 
 
 _ALL: tuple[Query, ...] = (
@@ -311,7 +318,7 @@ _ALL: tuple[Query, ...] = (
     feature_event_rows, feature_availability_rows, feature_snapshot, user_feature_source, item_feature_source,
     pit_user, pit_item, pit_ranking_features,
     online_latest_user, online_latest_item, online_lookup, offline_online_parity,
-    cdc_unwrap, cdc_current_state, stream_cdc_state,
+    cdc_unwrap, cdc_refused, cdc_current_state, stream_cdc_state,
 )
 
 

@@ -32,6 +32,8 @@ SELECT seq, ingested_at, CASE WHEN seq % 101 = 0 THEN '{{not json' WHEN seq % 10
   WHEN seq % 131 = 0 THEN concat('{{"user_id":" ","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '"}}')
   WHEN seq % 137 = 0 THEN concat('{{"user_id":"  ', user_id, ' ","item_id":" ', item_id, '","event_type":"', event_type, '","created_at":"', c, '"}}')
   WHEN seq % 139 = 0 THEN concat('{{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '"}} tail')
+  WHEN seq % 149 = 0 THEN concat('{{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '","extra":"', repeat('x', 65536), '"}}')
+  WHEN seq % 151 = 0 THEN concat('{{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '","n":1,"n":[1],"x":[{{"a":1,"a":{{}}}}]}}')
   ELSE concat('{{"user_id":"', user_id, '","item_id":"', item_id, '","event_type":"', event_type, '","created_at":"', c, '","extra":1}}')
   END AS value
 FROM (SELECT *, date_format(created_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS c FROM {interactions})
@@ -39,13 +41,14 @@ FROM (SELECT *, date_format(created_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS c
 
 # One record becomes its create, update and delete without scanning the table three times.
 _CHANGELOG = """
-SELECT seq * 3 + step AS lsn, CASE step
+SELECT CASE WHEN step > 0 OR seq % 31 > 0 THEN seq * 3 + step END AS lsn, CASE step
   WHEN 0 THEN concat('{{"before":null,"after":{{"id":', seq, ',"user_id":"', user_id, '","item_id":"', item_id,
-                     '","event_type":"', event_type, '"}},"op":"c","ts_ms":', seq * 1000, '}}')
+                     '","event_type":"', event_type, '","created_at":"', c, '"}},"op":"c","ts_ms":', seq * 1000, '}}')
   WHEN 1 THEN concat('{{"before":{{"id":', seq, '}},"after":{{"id":', seq, ',"user_id":"', user_id, '","item_id":"', item_id,
-                     '","event_type":"like"}},"op":"u","ts_ms":', seq * 1000 + 1, '}}')
+                     '","event_type":"', IF(seq % 70 = 0, 'hover', 'like'), '","created_at":"', c, '"}},"op":"u","ts_ms":', seq * 1000 + 1, '}}')
   ELSE concat('{{"before":{{"id":', seq, '}},"after":null,"op":"d","ts_ms":', seq * 1000 + 2, '}}') END AS value
-FROM (SELECT *, explode(array(0, 1, 2)) AS step FROM {interactions})
+FROM (SELECT *, date_format(created_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") AS c, explode(array(0, 1, 2)) AS step
+      FROM {interactions})
 WHERE step = 0 OR (step = 1 AND seq % 10 = 0) OR (step = 2 AND seq % 25 = 0)
 """
 
@@ -76,12 +79,16 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change records of a table holding the interactions: created, some updated, some deleted."""
+    """Change records of a table holding the interactions: created, some updated, some deleted.
+
+    One creation in 31 has no log position, one update in seven an image that the table could not hold.
+    """
     return spark.sql(_CHANGELOG, interactions=interactions(spark, sf_dir))
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One labelled entity row per interaction."""
+    """One labelled entity row per interaction, a few of them without a user or an item."""
     return interactions(spark, sf_dir).selectExpr(
-        "seq", "user_id", "item_id", "created_at AS event_timestamp", "CAST(event_type = 'click' AS BIGINT) AS label"
+        "seq", "CASE WHEN seq % 211 <> 0 THEN user_id END AS user_id", "CASE WHEN seq % 223 <> 0 THEN item_id END AS item_id",
+        "created_at AS event_timestamp", "CAST(event_type = 'click' AS BIGINT) AS label",
     )

@@ -17,6 +17,14 @@ _LATEST = T.StructType(
         T.StructField("user_id", T.StringType()),
         T.StructField("item_id", T.StringType()),
         T.StructField("event_type", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
+    ]
+)
+_REFUSED = T.StructType(
+    [
+        T.StructField("lsn", T.LongType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("reason", T.StringType()),
     ]
 )
 
@@ -24,23 +32,34 @@ _LATEST = T.StructType(
 class FollowedTable:
     """Each batch leaves its last image per key; the state is the last of those, deletes removed.
 
-    A batch writes what it changed and never rewrites the table. ``fold`` merges old batches.
+    A batch writes what it changed and never rewrites the table. Every ``fold_every`` batches the older ones are
+    merged, so a read merges few folders however old the stream is. Refused records are kept whole.
     """
 
-    def __init__(self, spark: SparkSession, directory: str):
-        self.checkpoint = f"{directory}/checkpoint"
+    def __init__(self, spark: SparkSession, directory: str, checkpoint: str | None = None, fold_every: int = 360):
+        self.checkpoint, self.fold_every = checkpoint or f"{directory}/checkpoint", fold_every
         self.log = BatchLog(spark, f"{directory}/images", _LATEST)
+        self.refused_log = BatchLog(spark, f"{directory}/refused", _REFUSED)
 
     def start(self, records: DataFrame, once: bool = False) -> StreamingQuery:
         """Follow streaming records; without an ``lsn`` column the position is read from the records."""
-        writer = changes.unwrap(records).writeStream.foreachBatch(self._take)
+        writer = changes.judge(records).writeStream.foreachBatch(self._take)
         return run(writer.option("checkpointLocation", self.checkpoint), once)
 
     def _take(self, batch: DataFrame, batch_id: int) -> None:
-        self.log.put(changes.latest_images(batch).select(*_LATEST.names), batch_id)
+        refused = batch.where("reason IS NOT NULL").select(*_REFUSED.names)
+        if not refused.isEmpty():
+            self.refused_log.put(refused, batch_id)
+        good = batch.where("reason IS NULL").select(*_LATEST.names)
+        self.log.put(changes.latest_images(good).select(*_LATEST.names), batch_id)
+        if batch_id and batch_id % self.fold_every == 0:
+            self.fold(batch_id - 1)
 
     def state(self) -> DataFrame:
         return changes.current_state(changes.latest_images(self.log.rows()))
 
+    def refused(self) -> DataFrame:
+        return self.refused_log.rows()
+
     def fold(self, upto: int) -> None:
         self.log.fold(lambda rows: changes.latest_images(rows).select(*_LATEST.names), upto)
