@@ -124,6 +124,54 @@ def test_long_stream_folds_itself(spark, tmp_path):
     assert len(list((tmp_path / "state" / "counts" / "batches").iterdir())) == 2
 
 
+def test_closed_windows_are_written_once_more_and_never_again(spark, tmp_path):
+    counted = WindowedCounts(spark, str(tmp_path / "state"), fold_every=2)
+    schema = "user_id string, item_id string, event_type string, created_at timestamp, partition int"
+
+    def take(batch_id, *placed):
+        rows = [("u", "i", "click", datetime.fromtimestamp(BASE + s, timezone.utc), p) for s, p in placed]
+        counted._take(spark.createDataFrame(rows, schema), batch_id)
+
+    settled = tmp_path / "state" / "counts" / "settled"
+    take(0, (1, 0), (2, 1))
+    take(1, (40, 0))
+    take(2, (41, 0))
+    # The second partition may still add to the first window.
+    assert spark.read.parquet(str(settled / "upto=1")).count() == 0
+    take(3, (3, 1), (60, 1))
+    take(4, (61, 0))
+    first = settled / "upto=3"
+    assert [(r["start_ms"] - BASE * 1000, r["n"]) for r in spark.read.parquet(str(first)).collect()] == [(0, 3)]
+    files = sorted(f.stat().st_mtime_ns for f in first.iterdir())
+    # A partition that shows up later is counted all the same.
+    take(5, (5, 2), (90, 0))
+    take(6, (91, 1), (92, 2))
+    take(7, (93, 2))
+    take(8, (94, 2))
+    assert sorted(f.stat().st_mtime_ns for f in first.iterdir()) == files
+    assert counts(counted) == {("click", 0): 4, ("click", 40): 2, ("click", 60): 2, ("click", 90): 5}
+    folded = list((tmp_path / "state" / "counts" / "folded").iterdir())
+    assert len(folded) == 1 and spark.read.parquet(str(folded[0])).count() == 1
+
+
+def test_a_fold_that_dies_half_way_counts_nothing_twice(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"), spark.range(0).selectExpr("id AS k", "id AS n").schema)
+    for n in range(4):
+        log.put(spark.range(3).selectExpr("id AS k", f"CAST({n} AS bigint) AS n"), n)
+
+    def sums():
+        return {r["k"]: r["n"] for r in total(log.rows(), ("k",)).collect()}
+
+    merge = lambda rows: total(rows, ("k",))
+    log.fold(merge, 0, F.col("k") == 0)
+    # As if the next fold had ended after its first write.
+    merge(log.rows()).write.parquet(log._settled(2))
+    assert sums() == {0: 6, 1: 6, 2: 6}
+    log.fold(merge, 3, F.col("k") <= 1)
+    assert sums() == {0: 6, 1: 6, 2: 6}
+    assert log._numbers("settled", "upto") == [0, 3]
+
+
 def test_empty_batches_keep_the_peak(spark, tmp_path):
     counted = WindowedCounts(spark, str(tmp_path / "state"))
     schema = "user_id string, item_id string, event_type string, created_at timestamp"

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # A key above this many rows is split.
 HOT_ROWS = 1_000_000
-# The list is bounded: a key that does not make it holds at most 1/10,000 of the rows.
-MAX_HOT_KEYS = 10_000
+# The list is bounded. Up to 10^12 rows it holds every key above the threshold; beyond, a key that does not make it
+# holds less than a millionth of the rows.
+MAX_HOT_KEYS = 1_000_000
 # Instants of a split key are grouped by minute, which holds at most 60 million microseconds.
 CHUNK_SECONDS = 60
 
@@ -21,14 +22,15 @@ def hot_keys(rows: DataFrame, *keys: str, hot_rows: int = HOT_ROWS) -> dict[str,
     """Per key column the values with more than ``hot_rows`` rows, ``MAX_HOT_KEYS`` of them over all columns.
 
     One pass over the key columns with map-side partial counts; only the bounded list, largest first,
-    reaches the driver.
+    reaches the driver, as Arrow columns.
     """
     labelled = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in keys]))
     counts = rows.select(labelled.alias("_k")).groupBy("_k.key", "_k.value").agg(F.count("*").alias("n"))
     large = counts.where((F.col("n") > hot_rows) & F.col("value").isNotNull())
     found: dict[str, list[str]] = {k: [] for k in keys}
-    for row in large.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect():
-        found[row["key"]].append(row["value"])
+    listed = large.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select("key", "value").toArrow()
+    for key, value in zip(listed["key"].to_pylist(), listed["value"].to_pylist()):
+        found[key].append(value)
     return found
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 class BatchLog:
     """Partials of each batch under ``batches/batch_id=N``; folded ones under ``folded/upto=N``.
 
     Writing batch N twice leaves one copy, which makes a ``foreachBatch`` sink exactly-once. ``fold`` merges
-    all batches up to N into one table, so that reads do not slow down with the age of the stream.
+    all batches up to N into one table, so that reads do not slow down with the age of the stream. Rows that
+    can be told to be final go to ``settled/upto=N`` at a fold and are never merged or rewritten again; they
+    count once that fold is there.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
@@ -27,14 +29,15 @@ class BatchLog:
         return self._read([self._fold(n) for n in self._numbers("folded", "upto") if n < batch_id][-1:])
 
     def rows(self) -> DataFrame:
-        """Everything written so far: the newest fold and the batches after it."""
+        """Everything written so far: the newest fold, the batches after it and what was settled up to it."""
         upto = max(self._numbers("folded", "upto"), default=None)
         later = [n for n in self._numbers("batches", "batch_id") if upto is None or n > upto]
         paths = [self._batch(n) for n in later] + ([] if upto is None else [self._fold(upto)])
-        return self._read(paths)
+        return self._read(paths + [self._settled(n) for n in self._numbers("settled", "upto") if upto is not None and n <= upto])
 
-    def fold(self, merge: Callable[[DataFrame], DataFrame], upto: int) -> None:
-        """Replace the batches up to ``upto`` by their merge. Run it between batches, not during a read."""
+    def fold(self, merge: Callable[[DataFrame], DataFrame], upto: int, final: Column | None = None) -> None:
+        """Replace the batches up to ``upto`` by their merge, without the rows that are ``final``, which are put
+        aside for good. Run it between batches, not during a read."""
         done = max(self._numbers("folded", "upto"), default=None)
         old = [n for n in self._numbers("batches", "batch_id") if n <= upto]
         paths = [self._batch(n) for n in old if done is None or n > done]
@@ -42,8 +45,17 @@ class BatchLog:
             return
         if done is not None:
             paths.append(self._fold(done))
-        merge(self._read(paths)).write.mode("overwrite").parquet(self._fold(upto))
-        for gone in [self._batch(n) for n in old] + ([] if done is None else [self._fold(done)]):
+        # What a fold that died had put aside is still among the rows it read.
+        self._delete([self._settled(n) for n in self._numbers("settled", "upto") if done is None or n > done])
+        merged = merge(self._read(paths))
+        if final is not None:
+            merged.where(final).write.mode("overwrite").parquet(self._settled(upto))
+            merged = merged.where(~F.coalesce(final, F.lit(False)))
+        merged.write.mode("overwrite").parquet(self._fold(upto))
+        self._delete([self._batch(n) for n in old] + ([] if done is None else [self._fold(done)]))
+
+    def _delete(self, folders: list[str]) -> None:
+        for gone in folders:
             self._fs(gone).delete(self._hadoop_path(gone), True)
 
     def _batch(self, n: int) -> str:
@@ -52,6 +64,9 @@ class BatchLog:
     def _fold(self, n: int) -> str:
         return f"{self.path}/folded/upto={n}"
 
+    def _settled(self, n: int) -> str:
+        return f"{self.path}/settled/upto={n}"
+
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)

@@ -9,7 +9,7 @@ which they are read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import windows
@@ -95,12 +95,22 @@ class WindowedCounts:
     def fold(self, upto: int) -> None:
         """Merge the partial counts and peaks of the batches up to ``upto``, all of them finished.
 
-        Runs by itself every ``fold_every`` batches, so that the folders of a long stream stay few. Late events
+        Runs by itself every ``fold_every`` batches, so that the folders of a long stream stay few. Windows that
+        every partition's mark has passed, lateness included, are written once more and never again. Late events
         stay as they were written: only batches that had some left a folder.
         """
-        self.counts_log.fold(lambda rows: total(rows, ("event_type", "start_ms")), upto)
+        self.counts_log.fold(lambda rows: total(rows, ("event_type", "start_ms")), upto, self._closed(upto))
         self.peak_log.fold(_highest, upto)
 
+    def _closed(self, upto: int) -> Column:
+        """True for windows that no partition seen so far can still add to.
+
+        A partition first seen later may; its rows are then added to the closed ones when counts are read.
+        """
+        slowest = self._peaks_before(upto + 1).agg(F.min("peak_ms")).first()[0]
+        mark = F.lit(slowest).cast("long") - F.lit(self.out_of_order_ms)
+        return mark >= F.col("start_ms") + F.lit(windows.WINDOW_MS - 1 + windows.LATENESS_MS)
+
 
 def _highest(peaks: DataFrame) -> DataFrame:
     return peaks.groupBy("partition").agg(F.max("peak_ms").alias("peak_ms"))
