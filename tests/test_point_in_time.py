@@ -22,31 +22,40 @@ def store_of(events, hot=NONE_HOT):
     return store
 
 
+def clock(hour, minute=0, second=0, day=3):
+    return datetime(2031, 3, day, hour, minute, second)
+
+
 @pytest.fixture
 def events(spark):
     rows = [
-        ("u1", "i1", "click", datetime(2026, 1, 1), datetime(2026, 1, 1, 0, 5)),
-        ("u2", "i2", "impression", datetime(2026, 1, 1, 1), datetime(2026, 1, 1, 1, 0, 1)),
-        ("u1", "i1", "impression", datetime(2026, 1, 1, 2), datetime(2026, 1, 1, 2, 0, 1)),
+        ("ann", "lamp", "click", clock(8), clock(9, 30)),
+        ("bob", "sofa", "share", clock(10), clock(10, 0, 20)),
+        ("ann", "sofa", "click", clock(12), clock(12, 10)),
     ]
     return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
-def test_unseen_pairing_and_passed_through_label(spark, events):
+def test_each_entity_is_looked_up_by_itself_and_other_columns_pass(spark, events):
     asked = spark.createDataFrame(
-        [("u1", "i2", datetime(2026, 1, 2), 1)], "user_id string, item_id string, event_timestamp timestamp, label long"
+        [("bob", "lamp", clock(0, day=5), 7)], "user_id string, item_id string, event_timestamp timestamp, label long"
     )
     row = store_of(events).historical(asked, [USER_CLICKS, ITEM_CLICKS]).first()
-    assert (row["user_click_count_7d"], row["item_click_count_7d"], row["label"]) == (1, 0, 1)
+    assert (row["user_click_count_7d"], row["item_click_count_7d"], row["label"]) == (0, 1, 7)
 
 
-def test_delayed_event_is_seen_at_its_availability(spark, events):
-    schema = "user_id string, item_id string, event_timestamp timestamp"
-    asked = spark.createDataFrame(
-        [("u1", "i1", datetime(2026, 1, 1, 0, 5)), ("u1", "i1", datetime(2026, 1, 1, 0, 4, 59))], schema
-    )
-    rows = store_of(events).historical(asked, [USER_CLICKS, ITEM_CLICKS]).orderBy("event_timestamp").collect()
-    assert [(r["user_click_count_7d"], r["item_click_count_7d"]) for r in rows] == [(0, 0), (1, 1)]
+def test_an_event_counts_from_its_arrival(spark, events):
+    expected = {
+        ("ann", "lamp", clock(7, 59, 59)): (None, None),
+        ("ann", "lamp", clock(9, 29, 59)): (0, 0),
+        ("ann", "lamp", clock(9, 30)): (1, 1),
+        ("ann", "sofa", clock(12, 5)): (1, 0),
+        ("ann", "sofa", clock(12, 10)): (2, 1),
+    }
+    asked = spark.createDataFrame(list(expected), "user_id string, item_id string, event_timestamp timestamp")
+    rows = store_of(events).historical(asked, [USER_CLICKS, ITEM_CLICKS]).collect()
+    got = {tuple(r[:3]): (r["user_click_count_7d"], r["item_click_count_7d"]) for r in rows}
+    assert got == expected
 
 
 def feature_table(spark, rows):
@@ -185,21 +194,22 @@ def test_sources_are_checked_when_applied(spark, events):
 
 
 def test_materialized_values_are_read_by_independent_keys(spark, tmp_path):
-    now = datetime(2026, 1, 9, 12)
-    day, second = timedelta(days=1), timedelta(seconds=1)
+    end = clock(12, day=9)
+    hour = timedelta(hours=1)
     rows = [
-        ("known-user", "known-item", "click", now - day, now - day + second),
-        ("known-user", "known-item", "impression", now, now + second),
+        ("ann", "lamp", "click", end - 70 * hour, end - 69 * hour),
+        ("ann", "lamp", "click", end - 2 * hour, end - hour),
+        ("ann", "sofa", "like", end - 2 * hour, end - hour),
+        ("bob", "lamp", "click", end - hour, end + hour),
     ]
     store = store_of(spark.createDataFrame(rows, EVENT_SCHEMA))
-    paths = store.materialize(str(tmp_path), F.lit(now + second))
+    paths = store.materialize(str(tmp_path), F.lit(end))
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
-    pairs = [("known-user", "unseen-item"), ("unseen-user", "known-item")]
-    asked = spark.createDataFrame(pairs, "user_id string, item_id string")
-    got = store.online(asked, [USER_CLICKS, ITEM_CLICKS], tables, F.lit(now + second))
+    asked = spark.createDataFrame([("ann", "desk"), ("eve", "lamp"), ("bob", "sofa")], "user_id string, item_id string")
+    got = store.online(asked, [USER_CLICKS, ITEM_CLICKS], tables, F.lit(end))
     values = {r["user_id"]: (r["user_click_count_7d"], r["item_click_count_7d"]) for r in got.collect()}
-    assert values == {"known-user": (1, None), "unseen-user": (None, 1)}
-    expired = store.online(asked, [USER_CLICKS], tables, F.lit(now + second + timedelta(days=7)))
+    assert values == {"ann": (2, None), "eve": (None, 2), "bob": (0, 0)}
+    expired = store.online(asked, [USER_CLICKS], tables, F.lit(end + timedelta(days=7)))
     assert expired.where("user_click_count_7d IS NOT NULL").count() == 0
 
 
