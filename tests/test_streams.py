@@ -230,6 +230,11 @@ def test_landing_into_a_catalog_table(spark, tmp_path):
     finally:
         query.stop()
     assert spark.table("landed_test").count() == 3
+    put(wire, "1.json", *lake_lines(2, 3))
+    for _ in range(2):
+        land_table(text_stream(spark, wire), "landed_test", str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)), once=True)
+    spark.catalog.refreshTable("landed_test")
+    assert spark.table("landed_test").count() == 5
 
 
 def test_stream_equals_batch_on_ordered_input(spark, tmp_path):

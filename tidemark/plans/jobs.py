@@ -87,7 +87,7 @@ def main(argv: list[str] | None = None) -> None:
         counted = WindowedCounts(spark, args.output, checkpoint=checkpoint)
         query = counted.start(wire, args.once)
     elif args.table:
-        query = land_table(wire, args.table, checkpoint)
+        query = land_table(wire, args.table, checkpoint, once=args.once)
     else:
         query = land(wire, args.output, checkpoint, once=args.once)
     query.awaitTermination()

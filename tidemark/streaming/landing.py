@@ -30,8 +30,14 @@ def land(
     return run(writer, once)
 
 
-def land_table(wire: DataFrame, table: str, checkpoint: str, ingested_at: Column | None = None) -> StreamingQuery:
+def land_table(
+    wire: DataFrame, table: str, checkpoint: str, ingested_at: Column | None = None, once: bool = False
+) -> StreamingQuery:
     """Land into a catalog table whose format commits atomically and partitions by itself."""
     rows = parse_lake_events(wire, ingested_at)
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(processingTime="10 seconds").toTable(table)
+    if not once:
+        return writer.trigger(processingTime="10 seconds").toTable(table)
+    query = writer.trigger(availableNow=True).toTable(table)
+    query.awaitTermination()
+    return query
