@@ -2,12 +2,16 @@
 
 Grades 0 < 1 < ... < K-1 share one weight per feature; K-1 ordered thresholds part them:
 P(grade >= k) = sigmoid(w.x - t_k). The expected severity is the sum of these over k. Features are the words of
-a text (A-Z lower-cased, punctuation at either end cut off), present or not, so a long text is no more toxic
-for its length. The weights carry an L1 penalty and most become zero: what is sent to the tasks is the few
-words that matter.
+a text (A-Z lower-cased, punctuation at either end cut off) and the starts of longer words, so that inflected and
+compound words meet under their stem. A feature is chosen if the labels of its rows differ from all others' by
+more than chance (a score test), whatever other features say the same: a strong penalty would keep the few most
+frequent ones and lose the words of a language with few labelled rows. x has equal shares that add up to one over
+the chosen features a text holds, so w.x is their mean weight: neither a long text nor one that repeats itself in
+many words is more toxic for it. A weak ridge penalty fits the weights of the chosen, which are what the tasks get.
 
 Fitting takes at most ``max_rows`` labelled rows, those with the smallest hash of their id, a bound that is
-part of the contract; their features, as hashes, are what the driver gets. Scoring reads every text whole.
+part of the contract; features are counted by the tasks, and the driver gets the chosen ones of each of these
+rows. Scoring reads every text whole.
 
 Rows: a NULL or empty text has no feature and the severity of the thresholds alone. Labels with a NULL grade or
 id, and those without a document, teach nothing. Several labels of one document teach each. With fewer than two
@@ -30,9 +34,12 @@ MAX_ROWS = 6_000
 # A word is a feature if it occurs in at least so many of the labelled rows, and in at most this share of them.
 LEAST_ROWS = 4
 MOST_SHARE = 0.3
-# Of the L1 penalty, in units of sqrt(log(features) / rows), the size of a gradient that chance brings about.
-PENALTY = 0.045
-STEPS = 150
+# So many code points begin a longer word and are a feature too.
+STARTS = (5, 6, 7, 8)
+# Standard deviations that the grades of a chosen feature's rows are off those of as many rows by chance.
+OFF_CHANCE = 6.0
+RIDGE = 1e-5
+STEPS = 2_000
 # Expected severity from which a text is called toxic.
 TOXIC_FROM = 0.5
 EDGES = b".,;:!?\"'()[]{}<>*-_"
@@ -42,13 +49,27 @@ def words(text: bytes | None) -> set[bytes]:
     return {w.strip(EDGES) for w in set((text or b"").lower().split())} - {b""}
 
 
+def features(text: bytes | None) -> set[bytes]:
+    """Words, and starts of longer words with a space behind, which no word has."""
+    whole = words(text)
+    found = set(whole)
+    for word in whole:
+        letters = word if word.isascii() else word.decode("utf-8", "surrogateescape")
+        for n in STARTS:
+            if n >= len(letters):
+                break
+            start = letters[:n]
+            found.add((start if isinstance(start, bytes) else start.encode("utf-8", "surrogateescape")) + b" ")
+    return found
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
 @dataclass
 class OrdinalModel:
-    """Weights of the words that matter, and the ordered thresholds."""
+    """Weights of the features that matter, and the ordered thresholds."""
 
     weights: dict[bytes, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=list)
@@ -56,35 +77,36 @@ class OrdinalModel:
 
     def at_least(self, text: bytes | None) -> np.ndarray:
         """P(grade >= k) for k from 1; no element if there is nothing to tell apart."""
-        keys = self.weights.keys() & words(text)
-        return sigmoid(sum(map(self.weights.__getitem__, sorted(keys))) - np.array(self.thresholds))
+        keys = self.weights.keys() & features(text)
+        mean = sum(map(self.weights.__getitem__, sorted(keys))) / max(len(keys), 1)
+        return sigmoid(mean - np.array(self.thresholds))
 
     def severity(self, text: bytes | None) -> float:
         return self.constant + float(self.at_least(text).sum())
 
 
-def descend(rows: np.ndarray, columns: np.ndarray, n_columns: int, above: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of the penalized likelihood, by accelerated proximal steps.
+def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n_columns: int, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of the penalized likelihood, by accelerated steps.
 
-    ``rows`` and ``columns`` are the places of the ones of a sparse matrix, ``above`` tells for each row and
-    threshold whether the grade is beyond it.
+    ``rows`` and ``columns`` are the places of a sparse matrix that are not zero; a row's are equal and add up to one.
     """
+    above = (grades[:, None] >= np.unique(grades)[1:]).astype(float)
     n, levels = above.shape
+    part = 1.0 / np.maximum(np.bincount(rows, minlength=n), 1)[rows]
     direction = np.ones(n_columns) / np.sqrt(n_columns)
     curvature = 1.0
     for _ in range(12):  # the largest eigenvalue of the features' second moments, by power iteration
-        image = np.bincount(columns, np.bincount(rows, direction[columns], n)[rows], n_columns) / n
+        image = np.bincount(columns, part * np.bincount(rows, part * direction[columns], n)[rows], n_columns) / n
         curvature = max(float(np.linalg.norm(image)), 1e-9)
         direction = image / curvature
-    step = 1.0 / (0.3 * levels * (curvature + 1.0))
+    step = 1.0 / (0.3 * levels * (curvature + 1.0) + RIDGE)
     share = above.mean(axis=0)
     weights, thresholds = np.zeros(n_columns), np.log((1 - share) / share)
     ahead_w, ahead_t, momentum = weights, thresholds, 1.0
-    for _ in range(steps):
-        scores = np.bincount(rows, ahead_w[columns], n)
+    for _ in range(STEPS):
+        scores = np.bincount(rows, part * ahead_w[columns], n)
         error = (sigmoid(scores[:, None] - ahead_t) - above) / n
-        new_w = ahead_w - step * np.bincount(columns, error.sum(axis=1)[rows], n_columns)
-        new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - step * penalty, 0)
+        new_w = ahead_w - step * (np.bincount(columns, part * error.sum(axis=1)[rows], n_columns) + RIDGE * ahead_w)
         new_t = np.maximum.accumulate(ahead_t + step * error.sum(axis=0))
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         push = (momentum - 1) / following
@@ -93,16 +115,28 @@ def descend(rows: np.ndarray, columns: np.ndarray, n_columns: int, above: np.nda
     return weights, thresholds
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n_columns: int, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds. A strong penalty chooses the features; a weak one then fits the chosen alone."""
-    above = (grades[:, None] >= np.unique(grades)[1:]).astype(float)
-    penalty = PENALTY * np.sqrt(np.log(n_columns + 1) / len(grades))
-    weights, _ = descend(rows, columns, n_columns, above, penalty, STEPS)
-    chosen = weights != 0
-    place, kept = np.cumsum(chosen) - 1, chosen[columns]
-    again, thresholds = descend(rows[kept], place[columns[kept]], max(1, int(chosen.sum())), above, penalty / 20, 4 * STEPS)
-    weights[chosen] = again[: chosen.sum()]
-    return weights, thresholds
+def telling(texts: DataFrame, per_grade: dict[int, int]) -> list[bytes]:
+    """The features whose rows' grades are off by more than chance; ``texts`` has text and grade."""
+    level = {grade: at for at, grade in enumerate(sorted(per_grade))}
+    rows = sum(per_grade.values())
+    mean = sum(level[g] * n for g, n in per_grade.items()) / rows
+    spread = np.sqrt(sum((level[g] - mean) ** 2 * n for g, n in per_grade.items()) / rows)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[bytes, list[int]] = {}
+            for text, grade in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for feature in features(text):
+                    sums = counts.setdefault(feature, [0, 0])
+                    sums[0] += 1
+                    sums[1] += level[grade]
+            n, total = zip(*counts.values()) if counts else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.binary()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], ["feature", "n", "total"])
+
+    counted = texts.mapInArrow(work, "feature binary, n long, total long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    common = counted.where((F.col("n") >= LEAST_ROWS) & (F.col("n") <= max(LEAST_ROWS, MOST_SHARE * rows)) & (F.col("n") < rows))
+    off = F.abs(F.col("total") - F.col("n") * mean) / (spread * F.sqrt(F.col("n") * (1 - F.col("n") / rows)))
+    return sorted(bytes(r["feature"]) for r in common.where(off > OFF_CHANCE).select("feature").collect())
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
@@ -113,48 +147,27 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, max_rows: int = MAX_R
     texts = id_and_bytes(docs, id_col, text_col).join(F.broadcast(taught), "doc_id").select("text", "grade")
     texts = written(texts, "taught")
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    per_grade = {r["grade"]: r["count"] for r in texts.groupBy("grade").count().collect()}
+    if len(per_grade) < 2:
+        return OrdinalModel(constant=float(min(per_grade, default=0)))
+    chosen = telling(texts, per_grade)
+    place = {feature: at for at, feature in enumerate(chosen)}
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.array([_key(w) for w in sorted(words(t.as_py()))], np.uint64).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], ["words", "grade"])
+            found = [sorted(place[f] for f in place.keys() & features(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], ["features", "grade"])
 
-    # Bounded: a hash per different word of the labelled rows.
-    placed = texts.mapInArrow(features, "words binary, grade int").orderBy("grade", "words").collect()
+    # Bounded: the chosen features of each labelled row. In order here, where equal rows crowd no task.
+    placed = texts.mapInArrow(held, "features array<int>, grade int").collect()
+    placed.sort(key=lambda r: (r["grade"], r["features"]))
     grades = np.array([r["grade"] for r in placed])
-    if len(np.unique(grades)) < 2:
-        return OrdinalModel(constant=float(grades[0]) if len(grades) else 0.0)
-    sizes = [len(r["words"]) // 8 for r in placed]
-    rows = np.repeat(np.arange(len(placed), dtype=np.int32), sizes)
-    hashes = np.frombuffer(b"".join(r["words"] for r in placed), np.uint64)
-    del placed
-    keys, columns, occurs = np.unique(hashes, return_inverse=True, return_counts=True)
-    common = (occurs >= LEAST_ROWS) & (occurs <= max(LEAST_ROWS, MOST_SHARE * len(grades)))
-    kept = common[columns]
-    order = np.cumsum(common) - 1
-    rows, columns, keys = rows[kept], order[columns[kept]], keys[common]
-    weights, thresholds = fit_ordinal(rows, columns, max(1, len(keys)), grades)
+    rows = np.repeat(np.arange(len(placed)), [len(r["features"]) for r in placed])
+    columns = np.array([at for r in placed for at in r["features"]], np.int64)
+    weights, thresholds = fit_ordinal(rows, columns, max(1, len(chosen)), grades)
     # A grade that no label has shares the threshold of the next one, so that severity still counts in grades.
     levels = np.unique(grades)
-    chosen = {int(keys[i]): float(weights[i]) for i in np.flatnonzero(weights)}
-    return OrdinalModel(_spelled(texts, chosen), np.repeat(thresholds, np.diff(levels)).tolist(), float(levels[0]))
-
-
-def _key(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(word)
-
-
-def _spelled(texts: DataFrame, chosen: dict[int, float]) -> dict[bytes, float]:
-    """The words whose hashes have a weight."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = sorted(w for w in set().union(*(words(t.as_py()) for t in batch.column(0))) if _key(w) in chosen)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["word"])
-
-    spelled = texts.select("text").mapInArrow(work, "word binary").distinct()
-    return {bytes(r["word"]): chosen[_key(bytes(r["word"]))] for r in spelled.collect()}
+    return OrdinalModel(dict(zip(chosen, weights.tolist())), np.repeat(thresholds, np.diff(levels)).tolist(), float(levels[0]))
 
 
 def verdict(model: OrdinalModel, toxic_from: float = TOXIC_FROM) -> Callable[[Column], Column]:
