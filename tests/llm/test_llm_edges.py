@@ -100,6 +100,16 @@ def test_vectors(spark):
     assert mih.nearest(vectors.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_repeated_rows_keep_no_other_id_from_the_index(spark):
+    prepare(spark)
+    same = [1.0, 0.0, 0.5]
+    rows = [(0, same)] * 12 + [(1, same)] * 12 + [(i, same) for i in (2, 3)] + [(4, [1.0, 0.1, 0.5]), (5, [-1.0, 0.0, 0.2])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mih.nearest(vectors, F.col("vec_id") % 100 == 0, k=10).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4), (0, 5, 5)]
+    assert [r["score"] for r in got[:3]] == [0, 0, 0]
+
+
 def test_conversations(spark):
     prepare(spark)
     path = queries.model_path()

@@ -13,7 +13,7 @@ The radius is each query's own: the distance of the k-th nearest code, counted o
 The rotation is fitted on at most ``SAMPLE`` vectors, those with the smallest hash of their id; every vector is
 indexed. Index rows and queries meet in blocks of bounded size. Of equal vectors only the k + 1 smallest ids can
 be in anybody's list, so the others share their entry's fate: the choice is made before the shuffle and changes
-no result.
+no result. Repeated rows are made one before anything is chosen, so a cap on rows is one on ids.
 
 Rows: vectors that are NULL, empty, zero or hold a NULL or non-finite component take no part; nor do those whose
 length differs from the most frequent one. Repeated rows are one vector under one id: an id is listed once, at
@@ -114,7 +114,7 @@ def nearest(
 
     ``is_query`` is a condition over ``vec_id``.
     """
-    rows = usable(vectors, id_col, vector_col)
+    rows = written(usable(vectors, id_col, vector_col).distinct(), "usable")
     queries = rows.where(is_query)
     schema = "query_id long, rank int, vec_id long, score double"
     sample = bounded_sample(rows, "vec_id", rows=SAMPLE).select("vector").toPandas()["vector"]
@@ -126,7 +126,7 @@ def nearest(
     copies = Window.partitionBy("vector").orderBy("vec_id")
     entries = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     entries = written(entries.select("vec_id", "vector"), "vectors")
-    queries = written(queries.distinct(), "queries")
+    queries = written(queries, "queries")
     index_blocks = blocks_for(entries.count(), INDEX_ROWS, LEAST_BLOCKS)
     query_blocks = blocks_for(queries.count(), QUERY_ROWS, 1)
 
