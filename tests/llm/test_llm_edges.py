@@ -110,6 +110,16 @@ def test_repeated_rows_keep_no_other_id_from_the_index(spark):
     assert [r["score"] for r in got[:3]] == [0, 0, 0]
 
 
+def test_declared_languages_are_read_from_the_whole_page(spark):
+    prepare(spark)
+    far = "x" * 10_000
+    rows = [(1, f"<!-- {far} -->\n<!doctype html><html class=a lang='fr-CA'><p>a"), (2, "\n" * 10_000 + "<HTML LANG=De>"),
+            (3, f"<!-- <html lang='es'> {far} --><html lang=en>"), (4, f"{far}<html><p>{far}<html lang='fr'>"), (5, far), (6, None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("http://a.org/"))
+    got = {r["id"]: r["declared"] for r in language_id.web_evidence(pages).collect()}
+    assert got == {1: "fr", 2: "de", 3: "en", 4: None, 5: None, 6: None}
+
+
 def test_conversations(spark):
     prepare(spark)
     path = queries.model_path()

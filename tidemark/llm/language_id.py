@@ -145,8 +145,12 @@ def fusion(classes: list[str], whole: np.ndarray, suffixes: int):
 
 
 def markup_language(html: Column) -> Column:
-    """The ``lang`` that the root element of a page declares, without its region; NULL if none."""
-    named = F.regexp_extract(F.substring(html, 1, 4000), r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]+)""", 1)
+    """The ``lang`` that the root element of a page declares, without its region; NULL if none.
+
+    The root element is the first ``<html`` tag outside comments, wherever in the page it stands.
+    """
+    root = F.regexp_extract(F.regexp_replace(html, r"(?s)<!--.*?-->", " "), r"(?i)<html\b[^>]*", 0)
+    named = F.regexp_extract(root, r"""(?i)\blang\s*=\s*["']?([a-z]+)""", 1)
     return F.nullif(F.lower(named), F.lit(""))
 
 
