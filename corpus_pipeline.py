@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontamination, language_id, queries, sentencepieces, simhash, toxicity
-from tidemark.llm.common import prepare, table, written
+from tidemark.llm.common import ROW, prepare, table, with_row_keys, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,18 +21,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the languages go. Those without a doc_id cannot be told apart and stay."""
+    """Documents in none of the languages go, each judged as a row of its own whatever its doc_id."""
     prepare(spark)
-    judged = language_id.identify(language_id.document_evidence(docs), ["id"])
-    rejected = judged.where("NOT kept AND id IS NOT NULL").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    rows = with_row_keys(docs)
+    # Row keys depend on how the rows are dealt out, so which of them teach goes by what they hold.
+    judged = language_id.identify(language_id.document_evidence(rows, also=(ROW,)), [ROW], sample_by=["id", "text"])
+    rejected = judged.where("NOT kept").select(ROW)
+    return rows.join(rejected, ROW, "left_anti").select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays."""
+    """Of each group of near duplicate rows the smallest doc_id stays, or one without a doc_id if none has any."""
     prepare(spark)
-    found = simhash.near_duplicates(docs, queries.SHINGLE, queries.MAX_DISTANCE)
-    return simhash.one_of_each(docs, written(found, "components"))
+    rows = with_row_keys(docs)
+    found = simhash.near_duplicates(rows, queries.SHINGLE, queries.MAX_DISTANCE, id_col=ROW)
+    return simhash.one_of_each(rows, written(found, "components")).select(docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,3 +139,21 @@ def test_stages_keep_columns_and_run_on_nothing(spark, docs, sf_dir):
             left = stage(spark, rows, sf_dir)
             assert left.columns == docs.columns
             assert left.count() <= rows.count()
+
+
+def test_stages_judge_rows_without_an_id_or_with_a_repeated_one(spark, sf_dir):
+    prepare(spark)
+    plain, other = "a plain text of some words in a row", "quite another text that has nothing in common with it"
+    rows = [(None, "123 456"), (None, plain), (7, "0 1 2"), (7, plain), (9, plain), (7, other), (None, other), (None, "1" * 50)]
+    rows += [(None, "a third text that only rows without any id have")] * 3
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left(stage):
+        got = stage(spark, docs, sf_dir).collect()
+        return sorted(((r["doc_id"], r["text"]) for r in got), key=str)
+
+    assert left(corpus_pipeline.keep_identified) == sorted(((i, t) for i, t in rows if any(c.isalpha() for c in t)), key=str)
+    left_once = left(corpus_pipeline.drop_near_duplicates)
+    assert [t for _, t in left_once].count(rows[-1][1]) == 1
+    assert {(7, plain), (7, other), (None, rows[-1][1])} <= set(left_once)
+    assert all(i == 7 for i, t in left_once if t in (plain, other))

@@ -10,6 +10,8 @@ from tidemark.session import configure, shared_dir
 
 # Documents per Arrow batch: long texts must not add up to a batch that no worker can hold.
 BATCH_ROWS = 256
+# Names a row where ids may be missing or repeated.
+ROW = "_row_key"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,6 +33,11 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_keys(df: DataFrame) -> DataFrame:
+    """The rows, written, each with a key of its own that stays the same however often they are read."""
+    return written(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def id_and_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` and the UTF-8 bytes of the text, and no other column of the input."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))

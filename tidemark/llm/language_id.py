@@ -174,22 +174,25 @@ def web_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     )
 
 
-def document_evidence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(id, text, declared, host) of documents, whose source stands for the host."""
+def document_evidence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, text, declared, host) of documents, whose source stands for the host, and the columns ``also`` names."""
     return docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lower(lang_col).alias("declared"),
+        *also, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.lower(lang_col).alias("declared"),
         F.col(source_col).alias("host"),
     )
 
 
-def identify(evidence: DataFrame, keys: list[str], languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def identify(evidence: DataFrame, keys: list[str], languages: tuple[str, ...] = LANGUAGES, sample_by: list[str] | None = None) -> DataFrame:
     """The key columns with language, posterior and kept, for every row.
 
-    ``evidence`` has the keys, text, declared and host; the keys name a row.
+    ``evidence`` has the keys, text, declared and host; the keys name a row. ``sample_by`` chooses the rows that
+    teach, the keys if not given.
     """
     classes = [*languages, OTHER]
-    read = evidence.select(*keys, F.col("text").cast("binary").alias("text"), "declared", "host")
-    taught = bounded_sample(read.where(F.col("declared").isin(*languages)), *keys, "declared", rows=SAMPLE)
+    chosen_by = sample_by or keys
+    apart_from = [c for c in chosen_by if c not in (*keys, "text", "declared", "host")]
+    read = evidence.select(*keys, *apart_from, F.col("text").cast("binary").alias("text"), "declared", "host")
+    taught = bounded_sample(read.where(F.col("declared").isin(*languages)), *chosen_by, "declared", rows=SAMPLE)
     table = learn(taught.select("text", "declared"), languages)
     seen = witness(table, languages)(F.col("text"), F.col("declared")).alias("w")
     rows = written(read.select(*keys, "host", seen).select(*keys, "host", "w.*"), "evidence")
