@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat, decontamination, language_id, lattice_lm, mih, sentencepieces, sharding, simhash, toxicity, url_trust,
+    chat, decontamination, language_id, lattice_lm, mih, product_codes, sentencepieces, sharding, simhash, toxicity,
+    url_trust, whitening,
 )
 from tidemark.llm.common import prepare, table
 
@@ -88,11 +89,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(prepare(spark), sf_dir, "embeddings"), components=32)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = product_codes.encode(table(prepare(spark), sf_dir, "embeddings"))
+    return product_codes.with_label_error(coded).select(
+        "vec_id", product_codes.code_text("codes").alias("code"), "error", "label_error",
+        F.lit(product_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_sharding, op2_url_filters, op3_language_id, op4_nearest_neighbours, op5_sentencepiece, op6_decontamination,
-        op7_lm_scoring, op8_chat_formatting, op9_toxicity, op10_simhash,
+        op7_lm_scoring, op8_chat_formatting, op9_toxicity, op10_simhash, op11_embedding_whitening,
+        op13_vector_codes,
     )
 }
 
