@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat, decontamination, language_id, lattice_lm, mih, product_codes, sentencepieces, sharding, simhash, toxicity,
-    url_trust, whitening,
+    chat, decontamination, language_id, lattice_lm, mih, product_codes, sentencepieces, sharding, simhash,
+    suffix_dedup, toxicity, url_trust, whitening,
 )
 from tidemark.llm.common import prepare, table
 
@@ -93,6 +93,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(prepare(spark), sf_dir, "embeddings"), components=32)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(table(prepare(spark), sf_dir, "documents"), window=400)
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = product_codes.encode(table(prepare(spark), sf_dir, "embeddings"))
     return product_codes.with_label_error(coded).select(
@@ -106,7 +113,7 @@ QUERIES = {
     for q in (
         op1_sharding, op2_url_filters, op3_language_id, op4_nearest_neighbours, op5_sentencepiece, op6_decontamination,
         op7_lm_scoring, op8_chat_formatting, op9_toxicity, op10_simhash, op11_embedding_whitening,
-        op13_vector_codes,
+        op12_suffix_dedup, op13_vector_codes,
     )
 }
 
