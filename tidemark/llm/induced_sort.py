@@ -27,15 +27,15 @@ import numpy as np
 
 # Suffixes of an interval, positions of a block, queued tuples in memory before they go to files.
 BATCH, BLOCK, QUEUED = 1 << 18, 1 << 18, 1 << 20
-# Arrays up to so many bytes stay in memory.
-IN_MEMORY = 1 << 20
+# Arrays up to so many bytes stay in memory: those of a text of some million symbols.
+IN_MEMORY = 1 << 23
 SAMPLE = 1 << 15
 SPAN = 16
 
 
 @dataclass
 class Scratch:
-    """Arrays in files of a folder that its owner deletes."""
+    """Arrays in files of a folder that its owner deletes. A file has no name once it is an array: it goes with it."""
 
     folder: str
     made: int = 0
@@ -47,7 +47,10 @@ class Scratch:
     def array(self, size: int, dtype) -> np.ndarray:
         if size * np.dtype(dtype).itemsize <= IN_MEMORY:
             return np.zeros(size, dtype)
-        return np.memmap(self.path(), dtype, "w+", shape=(size,)).view(np.ndarray)
+        path = self.path()
+        mapped = np.memmap(path, dtype, "w+", shape=(size,)).view(np.ndarray)
+        os.unlink(path)
+        return mapped
 
 
 def blocks(n: int, size: int = 0) -> Iterator[tuple[int, int]]:

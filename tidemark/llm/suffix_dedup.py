@@ -36,8 +36,9 @@ from tidemark.llm.common import written
 from tidemark.llm.induced_sort import Scratch, blocks, suffix_array
 
 WINDOW = 400
-# Window starts of a text that are looked at together, and bytes of pieces of a shard.
-TEXT_BLOCK, SHARD_BYTES = 1 << 20, 1 << 23
+# Window starts of a text that are looked at together, and bytes of pieces of a shard; with more shards than this
+# they grow.
+TEXT_BLOCK, SHARD_BYTES, SHARDS = 1 << 20, 1 << 22, 20_000
 # Different pieces of an anchor beyond which they are cut.
 CROWDED = 50_000
 # Bits of the filter that spares texts without a find the shuffle; full, it spares none.
@@ -208,7 +209,7 @@ def repeated_in_shards(found: DataFrame, window: int, shard_bytes: int) -> DataF
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "piece", "firsts", "lasts"])
 
-    dealt = found.select("key", "piece", "many", "text").repartition(max(1, -(-total // shard_bytes)), "key")
+    dealt = found.select("key", "piece", "many", "text").repartition(max(1, min(SHARDS, -(-total // shard_bytes))), "key")
     return dealt.mapInArrow(run, FOUND)
 
 
