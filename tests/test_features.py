@@ -6,10 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import features, hot
+from tidemark.operators import features
 from tidemark.schemas import EVENT_COLUMNS
 
-NONE_HOT = {"user_id": [], "item_id": []}
 WEEK = timedelta(days=7)
 
 
@@ -29,13 +28,13 @@ def test_missing_columns(spark):
 
 def test_never_ingested_event_is_never_counted(spark):
     df = events(spark, ("u1", "i1", "click", "2026-01-01T00:00:00Z", None), ev("click", "02T00:00:00", "02T00:00:00"))
-    rows = features.feature_rows(df, hot=NONE_HOT).orderBy("event_timestamp", "kind").collect()
+    rows = features.feature_rows(df).orderBy("event_timestamp", "kind").collect()
     assert [(r["kind"], r["created_timestamp"] is None, r["user_event_count_7d"]) for r in rows] == [
         (0, True, 0),
         (0, False, 0),
         (1, False, 1),
     ]
-    source = features.entity_source(df, "user", NONE_HOT).orderBy("event_timestamp").collect()
+    source = features.entity_source(df, "user").orderBy("event_timestamp").collect()
     assert [r["created_timestamp"] for r in source] == [None, datetime(2026, 1, 2)]
 
 
@@ -73,83 +72,72 @@ def brute_force(data):
     return sorted(out)
 
 
-HOT_LISTS = [
-    NONE_HOT,
-    {"user_id": ["u0"], "item_id": ["i0"]},
-    {"user_id": [f"u{i}" for i in range(5)], "item_id": [f"i{i}" for i in range(4)]},
-    {"user_id": [], "item_id": ["i0", "not there"]},
-]
+# From chunks that hold a single instant to one that holds the whole history.
+CHUNKS = [60, 3_600, 7 * 86_400, 10**9]
 
 
-@pytest.mark.parametrize("hot_list", HOT_LISTS)
-def test_rows_equal_brute_force_whatever_is_hot(spark, hot_list):
+@pytest.mark.parametrize("seconds", CHUNKS)
+def test_rows_equal_brute_force_however_time_is_cut(spark, seconds):
     data, df = adversarial(spark, 250, 3)
-    got = sorted(tuple(r) for r in features.feature_rows(df, hot=hot_list).collect())
+    got = sorted(tuple(r) for r in features.feature_rows(df, chunk_seconds=seconds).collect())
     assert got == brute_force(data)
 
 
-@pytest.mark.parametrize("hot_list", HOT_LISTS[:3])
+@pytest.mark.parametrize("seconds", CHUNKS)
 @pytest.mark.parametrize("entity", ["user", "item"])
-def test_source_keeps_the_first_row_of_an_instant(spark, entity, hot_list):
+def test_source_keeps_the_first_row_of_an_instant(spark, entity, seconds):
     data, df = adversarial(spark, 250, 5)
     first = {}
     at = 1 if entity == "user" else 2
     for row in sorted(brute_force(data), key=lambda r: (r[3], r[4], r[0])):
         counts = row[5:7] if entity == "user" else row[7:9]
         first.setdefault((row[at], row[3]), (row[4], *counts))
-    got = features.entity_source(df, entity, hot_list).collect()
+    got = features.entity_source(df, entity, seconds).collect()
     assert {(r[0], r[1]): tuple(r[2:]) for r in got} == first
     assert len(got) == len(first)
 
 
-def test_hot_keys_are_found_by_count(spark):
-    data, df = adversarial(spark, 300, 9)
-    users = [row[0] for row in data]
-    want = sorted({u for u in users if users.count(u) > 40}, key=lambda u: -users.count(u))
-    assert hot.hot_keys(df, "user_id", hot_rows=40) == {"user_id": want}
-    both = features.find_hot(df, 40)
-    assert both["user_id"] == want and both["item_id"][0] == "i0"
-    assert features.find_hot(df) == NONE_HOT
+def test_rows_without_a_user_or_item_stay_and_form_a_group(spark):
+    data, df = adversarial(spark, 120, 7)
+    data = [(None if n % 5 == 0 else user, None if n % 7 == 0 else item, *rest) for n, (user, item, *rest) in enumerate(data)]
+    got = features.feature_rows(spark.createDataFrame(data, df.schema)).collect()
+    texts = [tuple("" if v is None else v for v in r[:2]) + r[2:] for r in data]
+    want = [tuple(None if v == "" else v for v in r) for r in brute_force(texts)]
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
-def test_a_full_hot_list_only_leaves_keys_unsplit(spark, monkeypatch):
-    data, df = adversarial(spark, 200, 17)
-    monkeypatch.setattr(hot, "MAX_HOT_KEYS", 2)
-    found = features.find_hot(df, 10)
-    assert sum(map(len, found.values())) == 2
-    assert sorted(tuple(r) for r in features.feature_rows(df, hot=found).collect()) == brute_force(data)
-
-
-def test_hot_keys_are_summed_by_minute(spark):
-    """No window over a hot key may sort its rows as one group; only its minutes' totals."""
-    _, df = adversarial(spark, 50, 1)
-    state = features.entity_source(df, "user", {"user_id": [f"u{i}" for i in range(5)]})
-    plan = state._jdf.queryExecution().executedPlan().toString()
-    by_minute = [line for line in plan.splitlines() if "Window [" in line and "_minute" in line]
-    assert len(by_minute) == 2
-    assert plan.count("partial_sum") >= 2 and "LeftSemi" in plan and "LeftAnti" in plan
+def test_each_entity_reads_the_events_once_and_no_window_holds_a_key(spark, tmp_path):
+    """The sums of the chunks and the rows in them come from one exchange; the same plan for every key."""
+    _, df = adversarial(spark, 300, 1)
+    df.write.parquet(str(tmp_path / "e"))
+    table = spark.read.parquet(str(tmp_path / "e"))
+    for frame, entities in ((features.entity_source(table, "user"), 1), (features.feature_rows(table), 2)):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Scan parquet") == 1 and plan.count("ReusedExchange") == entities
+        # Rows by key and chunk, chunk totals by key, and what they carry back to their chunk.
+        assert plan.count("Exchange hashpartitioning") == 3 * entities
+        over_points = [w for w in plan.splitlines() if "Window [" in w and "RangeFrame" in w]
+        assert over_points and all("_chunk" in w for w in over_points)
+
+
+def test_nothing_runs_while_a_plan_is_made(spark, tmp_path):
+    _, df = adversarial(spark, 20, 2)
+    df.write.parquet(str(tmp_path / "e"))
+    table = spark.read.schema(df.schema).parquet(str(tmp_path / "e"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    features.feature_rows(table), features.entity_source(table, "item")
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_sources_are_written_whole_and_twice_the_same(spark, tmp_path):
     _, df = adversarial(spark, 120, 11)
     for _ in range(2):
         user_path, item_path = features.write_feature_sources(df, str(tmp_path))
-    expected = features.entity_source(df, "user", NONE_HOT)
+    expected = features.entity_source(df, "user")
     assert sorted(spark.read.parquet(user_path).collect()) == sorted(expected.collect())
     assert spark.read.parquet(item_path).columns[0] == "item_id"
     path = features.write_feature_snapshot(df, str(tmp_path / "deep" / "snapshot"))
     assert spark.read.parquet(path).count() == features.feature_snapshot(df).count()
-
-
-def test_one_exchange_per_entity(spark, tmp_path):
-    """The events cross the network once per entity; windows and filters reuse that placement."""
-    _, df = adversarial(spark, 50, 1)
-    df.write.parquet(str(tmp_path / "e"))
-    table = spark.read.parquet(str(tmp_path / "e"))
-    for frame, exchanges in (
-        (features.entity_source(table, "user", NONE_HOT), 1),
-        (features.feature_rows(table, hot=NONE_HOT), 2),
-    ):
-        plan = frame._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == exchanges
-        assert "Join" not in plan

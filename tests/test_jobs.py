@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import jobs
 from tidemark.schemas import LAKE_EVENT
 from tidemark.sources import lake
+from tidemark.sources.versions import VersionedTable
 
 
 def test_features_job_writes_sources_and_online_tables(spark, tmp_path):
@@ -19,10 +20,10 @@ def test_features_job_writes_sources_and_online_tables(spark, tmp_path):
     ]
     path = lake.append(spark.createDataFrame(rows, LAKE_EVENT), str(tmp_path / "lake"))
     jobs.main(["features", "--lake", path, "--output", str(tmp_path / "out")])
-    online = spark.read.parquet(str(tmp_path / "out" / "online" / "user_interaction_features"))
+    online = VersionedTable(spark, str(tmp_path / "out" / "online" / "user_interaction_features")).current()
     got = [(r["user_id"], r["user_event_count_7d"], r["user_click_count_7d"]) for r in online.collect()]
     assert got == [("u1", 2, 1)]
-    source = spark.read.parquet(str(tmp_path / "out" / "sources" / "item_interaction_features.parquet"))
+    source = VersionedTable(spark, str(tmp_path / "out" / "sources" / "item_interaction_features.parquet")).current()
     assert source.select("item_id").distinct().count() == 2
 
 

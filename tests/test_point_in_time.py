@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 from tidemark.operators import asof, features, online
 from tidemark.plans import registry
 
-NONE_HOT = {"user_id": [], "item_id": []}
+CHUNKS = [60, 3_600, 10**9]
 USER_CLICKS = "user_interaction_features:user_click_count_7d"
 ITEM_CLICKS = "item_interaction_features:item_click_count_7d"
 EVENT_SCHEMA = "user_id string, item_id string, event_type string, created_at timestamp, ingested_at timestamp"
 
 
-def store_of(events, hot=NONE_HOT):
+def store_of(events):
     store = registry.FeatureRegistry()
     for view in registry.RANKING.views:
-        store.apply(view, features.entity_source(events, view.entity.name, hot))
+        store.apply(view, features.entity_source(events, view.entity.name))
     return store
 
 
@@ -68,13 +68,13 @@ def asked_at(spark, *rows):
     return spark.createDataFrame(list(rows), "n long, k string, event_timestamp timestamp")
 
 
-def join(asked, table, hot=()):
-    joined = asof.as_of_join(asked, table, "k", ("a", "b"), timedelta(days=7), list(hot))
+def join(asked, table, seconds=3_600):
+    joined = asof.as_of_join(asked, table, "k", ("a", "b"), timedelta(days=7), chunk_seconds=seconds)
     return {r["n"]: (r["a"], r["b"]) for r in joined.collect()}
 
 
-@pytest.mark.parametrize("hot", [(), ("x",)])
-def test_both_ends_of_the_ttl_count(spark, hot):
+@pytest.mark.parametrize("seconds", CHUNKS)
+def test_both_ends_of_the_ttl_count(spark, seconds):
     day = datetime(2026, 1, 1)
     table = feature_table(spark, [("x", day, day, 1, 10)])
     week = timedelta(days=7)
@@ -86,11 +86,11 @@ def test_both_ends_of_the_ttl_count(spark, hot):
         (3, "x", day - timedelta(microseconds=1)),
         (4, "y", day),
     )
-    assert join(asked, table, hot) == {0: (1, 10), 1: (1, 10), 2: (None, None), 3: (None, None), 4: (None, None)}
+    assert join(asked, table, seconds) == {0: (1, 10), 1: (1, 10), 2: (None, None), 3: (None, None), 4: (None, None)}
 
 
-@pytest.mark.parametrize("hot", [(), ("x",)])
-def test_row_created_last_wins_and_null_features_are_values(spark, hot):
+@pytest.mark.parametrize("seconds", CHUNKS)
+def test_row_created_last_wins_and_null_features_are_values(spark, seconds):
     day = datetime(2026, 1, 1)
     later = timedelta(hours=1)
     table = feature_table(
@@ -103,11 +103,11 @@ def test_row_created_last_wins_and_null_features_are_values(spark, hot):
         ],
     )
     asked = asked_at(spark, (0, "x", day), (1, "x", day + later))
-    assert join(asked, table, hot) == {0: (2, 20), 1: (None, 30)}
+    assert join(asked, table, seconds) == {0: (2, 20), 1: (None, 30)}
 
 
-@pytest.mark.parametrize("hot", [(), ("k0",), ("k0", "k1", "k2")])
-def test_random_rows_equal_brute_force(spark, hot):
+@pytest.mark.parametrize("seconds", CHUNKS)
+def test_random_rows_equal_brute_force(spark, seconds):
     rng = random.Random(13)
     start = datetime(2026, 1, 1)
 
@@ -123,26 +123,27 @@ def test_random_rows_equal_brute_force(spark, hot):
         hits = [f for f in table_rows if f[0] == k and at - timedelta(days=7) <= f[1] <= at]
         best = max(hits, key=lambda f: (f[1], f[2]), default=None)
         expected[n] = (None, None) if best is None else best[3:]
-    assert join(asked_at(spark, *asked_rows), feature_table(spark, table_rows), hot) == expected
+    assert join(asked_at(spark, *asked_rows), feature_table(spark, table_rows), seconds) == expected
 
 
-@pytest.mark.parametrize("hot", [(), ("x",)])
-def test_rows_without_a_key_meet_nothing_and_share_no_task(spark, hot):
+@pytest.mark.parametrize("seconds", CHUNKS)
+def test_rows_without_a_key_meet_nothing_and_share_no_task(spark, seconds):
     day = datetime(2026, 1, 1)
     table = feature_table(spark, [("x", day, day, 1, 10), (None, day, day, 2, 20), ("\0" + "0", day, day, 3, 30)])
     asked = asked_at(spark, *[(n, None if n % 2 else "x", day) for n in range(40)]).repartition(4, "n")
-    assert join(asked, table, hot) == {n: (None, None) if n % 2 else (1, 10) for n in range(40)}
-    joined = asof.as_of_join(asked, table, "k", ("a",), timedelta(days=7), list(hot))
+    assert join(asked, table, seconds) == {n: (None, None) if n % 2 else (1, 10) for n in range(40)}
+    joined = asof.as_of_join(asked, table, "k", ("a",), timedelta(days=7), chunk_seconds=seconds)
     assert "SPARK_PARTITION_ID" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_pairs_are_formed(spark, events):
-    asked = spark.createDataFrame([("u1", datetime(2026, 1, 2))], "user_id string, event_timestamp timestamp")
-    joined = store_of(events).historical(asked, [USER_CLICKS], NONE_HOT)
-    assert "Join" not in joined._jdf.queryExecution().executedPlan().toString()
+def test_rows_without_a_time_meet_nothing_and_stay(spark):
+    day = datetime(2026, 1, 1)
+    table = feature_table(spark, [("x", day, day, 1, 10), ("x", None, day, 2, 20), ("y", None, day, 3, 30)])
+    asked = asked_at(spark, (0, "x", None), (1, "x", day), (2, "y", day), (3, None, None))
+    assert join(asked, table) == {0: (None, None), 1: (1, 10), 2: (None, None), 3: (None, None)}
 
 
-def test_computed_and_stored_sources_agree_and_are_not_moved_twice(spark, tmp_path):
+def test_joined_rows_come_from_one_scan_of_each_input_in_chunks(spark, tmp_path):
     rng = random.Random(21)
     start = datetime(2026, 1, 1)
     rows = []
@@ -154,17 +155,14 @@ def test_computed_and_stored_sources_agree_and_are_not_moved_twice(spark, tmp_pa
     spark.createDataFrame(rows, EVENT_SCHEMA).write.parquet(path)
     events = spark.read.parquet(path)
     asked = events.selectExpr("user_id", "item_id", "created_at AS event_timestamp", "event_type")
-    results = []
-    for computed in (True, False):
-        store = registry.FeatureRegistry()
-        for view in registry.RANKING.views:
-            store.apply(view, features.entity_source(events, view.entity.name, NONE_HOT), computed)
-        joined = store.historical(asked, registry.RANKING, NONE_HOT)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        results.append((sorted(joined.collect()), plan.count("ENSURE_REQUIREMENTS")))
-    assert results[0][0] == results[1][0]
-    # Sources that are placed stay where they are; otherwise each view moves features and rows together.
-    assert [n for _, n in results] == [0, 2]
+    joined = store_of(events).historical(asked, [USER_CLICKS])
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Once for the source, once for the rows that ask; every join is one of chunk totals.
+    assert plan.count("Scan parquet") == 2
+    assert all("_chunk" in line for line in plan.splitlines() if "Join [" in line)
+    carried = [w for w in plan.splitlines() if "Window [" in w and "last(_found" in w]
+    assert carried and all("_chunk" in w for w in carried)
 
 
 # Registry ---------------------------------------------------------------------------------------------
@@ -180,7 +178,7 @@ def test_references_are_checked(spark, events):
 
 
 def test_sources_are_checked_when_applied(spark, events):
-    source = features.entity_source(events, "user", NONE_HOT)
+    source = features.entity_source(events, "user")
     store = registry.FeatureRegistry()
     with pytest.raises(ValueError, match="user_interaction_features missing required columns"):
         store.apply(registry.USER_VIEW, source.drop("user_click_count_7d"))
@@ -213,6 +211,46 @@ def test_materialized_values_are_read_by_independent_keys(spark, tmp_path):
     assert expired.where("user_click_count_7d IS NOT NULL").count() == 0
 
 
+def test_keys_outside_the_next_span_stay_until_they_expire(spark, tmp_path):
+    end, day, hour = clock(12, day=9), timedelta(days=1), timedelta(hours=1)
+    seen = [("old", end - 6 * day), ("both", end - hour), ("new", end + 10 * hour), ("both", end + 11 * hour)]
+    rows = [(user, "x", "click", at, at + timedelta(minutes=1)) for user, at in seen]
+    store = store_of(spark.createDataFrame(rows, EVENT_SCHEMA))
+
+    def keys(at):
+        store.materialize(str(tmp_path), F.lit(at), span=day)
+        table = store.online_tables(str(tmp_path))["user_interaction_features"]
+        return {r["user_id"]: (r["user_event_count_7d"], r["expires_at"]) for r in table.collect()}
+
+    week = timedelta(days=7)
+    store.materialize(str(tmp_path), F.lit(end), span=week)
+    first = end + week
+    assert keys(end + day) == {"old": (1, first), "both": (2, end + day + week), "new": (1, end + day + week)}
+    # Nothing newer: neither values nor expiry change.
+    assert keys(end + day + hour) == {"old": (1, first), "both": (2, end + day + week), "new": (1, end + day + week)}
+    assert set(keys(first)) == {"both", "new"}
+    assert keys(end + day + week) == {}
+
+
+def test_merge_equals_a_store_that_is_written_row_by_row(spark):
+    rng = random.Random(4)
+    start = datetime(2026, 1, 1)
+    store, stored = {}, None
+    schema = "k string, event_timestamp timestamp, a long, expires_at timestamp"
+    for step in range(5):
+        now = start + timedelta(days=2 * step)
+        rows = [(f"k{i}", now - timedelta(hours=rng.randrange(100)), rng.randrange(99), now + timedelta(days=rng.choice([1, 3, 9]))) for i in range(30) if rng.random() < 0.6]
+        store = {k: r for k, r in store.items() if r[3] > now}
+        for row in rows:
+            if row[0] not in store or store[row[0]][1] < row[1]:
+                store[row[0]] = row
+        latest = spark.createDataFrame(rows, schema)
+        merged = latest if stored is None else online.merge(stored, latest, "k", F.lit(now))
+        got = {r["k"]: tuple(r) for r in merged.collect()}
+        assert got == store
+        stored = spark.createDataFrame(list(got.values()), schema)
+
+
 def test_materialize_range_includes_both_ends(spark):
     end = datetime(2026, 1, 8)
     start = end - timedelta(days=7)

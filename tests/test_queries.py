@@ -9,10 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from tidemark.operators import features
 from tidemark.plans.oracles import ORACLES
 from tidemark.plans.queries import QUERIES
-from tidemark.sources import derived
 
 
 @pytest.fixture(scope="module")
@@ -44,17 +42,6 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     check(spark, duck, sf_dir, name)
 
 
-@pytest.mark.parametrize(
-    "name", ["feature_snapshot", "pit_item", "pit_ranking_features", "online_lookup", "offline_online_parity"]
-)
-def test_query_equals_sql_when_some_keys_are_hot(spark, duck, sf_dir, name, monkeypatch):
-    find = features.find_hot
-    monkeypatch.setattr(features, "find_hot", lambda events: find(events, 12))
-    found = features.find_hot(derived.interactions(spark, sf_dir))
-    assert 0 < len(found["user_id"]) and 0 < len(found["item_id"]) < 100
-    check(spark, duck, sf_dir, name)
-
-
 def test_entry(spark):
     frame = driver.entry(spark)
     assert frame.columns[:2] == ["seq", "user_id"] and frame.limit(1).count() == 1

@@ -1,18 +1,21 @@
 """Point-in-time left join: the latest feature row at or before each entity row, unless it is too old.
 
-Feature rows and entity rows are put in one table, sorted by key and time, and the last feature row is
-carried forward. One exchange and one sort; no pair of rows is ever formed.
+Feature rows and entity rows are put in one table, placed by key and chunk of time (``chunks``), and the last
+feature row of the chunk, else the last of the key's earlier chunks, is carried forward. No pair of rows is ever
+formed, and no task holds more than a chunk of a key.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators import hot as hot_groups
+from tidemark.operators import chunks
 
 _FEATURE, _ENTITY = 0, 1
+# The chunk of rows without a time, before all others.
+_NO_TIME = -(1 << 62)
 
 
 def as_of_join(
@@ -21,74 +24,43 @@ def as_of_join(
     key: str,
     names: tuple[str, ...],
     ttl: timedelta,
-    hot: list[str] | None = None,
     time: str = "event_timestamp",
     created: str | None = "created_timestamp",
-    instants: DataFrame | None = None,
-    placed: bool = False,
+    chunk_seconds: int = chunks.CHUNK_SECONDS,
 ) -> DataFrame:
     """Entity rows with the feature columns; NULL where no feature row is within the ttl (both ends count).
 
     A feature row at the very instant of an entity row is used. Of feature rows at one instant the one
     created last wins. Every entity column passes through and duplicates stay. The key is text; entity rows
-    without one meet no feature, and each input partition of them is a group of its own, so they share no task.
-
-    ``instants`` may name a cheaper frame with the same (key, time) pairs as ``entities``; it is read instead
-    of them where only the pairs of hot keys are needed. ``placed`` says that the features come out of an
-    exchange by ``key`` already, as computed sources do: then only the entity rows are moved to them, and the
-    union of the two keeps the placement. Stored features and entity rows share one exchange instead.
+    without one meet no feature and are spread by their input partition. Rows without a time meet none either.
     """
-    # A NULL key meets no feature, here as in an online lookup.
-    features = features.where(F.col(key).isNotNull())
-    if hot is None:
-        keys = entities.select(key).unionAll(features.select(key))
-        hot = hot_groups.hot_keys(keys, key)[key]
     found = F.struct(F.col(time).alias("seen_at"), *names)
     tie = F.col(created) if created else F.lit(None).cast("timestamp")
-    history = features.select(key, F.col(time).alias("_at"), tie.alias("_tie"), found.alias("_found"))
-    ordinary, large = hot_groups.split(entities, key, hot)
-    ordinary_history, large_history = hot_groups.split(history, key, hot)
-    nobody = F.concat(F.lit("\0"), F.spark_partition_id())
-    place = F.coalesce(F.col(key), nobody).alias(key)
-    asked = ordinary.select(place, F.col(time).alias("_at"), F.struct(*entities.columns).alias("_row"))
-    if placed and large is None:
-        asked = asked.repartition(key)
-    result = _carry(_stack(asked, ordinary_history), key).select("_row.*", "_found")
-    if large is not None:
-        # Of a hot key only its distinct instants are placed in time; the entity rows look the result up.
-        pairs = large if instants is None else hot_groups.split(instants, key, hot)[1]
-        moments = pairs.select(key, F.col(time).alias("_at")).distinct().withColumn("_row", F.struct("_at"))
-        resolved = _carry_by_minute(_stack(moments, large_history), key).select(key, F.col("_at").alias(time), "_found")
-        looked_up = large.join(resolved, [key, time], "left")
-        result = result.unionByName(looked_up.select(*entities.columns, "_found"))
-    fresh = F.col(key).isNotNull() & (F.col("_found.seen_at") >= F.col(time) - F.lit(ttl))
-    return result.select(*entities.columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])
-
-
-def _stack(asked: DataFrame, history: DataFrame) -> DataFrame:
-    """Both kinds of row in one table; each carries only its own struct through the sort."""
-    return asked.withColumn("_side", F.lit(_ENTITY)).unionByName(
-        history.withColumn("_side", F.lit(_FEATURE)), allowMissingColumns=True
-    )
-
+    # A NULL key meets no feature, here as in an online lookup.
+    history = features.where(F.col(key).isNotNull()).select(
+        *[c.alias(n) for n, c in chunks.key_columns(key).items()],
+        F.col(time).alias("_at"), tie.alias("_tie"), found.alias("_found"), F.lit(_FEATURE).alias("_side"),
+    )
+    nobody = F.when(F.col(key).isNull(), F.spark_partition_id().cast("string")).otherwise(F.col(key))
+    asked = entities.select(
+        nobody.alias(chunks.KEY), F.col(key).isNull().alias(chunks.NO_KEY), F.col(time).alias("_at"),
+        F.struct(*entities.columns).alias("_row"), F.lit(_ENTITY).alias("_side"),
+    )
+    stacked = history.unionByName(asked, allowMissingColumns=True)
+    placed = stacked.withColumn(chunks.CHUNK, F.coalesce(chunks.chunk(F.col("_at"), chunk_seconds), F.lit(_NO_TIME))).repartition(*chunks.PLACE)
 
-def _carry(stacked: DataFrame, *by: str) -> DataFrame:
     # Feature rows sort before entity rows of the same instant.
     order = [F.col("_at"), F.col("_side"), F.col("_tie").asc_nulls_first()]
-    so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = stacked.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far))
-    return carried.where(F.col("_row").isNotNull())
+    so_far = chunks.within(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = placed.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far)).where(F.col("_row").isNotNull())
 
+    def carry(name: str, earlier: Window) -> Column:
+        return F.last(name, ignorenulls=True).over(earlier)
 
-def _carry_by_minute(stacked: DataFrame, key: str) -> DataFrame:
-    """``_carry`` for hot keys: within a minute, else the last feature row of the earlier minutes."""
-    by_minute = stacked.withColumn("_minute", hot_groups.minute(F.col("_at")))
-    earlier = Window.partitionBy(key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    latest = F.max(F.when(F.col("_found").isNotNull(), F.struct("_at", "_tie", "_found")))
-    before = (
-        by_minute.groupBy(key, "_minute")
-        .agg(latest.alias("_latest"))
-        .select(key, "_minute", F.last("_latest", ignorenulls=True).over(earlier)["_found"].alias("_before"))
-    )
-    within = _carry(by_minute, key, "_minute")
-    return within.join(before, [key, "_minute"]).withColumn("_found", F.coalesce("_found", "_before"))
+    latest = F.max(F.when(F.col("_side") == _FEATURE, F.struct("_at", "_tie", "_found")))
+    before = chunks.carried(placed, {"_before": latest}, carry, F.col("_row").isNotNull())
+    before = before.select(*chunks.PLACE, F.col("_before._found").alias("_before"))
+    both = inside.join(before, list(chunks.PLACE))
+    result = both.select("_row.*", F.coalesce("_found", "_before").alias("_found"))
+    fresh = F.col(key).isNotNull() & (F.col("_found.seen_at") >= F.col(time) - F.lit(ttl))
+    return result.select(*entities.columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators import hot as hot_groups, rolling
+from tidemark.operators import chunks, rolling
 from tidemark.operators.rolling import AVAILABILITY_ROW, EVENT_ROW
 from tidemark.schemas import EVENT_COLUMNS, ITEM_FEATURES, USER_FEATURES, require_columns
+from tidemark.sources.versions import VersionedTable
 
 ENTITY_KEYS = {"user": "user_id", "item": "item_id"}
 # File names of the two feature sources.
@@ -31,42 +32,33 @@ def canonical_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     ).where("created_at IS NOT NULL")
 
 
-def find_hot(events: DataFrame, hot_rows: int = hot_groups.HOT_ROWS) -> dict[str, list[str]]:
-    """Hot users and items of an event table, for passing to several calls."""
-    return hot_groups.hot_keys(events, *ENTITY_KEYS.values(), hot_rows=hot_rows)
-
-
 def feature_rows(
-    events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None
+    events: DataFrame, keep: tuple[str, ...] = (), chunk_seconds: int = chunks.CHUNK_SECONDS
 ) -> DataFrame:
     """Feature rows of both entities: one per event at its event time, one at its availability.
 
     Rows come back as a bag in no order; ``in_snapshot_order`` sorts them. ``kind`` is 0 for event rows and
     1 for availability rows.
     """
-    base = canonical_events(events, keep)
-    hot = find_hot(base) if hot is None else hot
-    base = base.withColumn("clicked", F.col("event_type") == "click").drop("event_type")
-    by_user = rolling.add_counts(base, "user_id", "user", base, hot["user_id"], scored=False)
-    by_both = rolling.add_counts(by_user, "item_id", "item", base, hot["item_id"])
+    base = canonical_events(events, keep).withColumn("clicked", F.col("event_type") == "click").drop("event_type")
+    by_user = rolling.add_counts(rolling.score_rows(base), "user_id", "user", chunk_seconds)
+    by_both = rolling.add_counts(by_user, "item_id", "item", chunk_seconds)
     return by_both.select(
         *keep, "kind", "user_id", "item_id", "event_timestamp",
         F.col("ingested_at").alias("created_timestamp"), *USER_FEATURES, *ITEM_FEATURES,
     )
 
 
-def event_rows(events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None) -> DataFrame:
-    return feature_rows(events, keep, hot).where(F.col("kind") == EVENT_ROW).drop("kind")
+def event_rows(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return feature_rows(events, keep).where(F.col("kind") == EVENT_ROW).drop("kind")
 
 
-def availability_rows(
-    events: DataFrame, keep: tuple[str, ...] = (), hot: dict[str, list[str]] | None = None
-) -> DataFrame:
-    return feature_rows(events, keep, hot).where(F.col("kind") == AVAILABILITY_ROW).drop("kind")
+def availability_rows(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return feature_rows(events, keep).where(F.col("kind") == AVAILABILITY_ROW).drop("kind")
 
 
-def feature_snapshot(events: DataFrame, hot: dict[str, list[str]] | None = None) -> DataFrame:
-    return feature_rows(events, hot=hot).drop("kind")
+def feature_snapshot(events: DataFrame) -> DataFrame:
+    return feature_rows(events).drop("kind")
 
 
 def in_snapshot_order(rows: DataFrame, *tie_break: str) -> DataFrame:
@@ -74,7 +66,7 @@ def in_snapshot_order(rows: DataFrame, *tie_break: str) -> DataFrame:
     return rows.orderBy("event_timestamp", F.asc_nulls_last("created_timestamp"), "kind", *tie_break)
 
 
-def entity_source(events: DataFrame, entity: str, hot: dict[str, list[str]] | None = None) -> DataFrame:
+def entity_source(events: DataFrame, entity: str, chunk_seconds: int = chunks.CHUNK_SECONDS) -> DataFrame:
     """One entity's feature table: a single row per (key, event timestamp).
 
     Of several rows at one instant the one available first is kept, event rows before availability rows.
@@ -84,8 +76,7 @@ def entity_source(events: DataFrame, entity: str, hot: dict[str, list[str]] | No
     """
     key = ENTITY_KEYS[entity]
     base = canonical_events(events).where(F.col(key).isNotNull()).withColumn("clicked", F.col("event_type") == "click")
-    listed = (hot_groups.hot_keys(base, key) if hot is None else hot)[key]
-    state = rolling.instant_state(base, key, listed)
+    state = rolling.instant_state(base, key, chunk_seconds)
     event_first = (F.col("has_event") == 1) & (
         (F.col("has_available") == 0) | F.coalesce(F.col("first_ingested") <= F.col("at"), F.lit(False))
     )
@@ -99,14 +90,21 @@ def entity_source(events: DataFrame, entity: str, hot: dict[str, list[str]] | No
 
 
 def write_feature_snapshot(events: DataFrame, path: str) -> str:
-    feature_snapshot(events).write.mode("overwrite").parquet(path)
-    return path
+    """Publish the snapshot as the table at ``path``; returns the folder of the new version."""
+    return VersionedTable(events.sparkSession, path).replace(feature_snapshot(events))
 
 
 def write_feature_sources(events: DataFrame, directory: str) -> tuple[str, str]:
-    """Rewrite the user and the item source whole. Neither needs the other's counts, so nothing is shared."""
-    hot = find_hot(canonical_events(events))
-    paths = {entity: f"{directory.rstrip('/')}/{name}" for entity, name in SOURCE_FILES.items()}
-    for entity, path in paths.items():
-        entity_source(events, entity, hot).write.mode("overwrite").parquet(path)
+    """Rewrite the user and the item source whole, under their readers; returns the folders of the new versions.
+
+    Neither needs the other's counts, so nothing is shared.
+    """
+    spark, root = events.sparkSession, directory.rstrip("/")
+    tables = {entity: VersionedTable(spark, f"{root}/{name}") for entity, name in SOURCE_FILES.items()}
+    paths = {entity: table.replace(entity_source(events, entity)) for entity, table in tables.items()}
     return paths["user"], paths["item"]
+
+
+def stored_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """The sources as last written below the directory, by entity."""
+    return {e: VersionedTable(spark, f"{directory.rstrip('/')}/{name}").current() for e, name in SOURCE_FILES.items()}

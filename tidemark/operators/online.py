@@ -35,6 +35,19 @@ def latest_values(
     )
 
 
+def merge(stored: DataFrame, latest: DataFrame, key: str, now: Column, time: str = "event_timestamp") -> DataFrame:
+    """The online table after ``latest`` was written into it at ``now``.
+
+    A key's row is replaced by a newer one only: one at the same time or before it changes neither values nor expiry.
+    Keys that ``latest`` does not name stay until they expire; a row that has expired is gone and replaced by any.
+    Both inputs hold one row per key, so no key is large.
+    """
+    alive = stored.where(F.col("expires_at") > now).select(latest.columns)
+    both = alive.withColumn("_stored", F.lit(1)).unionByName(latest.withColumn("_stored", F.lit(0)))
+    kept = F.max_by(F.struct(*[c for c in latest.columns if c != key]), F.struct(time, "_stored"))
+    return both.groupBy(key).agg(kept.alias("_v")).select(key, "_v.*").select(latest.columns)
+
+
 def look_up(entities: DataFrame, online: DataFrame, key: str, names: tuple[str, ...], now: Column) -> DataFrame:
     """Entity rows with the online values; NULL for keys never materialized or expired.
 

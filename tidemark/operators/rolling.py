@@ -11,16 +11,15 @@ Two states are asked for at two instants (``history`` is another event of the sa
 * availability row, at ``ingested_at``, for events not dated after their ingestion: history ingested by
   then, itself and its ties included, created less than seven days before, and likewise not future-dated.
 
-Ordinary keys go through one exchange of the events and one sort per key. Keys on the hot list are first
-added up per instant, then summed per minute, and the minutes' totals are carried forward, so no task holds
-more than a minute of distinct instants.
+The sum has two levels (``chunks``): rows are placed by key and hour, with a bare copy where their event expires;
+points are summed within the hour, and the totals of the key's earlier hours are carried in.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators import hot as hot_groups
+from tidemark.operators import chunks
 
 EVENT_ROW, AVAILABILITY_ROW = 0, 1
 
@@ -41,26 +40,21 @@ def score_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def add_counts(
-    rows: DataFrame, key: str, prefix: str, events: DataFrame, hot: list[str], scored: bool = True
-) -> DataFrame:
+def add_counts(rows: DataFrame, key: str, prefix: str, chunk_seconds: int = chunks.CHUNK_SECONDS) -> DataFrame:
     """Score rows with ``{prefix}_event_count_7d`` and ``{prefix}_click_count_7d`` of their key.
 
-    With ``scored=False`` the rows are events, and their score rows are made after the exchange, which then
-    moves each event once. Rows of ordinary keys carry their other columns through the window, so nothing is
-    joined back. Both kinds of row must be there, as each brings part of its event's points.
+    Rows carry their other columns through the windows, so nothing is joined back. Both kinds of row must be there,
+    as each brings part of its event's points.
     """
-
-    def score(df: DataFrame) -> DataFrame:
-        return df if scored else score_rows(df)
-
-    ordinary, large = hot_groups.split(rows, key, hot)
-    counted = _count_in_key(score(ordinary.repartition(key)), key, prefix)
-    if large is None:
-        return counted
-    state = _split_state(hot_groups.split(events, key, hot)[1], key).withColumnRenamed("at", "event_timestamp")
-    looked_up = score(large).join(state.select(key, "event_timestamp", *_STATE), [key, "event_timestamp"])
-    return counted.unionByName(_of_kind(looked_up, prefix).select(*counted.columns))
+    others = [c for c in rows.columns if c != key]
+    has_row = F.col("_row").isNotNull()
+    carries_row = F.when(F.col("step") == _ASK, F.col("_row")).alias("_row")
+    points = _points(_placed(rows, key, chunk_seconds, F.struct(*others).alias("_row")), chunk_seconds, carries_row)
+    # The default frame is a RANGE up to the current instant: ties see one value.
+    so_far = chunks.within("at")
+    summed = points.withColumns({c: F.sum(c).over(so_far) for c in _STATE}).where(has_row)
+    whole = _carried_in(summed, points, has_row)
+    return _of_kind(whole.select(chunks.given_key(key), "_row.*", *_STATE), prefix)
 
 
 def _of_kind(rows: DataFrame, prefix: str) -> DataFrame:
@@ -72,28 +66,48 @@ def _of_kind(rows: DataFrame, prefix: str) -> DataFrame:
     return rows.withColumns(named).drop(*_STATE)
 
 
-def _points(rows: DataFrame, key: str, *extra: Column) -> DataFrame:
-    """The points of score rows, three or four per event: at creation, at ingestion, at expiry, and one
+def _expiry() -> Column:
+    return F.col("created_at") + F.expr("INTERVAL '7' DAY")
+
+
+def _tick_after() -> Column:
+    return F.col("created_at") + F.expr("INTERVAL '0.000001' SECOND")
+
+
+def _placed(rows: DataFrame, key: str, chunk_seconds: int, *row: Column) -> DataFrame:
+    """Score rows by key and chunk: one copy per chunk their points fall into, with ``_row``, if any, where they ask."""
+    asks = chunks.chunk(F.col("event_timestamp"), chunk_seconds)
+    ends, begins = chunks.chunk(_expiry(), chunk_seconds), chunks.chunk(_tick_after(), chunk_seconds)
+    is_event = F.col("kind") == EVENT_ROW
+    into = F.when(is_event, F.array_distinct(F.array(asks, ends, begins))).otherwise(F.array(asks))
+    each = rows.select("*", *row).withColumns(chunks.key_columns(key)).withColumn(chunks.CHUNK, F.explode(into))
+    here = [F.when(F.col(chunks.CHUNK) == asks, F.col("_row")).alias("_row")] if row else []
+    return each.select(*chunks.PLACE, "kind", "created_at", "ingested_at", "clicked", *here).repartition(*chunks.PLACE)
+
+
+def _points(placed: DataFrame, chunk_seconds: int, *extra: Column) -> DataFrame:
+    """The points of the rows in their chunks, three or four per event: at creation, at ingestion, at expiry, and one
     tick after creation for an event ingested by then.
 
     The availability row's own point begins the event's intervals. ``extra`` columns may use ``step``.
     """
     created, ingested = F.col("created_at"), F.col("ingested_at")
-    kind, step = F.col("kind"), F.col("step")
-    expiry = created + F.expr("INTERVAL '7' DAY")
-    tick_after = created + F.expr("INTERVAL '0.000001' SECOND")
-    known = ingested < expiry
+    kind, step, at = F.col("kind"), F.col("step"), F.col("at")
+    known = ingested < _expiry()
     begins = (step == _ASK) & (kind == AVAILABILITY_ROW) & known
     event_n = F.when((begins & (ingested > created)) | (step == _BEGIN), 1).when(step == _END, -1).otherwise(0)
     available_n = F.when(begins, 1).when((step == _END) & (ingested >= created), -1).otherwise(0)
     steps = F.when(kind == EVENT_ROW, F.array(F.lit(_ASK), F.lit(_END), F.lit(_BEGIN))).otherwise(F.array(F.lit(_ASK)))
+    asked_at = F.when(kind == EVENT_ROW, created).otherwise(ingested)
     no_click = F.lit(0)
     return (
-        rows.withColumn("step", F.explode(steps))
+        placed.withColumn("step", F.explode(steps))
+        .withColumn("at", F.when(step == _ASK, asked_at).when(step == _END, _expiry()).otherwise(_tick_after()))
         .where((step == _ASK) | ((step == _END) & known) | ((step == _BEGIN) & (ingested <= created)))
+        .where(chunks.chunk(at, chunk_seconds) == F.col(chunks.CHUNK))
         .select(
-            key,
-            F.when(step == _ASK, F.col("event_timestamp")).when(step == _END, expiry).otherwise(tick_after).alias("at"),
+            *chunks.PLACE,
+            "at",
             event_n.cast("long").alias("event_n"),
             F.when(F.col("clicked"), event_n).otherwise(no_click).cast("long").alias("event_clicks"),
             available_n.cast("long").alias("available_n"),
@@ -103,25 +117,34 @@ def _points(rows: DataFrame, key: str, *extra: Column) -> DataFrame:
     )
 
 
-def _count_in_key(rows: DataFrame, key: str, prefix: str) -> DataFrame:
-    # Only asking points carry the row's columns through the sort.
-    row = F.when(F.col("step") == _ASK, F.struct(*[c for c in rows.columns if c != key])).alias("_row")
-    # The default frame is a RANGE up to the current instant: ties see one value.
-    so_far = Window.partitionBy(key).orderBy("at")
-    summed = _points(rows, key, row).withColumns({c: F.sum(c).over(so_far) for c in _STATE})
-    return _of_kind(summed.where(F.col("_row").isNotNull()).select(key, "_row.*", *_STATE), prefix)
+def _carried_in(summed: DataFrame, points: DataFrame, asked: Column) -> DataFrame:
+    """Sums within chunks plus the totals of all earlier chunks of the key."""
+
+    def carry(name: str, earlier: Window) -> Column:
+        return F.coalesce(F.sum(name).over(earlier), F.lit(0))
+
+    totals = chunks.carried(points, {f"_{c}": F.sum(c) for c in _STATE}, carry, asked)
+    whole = summed.join(totals, list(chunks.PLACE))
+    return whole.withColumns({c: F.col(c) + F.col(f"_{c}") for c in _STATE}).drop(*[f"_{c}" for c in _STATE])
 
 
-def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
+def instant_state(events: DataFrame, key: str, chunk_seconds: int = chunks.CHUNK_SECONDS) -> DataFrame:
     """Both counts at every (key, instant) somebody asks about, one row each.
 
     Columns: key, ``at``, the event-row and availability-row counts, which of the two kinds occur there,
     and the earliest ingestion among the events created there.
     """
-    ordinary, large = hot_groups.split(events, key, hot)
-    # Each event crosses the network once; its points are made, sorted and summed where it lands.
-    points = _asking_points(ordinary.repartition(key), key)
-    so_far = Window.partitionBy(key).orderBy("at")
+    asks, kind = F.col("step") == _ASK, F.col("kind")
+    rows = score_rows(events.select(key, "created_at", "ingested_at", "clicked"))
+    points = _points(
+        _placed(rows, key, chunk_seconds),
+        chunk_seconds,
+        (asks & (kind == EVENT_ROW)).cast("int").alias("has_event"),
+        (asks & (kind == AVAILABILITY_ROW)).cast("int").alias("has_available"),
+        F.when(asks & (kind == EVENT_ROW), F.col("ingested_at")).alias("first_ingested"),
+    )
+    asked = (F.col("has_event") == 1) | (F.col("has_available") == 1)
+    so_far = chunks.within("at")
     here = so_far.rangeBetween(Window.currentRow, Window.currentRow)
     state = (
         points.withColumns(
@@ -133,50 +156,7 @@ def instant_state(events: DataFrame, key: str, hot: list[str]) -> DataFrame:
         )
         # The frames give all points of an instant the same values; keep the first.
         .where(F.col("_previous").isNull() | (F.col("_previous") != F.col("at")))
+        .where(asked)
         .drop("_previous")
     )
-    if large is None:
-        return _asked(state)
-    return _asked(state).unionByName(_split_state(large, key))
-
-
-def _asking_points(events: DataFrame, key: str) -> DataFrame:
-    asks, kind = F.col("step") == _ASK, F.col("kind")
-    rows = score_rows(events.select(key, "created_at", "ingested_at", "clicked"))
-    return _points(
-        rows,
-        key,
-        (asks & (kind == EVENT_ROW)).cast("int").alias("has_event"),
-        (asks & (kind == AVAILABILITY_ROW)).cast("int").alias("has_available"),
-        F.when(asks & (kind == EVENT_ROW), F.col("ingested_at")).alias("first_ingested"),
-    )
-
-
-def _asked(state: DataFrame) -> DataFrame:
-    return state.where((F.col("has_event") == 1) | (F.col("has_available") == 1))
-
-
-def _split_state(events: DataFrame, key: str) -> DataFrame:
-    """``instant_state`` of hot keys: sums within a minute plus the totals of all earlier minutes."""
-    points = _asking_points(events, key)
-    minute = hot_groups.minute(F.col("at"))
-    within = Window.partitionBy(key, "_minute").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Ties of an instant are added up before the exchange, so a burst at one instant stays small.
-    sums = [F.sum(c).alias(c) for c in _STATE]
-    local = (
-        points.groupBy(key, "at")
-        .agg(*sums, *[rule(c).alias(c) for c, rule in _AT_INSTANT.items()])
-        .withColumn("_minute", minute)
-        .withColumns({c: F.sum(c).over(within) for c in _STATE})
-    )
-    # At most one row per key and minute, whatever the number of events.
-    earlier = Window.partitionBy(key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        points.withColumn("_minute", minute)
-        .groupBy(key, "_minute")
-        .agg(*sums)
-        .select(key, "_minute", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in _STATE])
-    )
-    whole = local.join(carried, [key, "_minute"])
-    whole = whole.withColumns({c: F.col(c) + F.col(f"_{c}") for c in _STATE})
-    return _asked(whole.drop("_minute", *[f"_{c}" for c in _STATE]))
+    return _carried_in(state, points, asked).select(chunks.given_key(key), "at", *_STATE, *_AT_INSTANT)

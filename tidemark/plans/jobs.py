@@ -22,15 +22,15 @@ from tidemark.streaming.landing import land, land_table
 
 
 def materialize(events: DataFrame, directory: str, end: datetime) -> dict[str, str]:
-    """Rewrite both feature sources from the events, then the online tables from the sources.
+    """Rewrite both feature sources from the events, then bring the online tables up to date from the sources.
 
     The online tables read the written sources, so the sweep over the events runs once.
     """
-    spark = events.sparkSession
-    paths = features.write_feature_sources(events, f"{directory}/sources")
+    features.write_feature_sources(events, f"{directory}/sources")
+    sources = features.stored_sources(events.sparkSession, f"{directory}/sources")
     store = registry.FeatureRegistry()
-    for view, path in zip(registry.RANKING.views, paths, strict=True):
-        store.apply(view, spark.read.parquet(path))
+    for view in registry.RANKING.views:
+        store.apply(view, sources[view.entity.name])
     return store.materialize(f"{directory}/online", F.lit(end))
 
 

@@ -152,6 +152,29 @@ def _latest(entity: str) -> str:
 """
 
 
+def _merged(entity: str) -> str:
+    """Online tables after each materialization; a stored row gives way to a newer one, or once it has expired."""
+    columns = f"{entity}_id AS key, event_timestamp, {entity}_event_count_7d AS event_count_7d, {entity}_click_count_7d AS click_count_7d"
+    ctes, stored = [], None
+    for days in (8, 1, 0):
+        now, name = f"({_END} - INTERVAL {days} DAY)", f"{entity}_online_{days}"
+        parts = [
+            f"""SELECT {columns}, {now} + INTERVAL 7 DAY AS expires_at, 0 AS stored FROM (
+            SELECT *, row_number() OVER (PARTITION BY {entity}_id ORDER BY event_timestamp DESC) AS r FROM {entity}_source
+            WHERE event_timestamp BETWEEN {now} - INTERVAL 7 DAY AND {now}) WHERE r = 1"""
+        ]
+        if stored:
+            parts.append(
+                f"SELECT key, event_timestamp, event_count_7d, click_count_7d, expires_at, 1 FROM {stored} WHERE expires_at > {now}"
+            )
+        ctes.append(
+            f"""{name} AS (SELECT * EXCLUDE (r, stored) FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY event_timestamp DESC, stored DESC) AS r
+            FROM ({" UNION ALL ".join(parts)})) WHERE r = 1)"""
+        )
+        stored = name
+    return ", ".join(ctes)
+
+
 _CHANGES = """
 changed AS (
   SELECT CASE WHEN seq % 31 > 0 THEN seq * 3 END AS lsn, seq AS id, 'c' AS op, user_id, item_id, event_type, created_at
@@ -267,6 +290,10 @@ ORACLES: dict[str, str] = {
         """SELECT a.user_id, a.item_id, user_event_count_7d, user_click_count_7d, item_event_count_7d, item_click_count_7d
            FROM asked a LEFT JOIN user_latest u ON a.user_id = u.user_id LEFT JOIN item_latest i ON a.item_id = i.item_id""",
     ),
+    "online_merge": _with(
+        _SOURCES, _merged("user"), _merged("item"),
+        "SELECT 'user' AS entity, * FROM user_online_0 UNION ALL SELECT 'item', * FROM item_online_0",
+    ),
     "offline_online_parity": _with(
         """SELECT 'user_id' AS key, CAST(0 AS BIGINT) AS mismatches, count(DISTINCT user_id) AS compared FROM interactions
            UNION ALL SELECT 'item_id', 0, count(DISTINCT item_id) FROM interactions"""

@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values shared with the SQL checks.
 MATERIALIZE_END = "TIMESTAMP_NTZ'2024-01-25 00:00:00'"
+MATERIALIZE_DAYS_BEFORE = (8, 1, 0)
 
 
 def _zoneless(df: DataFrame, *names: str) -> DataFrame:
@@ -195,30 +196,18 @@ def item_feature_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.entity_source(derived.interactions(spark, sf_dir), "item")
 
 
-def _store(spark: SparkSession, sf_dir: str) -> tuple[registry.FeatureRegistry, dict[str, list[str]]]:
-    """Both views over their sources, and the hot keys of the events.
-
-    The entity rows of these queries are the events again, so a key is as hot in them as in the events. With a
-    hot key a source is read by several branches of a join, so it is written once instead of computed in each.
-    """
+def _store(spark: SparkSession, sf_dir: str) -> registry.FeatureRegistry:
+    """Both views over their sources."""
     events = derived.interactions(spark, sf_dir)
-    hot = features.find_hot(events)
     store = registry.FeatureRegistry()
     for view in registry.RANKING.views:
-        source = features.entity_source(events, view.entity.name, hot)
-        if hot[view.entity.join_key]:
-            path = shared_dir(spark, "source")
-            source.write.parquet(path)
-            store.apply(view, spark.read.parquet(path))
-        else:
-            store.apply(view, source, computed=True)
-    return store, hot
+        store.apply(view, features.entity_source(events, view.entity.name))
+    return store
 
 
 def _pit(spark: SparkSession, sf_dir: str, view: registry.FeatureView) -> DataFrame:
-    store, hot = _store(spark, sf_dir)
     wanted = [f"{view.name}:{f}" for f in view.features]
-    rows = store.historical(derived.training_rows(spark, sf_dir), wanted, hot)
+    rows = _store(spark, sf_dir).historical(derived.training_rows(spark, sf_dir), wanted)
     return rows.select("seq", view.entity.join_key, "event_timestamp", "label", *view.features)
 
 
@@ -232,8 +221,7 @@ def pit_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pit_ranking_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: training rows with the user and item features as they were known at each row."""
-    store, hot = _store(spark, sf_dir)
-    return store.historical(derived.training_rows(spark, sf_dir), registry.RANKING, hot)
+    return _store(spark, sf_dir).historical(derived.training_rows(spark, sf_dir), registry.RANKING)
 
 
 # Online -----------------------------------------------------------------------------------------------
@@ -248,16 +236,16 @@ def _latest(store: registry.FeatureRegistry, view: registry.FeatureView) -> Data
 
 
 def online_latest_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latest(_store(spark, sf_dir)[0], registry.USER_VIEW)
+    return _latest(_store(spark, sf_dir), registry.USER_VIEW)
 
 
 def online_latest_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latest(_store(spark, sf_dir)[0], registry.ITEM_VIEW)
+    return _latest(_store(spark, sf_dir), registry.ITEM_VIEW)
 
 
 def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair that ever met, and for every user and item a pair with a partner never seen and one with none."""
-    store, _ = _store(spark, sf_dir)
+    store = _store(spark, sf_dir)
     pairs = derived.interactions(spark, sf_dir).select("user_id", "item_id").distinct()
     unseen_item = pairs.select("user_id", F.lit("never").alias("item_id")).distinct()
     unseen_user = pairs.select(F.lit("never").alias("user_id"), "item_id").distinct()
@@ -268,15 +256,31 @@ def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.online(asked, registry.RANKING, tables, _end())
 
 
+def online_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The online tables after three materializations: by the last, rows of the first have expired unless renewed."""
+    store, directory = _store(spark, sf_dir), shared_dir(spark, "online")
+    for days_before in MATERIALIZE_DAYS_BEFORE:
+        store.materialize(directory, _end() - F.expr(f"INTERVAL '{days_before}' DAY"))
+    tables = store.online_tables(directory)
+    parts = []
+    for view in registry.RANKING.views:
+        key = F.col(view.entity.join_key).alias("key")
+        values = [F.col(n).alias(n.removeprefix(f"{view.entity.name}_")) for n in view.features]
+        parts.append(tables[view.name].select(F.lit(view.entity.name).alias("entity"), key, "event_timestamp", *values, "expires_at"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def offline_online_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each view read both ways at the moment of materialization, compared key by key."""
-    store, hot = _store(spark, sf_dir)
+    """Each view read both ways at the moment of materialization, compared key by key. Sources are written once."""
     events = derived.interactions(spark, sf_dir)
+    store = registry.FeatureRegistry()
+    for view, path in zip(registry.RANKING.views, features.write_feature_sources(events, shared_dir(spark, "sources"))):
+        store.apply(view, spark.read.parquet(path))
     parts = []
     for view in registry.RANKING.views:
         key, names = view.entity.join_key, view.features
         at_end = events.select(key).distinct().withColumn("event_timestamp", _end())
-        offline = store.historical(at_end, [f"{view.name}:{n}" for n in names], hot)
+        offline = store.historical(at_end, [f"{view.name}:{n}" for n in names])
         mismatches = online.parity(offline, _latest(store, view), key, names)
         parts.append(mismatches.select(F.lit(key).alias("key"), "mismatches", "compared"))
     return reduce(DataFrame.unionByName, parts)
@@ -317,7 +321,7 @@ _ALL: tuple[Query, ...] = (
     lake_scan, lake_partitions, stream_counts, stream_late, stream_lake_append, stream_publish,
     feature_event_rows, feature_availability_rows, feature_snapshot, user_feature_source, item_feature_source,
     pit_user, pit_item, pit_ranking_features,
-    online_latest_user, online_latest_item, online_lookup, offline_online_parity,
+    online_latest_user, online_latest_item, online_lookup, online_merge, offline_online_parity,
     cdc_unwrap, cdc_refused, cdc_current_state, stream_cdc_state,
 )
 

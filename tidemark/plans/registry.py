@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators import asof, online
 from tidemark.schemas import FEATURE_WINDOW, ITEM_FEATURES, USER_FEATURES, require_columns
+from tidemark.sources.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,10 @@ RANKING = FeatureService("ranking_features", (USER_VIEW, ITEM_VIEW))
 class FeatureRegistry:
     """Views with the DataFrames behind them. Sources are checked when a view is applied, before any job."""
 
-    _sources: dict[str, tuple[FeatureView, DataFrame, bool]] = field(default_factory=dict)
+    _sources: dict[str, tuple[FeatureView, DataFrame]] = field(default_factory=dict)
 
-    def apply(self, view: FeatureView, source: DataFrame, computed: bool = False) -> FeatureRegistry:
-        """Register a view. ``computed`` marks a source still to be computed, whose rows are placed by its key."""
+    def apply(self, view: FeatureView, source: DataFrame) -> FeatureRegistry:
+        """Register a view."""
         key, types = view.entity.join_key, dict(source.dtypes)
         require_columns(source, (key, view.time, view.created, *view.features), view.name)
         if types[key] != "string":
@@ -58,7 +59,7 @@ class FeatureRegistry:
         wrong = {n: types[n] for n in view.features if types[n] != "bigint"}
         if wrong:
             raise TypeError(f"{view.name}: features must be bigint: {wrong}")
-        self._sources[view.name] = (view, source, computed)
+        self._sources[view.name] = (view, source)
         return self
 
     def view(self, name: str) -> FeatureView:
@@ -67,7 +68,7 @@ class FeatureRegistry:
     def source(self, name: str) -> DataFrame:
         return self._entry(name)[1]
 
-    def _entry(self, name: str) -> tuple[FeatureView, DataFrame, bool]:
+    def _entry(self, name: str) -> tuple[FeatureView, DataFrame]:
         if name not in self._sources:
             raise LookupError(f"feature view {name} is not registered")
         return self._sources[name]
@@ -84,27 +85,17 @@ class FeatureRegistry:
             wanted.setdefault(view_name, []).append(feature)
         return [(self.view(name), tuple(names)) for name, names in wanted.items()]
 
-    def historical(
-        self,
-        entities: DataFrame,
-        features: FeatureService | Iterable[str],
-        hot: dict[str, list[str]] | None = None,
-    ) -> DataFrame:
+    def historical(self, entities: DataFrame, features: FeatureService | Iterable[str]) -> DataFrame:
         """Entity rows with point-in-time values of each view on its own key.
 
         Rows carry their columns from one view to the next, so the views' results are not joined together.
-        ``hot`` lists hot keys per join key; without it they are counted over both inputs.
         """
         result = entities
         for view, names in self.resolve(features):
             key = view.entity.join_key
             require_columns(result, (key, "event_timestamp"), "entity rows")
             source = self.source(view.name).withColumnRenamed(view.time, "event_timestamp")
-            listed = None if hot is None else hot[key]
-            placed = self._entry(view.name)[2]
-            result = asof.as_of_join(
-                result, source, key, names, view.ttl, listed, "event_timestamp", view.created, entities, placed
-            )
+            result = asof.as_of_join(result, source, key, names, view.ttl, "event_timestamp", view.created)
         return result
 
     def latest(self, name: str, start: Column, end: Column) -> DataFrame:
@@ -115,13 +106,28 @@ class FeatureRegistry:
         )
 
     def materialize(self, directory: str, end: Column, span: timedelta = FEATURE_WINDOW) -> dict[str, str]:
-        """Rewrite the online table of every view for the span up to ``end``; returns their paths."""
-        start = end - F.lit(span)
-        paths = {name: f"{directory.rstrip('/')}/{name}" for name in self._sources}
-        for name, path in paths.items():
-            self.latest(name, start, end).write.mode("overwrite").parquet(path)
+        """Write the latest values of the span up to ``end`` into the online table of every view.
+
+        Keys outside the span keep their values until they expire. Readers of a table are not disturbed: the new
+        content is published when it is whole. Returns the folders of the published versions.
+        """
+        start, paths = end - F.lit(span), {}
+        for name, (view, source) in self._sources.items():
+            table = VersionedTable(source.sparkSession, f"{directory.rstrip('/')}/{name}")
+            latest = self.latest(name, start, end)
+            if table.exists():
+                stored = table.current(latest.schema)
+                latest = online.merge(stored, latest, view.entity.join_key, end, view.time)
+            paths[name] = table.replace(latest)
         return paths
 
+    def online_tables(self, directory: str) -> dict[str, DataFrame]:
+        """The online tables as last materialized below the directory."""
+        return {
+            name: VersionedTable(source.sparkSession, f"{directory.rstrip('/')}/{name}").current()
+            for name, (_, source) in self._sources.items()
+        }
+
     def online(
         self,
         entities: DataFrame,
