@@ -218,7 +218,8 @@ def _by_company(different: DataFrame, crowded: int) -> tuple[DataFrame, DataFram
     in a crowd. ``n`` says how often a piece was found."""
     kinds = different.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     # A crowded anchor has many rows here and one there: a join whose skewed side Spark splits.
-    found = written(different.join(kinds.drop("total"), "key").withColumn("many", F.col("n") > 1), "shared")
+    kinds = written(kinds.select("key", "kinds"), "kinds")
+    found = written(written(different, "different").join(kinds, "key").withColumn("many", F.col("n") > 1), "shared")
     return found.where("kinds = 1"), found.where(F.col("kinds").between(2, crowded)), found.where(F.col("kinds") > crowded)
 
 
@@ -290,7 +291,8 @@ def repeats(rows: DataFrame, window: int = WINDOW, crowded: int = CROWDED, shard
     ``rows`` holds (row long, text binary) with a key per row; read several times, so best a written table.
     """
     everywhere = written(pieces(rows, window), "pieces")
-    repeated = everywhere.groupBy("key").count().where("count > 1").select("key")
+    # Written, so that the join shuffles both sides itself and Spark can split the rows of a frequent anchor.
+    repeated = written(everywhere.groupBy("key").count().where("count > 1").select("key"), "repeated")
     places = written(everywhere.join(repeated, "key", "left_semi"), "places")
     different = places.groupBy("key", "piece").agg(
         F.count("*").alias("n"), F.first("windows").alias("windows"), F.first("offset").alias("offset"),
