@@ -8,6 +8,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from decimal import Decimal, localcontext
 
 import duckdb
 import numpy as np
@@ -92,12 +93,23 @@ def test_trust_and_distrust_flow_along_links(spark):
     assert got["spam.org"]["verdict"] == "block" and got["bad.net"]["verdict"] == "block"
     assert {got[h]["verdict"] for h in ("friend.org", "other.org", "alone.org")} == {"allow"}
     trust, edges = {"good.com": 1.0}, {"good.com": "friend.org", "friend.org": "other.org"}
-    for _ in range(url_trust.ROUNDS):
+    for _ in range(200):
         moved = Counter({edges[h]: s * url_trust.DAMPING for h, s in trust.items() if h in edges})
         moved["good.com"] += 1 - sum(moved.values())
         trust = dict(moved)
     for host, score in trust.items():
-        assert got[host]["trust"] == pytest.approx(score)
+        assert got[host]["trust"] == pytest.approx(score, abs=1e-5)
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    prepare(spark)
+    hosts = [f"h{i}.org" for i in range(16)] + ["bad.net"]
+    link = "<a href='http://{}/x'>".format
+    rows = [(i, f"http://{host}/", link(after)) for i, (host, after) in enumerate(zip(hosts, hosts[1:]))]
+    rows += [(90, "http://bad.net/es/", ""), (91, "http://good.com/", link("friend.org")), (92, "http://friend.org/", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in url_trust.judge_urls(pages, queries.URL_RULES).collect()}
+    assert {got[h] for h in hosts} == {"block"} and got["friend.org"] == "allow"
 
 
 def test_languages_are_told_apart(spark, sf_dir, documents):
@@ -194,7 +206,7 @@ def test_edited_passages_are_found_up_to_the_budget(seed):
     rnd = random.Random(seed)
     word = lambda: "".join(rnd.choices("abcde", k=rnd.randint(1, 7)))
     passage = " ".join(word() for _ in range(rnd.randint(14, 40)))
-    if len(passage) < decontamination.SHORTEST:
+    if len(passage) < decontamination.BORDERED:
         return
     changed = list(passage)
     for _ in range(rnd.randint(0, int(len(passage) * decontamination.BUDGET) + 3)):
@@ -203,7 +215,55 @@ def test_edited_passages_are_found_up_to_the_budget(seed):
     text = " ".join([word() for _ in range(30)] + ["".join(changed)] + [word() for _ in range(30)])
     found = decontamination.Matcher(decontamination.Passages([1], [passage])).find(text.encode())
     least = edits(passage, " ".join(text.split()))
-    assert (found[0][0] if found else None) == (least if least <= int(len(passage) * decontamination.BUDGET) else None)
+    assert (found[0][1] if found else None) == (least if least <= int(len(passage) * decontamination.BUDGET) else None)
+
+
+@given(st.integers(0, 2**32))
+@settings(max_examples=150, deadline=None)
+def test_short_passages_are_found_at_word_borders(seed):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abc", k=rnd.randint(1, 6)))
+    passage = " ".join(word() for _ in range(rnd.randint(1, 8)))
+    if len(passage) >= decontamination.BORDERED:
+        return
+    text = " ".join(word() for _ in range(rnd.randint(0, 60)))
+    if rnd.random() < 0.5:
+        text = f"{text}, {passage.upper()}! {word()}"
+    found = decontamination.Matcher(decontamination.Passages([1], [passage])).find(text.encode())
+    plain = " ".join("".join(c if c.isalnum() else " " for c in text.lower()).split())
+    bordered, within = f" {passage} ", f" {plain} "
+    if len(passage) < decontamination.Q:
+        assert bool(found) == (bordered in within)
+    else:
+        budget = min(int(len(passage) * decontamination.BUDGET), (len(bordered) - decontamination.Q) // decontamination.Q)
+        least = edits(bordered, within)
+        assert (found[0][1] if found else None) == (least if least <= budget else None)
+    if found and not found[0][1]:
+        first, last = found[0][2:]
+        assert " ".join("".join(c if c.isalnum() else " " for c in text.lower()[first : last + 1]).split()) == passage
+
+
+def test_a_short_question_is_found(spark):
+    prepare(spark)
+    question = "What is the capital city of France?"
+    docs = spark.createDataFrame([(1, question), (2, f"Quiz: {question.upper()} Nobody knew."), (3, "What is the capital of a city?"), (4, "the cat sat"), (5, "concatenate")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, question), (8, "cat"), (9, "?!")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, items).collect()}
+    assert got == {(1, 7), (2, 7), (4, 8)}
+    assert {r["doc_id"] for r in decontamination.without_leaks(docs, items).collect()} == {3, 5}
+
+
+def test_passages_in_several_blocks_are_those_in_one(spark, monkeypatch):
+    prepare(spark)
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choices("abcdefg", k=5)) for _ in range(rnd.randint(1, 20))) for _ in range(40)]
+    docs = spark.createDataFrame([(i, f"zz {t} zz {texts[i - 1]}") for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(texts[::3])), "item_id long, text string")
+    whole = sorted(decontamination.leaks(docs, items).collect())
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 500)
+    assert sorted(decontamination.leaks(docs, items).collect()) == whole and whole
+    left = {r["doc_id"] for r in decontamination.without_leaks(docs, items).collect()}
+    assert left == set(range(40)) - {r["doc_id"] for r in whole}
 
 
 def test_scores(spark, sf_dir, documents):
@@ -218,7 +278,34 @@ def test_scores(spark, sf_dir, documents):
         tokens, row = [*words, None], got.loc[doc]
         assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"]) == (held, len(tokens), sum(counts[w] > 0 for w in tokens), total)
         assert row["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in tokens))
-        assert row["score"] == pytest.approx(sum(math.log10((counts[w] + kinds * math.exp(logs[w])) / (total + kinds)) for w in tokens))
+        assert row["score"] == pytest.approx(sum(in_logs(counts[w], kinds, logs[w]) for w in tokens) - len(tokens) * math.log10(total + kinds))
+
+
+def in_logs(c, kinds, log):
+    """log10(c + kinds * exp(log)), exactly, for logs that no float survives."""
+    with localcontext() as context:
+        context.prec, context.Emin = 40, -10**15
+        return float((Decimal(c) + Decimal(kinds) * Decimal(log).exp()).log10())
+
+
+def test_long_unseen_words_are_scored(spark):
+    prepare(spark)
+    rnd = random.Random(3)
+    strange = {n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789+/=é世", k=n)) for n in (100, 600, 1_000, 100_000)}
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    taught = [i for i in range(400) if i not in held]
+    rows = [(held[0], "see " + strange[100]), (held[1], strange[600]), (held[2], f"{strange[1_000]} see"), (held[3], strange[100_000])]
+    rows += [(taught[0], "see this"), (taught[1], f"see {strange[100]}"), (taught[2], strange[100_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lattice_lm.score_documents(docs, queries.model_path()).collect()}
+    counts = Counter(w for i, t in rows if i in taught for w in [*t.split(), None])
+    total, kinds = sum(counts.values()), len(counts)
+    weights, byte_weights, end, longest = lattice_lm.vocabulary_weights(queries.model_path())
+    lattice = lattice_lm.Lattice(weights, byte_weights, longest)
+    log = lambda w: end if w is None else lattice.forward(lattice.arcs(w))[-1]
+    for i, text in rows:
+        tokens = [*text.split(), None]
+        assert got[i] == pytest.approx(sum(in_logs(counts[w], kinds, log(w)) for w in tokens) - len(tokens) * math.log10(total + kinds), rel=1e-12)
 
 
 def test_frequent_and_rare_words_are_scored_alike(spark, sf_dir):

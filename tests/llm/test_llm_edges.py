@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,14 +13,16 @@ from tidemark.llm import chat, decontamination, language_id, lattice_lm, mih, qu
 from tidemark.llm.common import prepare
 
 LONG = "lorem ipsum dolor " * 20_000
+# One word, as a base64 run has it.
+WORD = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/=", k=100_000))
 PASSAGE = "the quick red fox that never sleeps runs over forty lazy grey dogs each night"
 TEXTS = [
     (1, "a plain text of some words"), (2, None), (3, ""), (4, LONG), (5, "a plain text of some words"),
     (5, "a plain text of some words"), (None, "no id here"), (6, "\u2581 odd \x00 \U0001f600 e\u0301"), (7, "   "),
-    (8, f"before {PASSAGE} after"), (None, None),
+    (8, f"before {PASSAGE} after"), (None, None), (9, WORD),
 ]
 # Columns that operators use as names of their own.
-ODD = ("fp", "node", "component_id", "digest", "block", "shard", "size", "row", "word", "host", "toxic", "v", "logs")
+ODD = ("fp", "node", "component_id", "digest", "block", "shard", "size", "row", "word", "host", "toxic", "v", "logs", "_row_key", "_ROW_KEY_", "id", "hash", "key", "piece", "spans", "vector", "place")
 
 
 def with_odd(df):
@@ -133,12 +136,38 @@ def test_conversations(spark):
     assert chat.digests(chat.format_turns(talks.limit(0), path), path).collect() == []
 
 
-def test_stages_keep_columns_and_run_on_nothing(spark, docs, sf_dir):
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=lambda f: f.__name__)
+def test_stages_keep_rows_as_they_are_and_run_on_nothing(spark, docs, sf_dir, stage):
+    last = stage is corpus_pipeline.STAGES[-1][1]
     for rows in (docs, docs.limit(0)):
-        for _, stage in corpus_pipeline.STAGES[:-1]:
-            left = stage(spark, rows, sf_dir)
+        left = stage(spark, rows, sf_dir)
+        if last:
+            assert left.count() == rows.count()
+        else:
+            # Also the columns whose names the stages would use.
             assert left.columns == docs.columns
-            assert left.count() <= rows.count()
+            assert left.exceptAll(rows).count() == 0
+
+
+def test_a_few_labels_accuse_nobody(spark, docs):
+    schema = "doc_id long, quality int, toxic int"
+    for rows in ([(1, 1, 0), (4, 1, 1)], [(1, 1, 1), (4, 1, 1), (8, 0, 1)], []):
+        model = toxicity.fit(docs, spark.createDataFrame(rows, schema), queries.severity_grade())
+        assert {(r["severity"], r["toxic"]) for r in toxicity.score(docs, model).collect()} == {(0.0, False)}
+
+
+def test_documents_of_one_id_stay_within_the_bound(spark):
+    prepare(spark)
+    docs = spark.createDataFrame([(i % 2, f"word{i} bad" if i % 2 else f"word{i} good") for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = toxicity.fit_ordinal
+    try:
+        toxicity.fit_ordinal = lambda rows, columns, n, grades: seen.append(len(grades)) or fit(rows, columns, n, grades)
+        toxicity.fit(docs, labels, queries.severity_grade(), max_rows=200)
+    finally:
+        toxicity.fit_ordinal = fit
+    assert seen == [200]
 
 
 def test_stages_judge_rows_without_an_id_or_with_a_repeated_one(spark, sf_dir):

@@ -10,8 +10,6 @@ from tidemark.session import configure, shared_dir
 
 # Documents per Arrow batch: long texts must not add up to a batch that no worker can hold.
 BATCH_ROWS = 256
-# Names a row where ids may be missing or repeated.
-ROW = "_row_key"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -33,9 +31,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def with_row_keys(df: DataFrame) -> DataFrame:
-    """The rows, written, each with a key of its own that stays the same however often they are read."""
-    return written(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def fresh_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def with_row_keys(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written, each with a key of its own that stays the same however often they are read, and the
+    name of the key's column, which is none of the input's."""
+    row = fresh_name(df, "_row_key")
+    return written(df.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def id_and_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -50,13 +58,16 @@ def lower_ascii(text: Column) -> Column:
 def bounded_sample(df: DataFrame, *key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows, the same ones in every run: those with the smallest hash of the key columns.
 
-    Hashes are even, so a first cut at twice the share that is needed leaves little to put in order.
+    Hashes of different keys are even, so a first cut at twice the share that is needed leaves little to put in
+    order. Where keys repeat, the cut may leave too few; then all rows are put in order.
     """
     space = 1 << 40
     place = F.pmod(F.xxhash64(*key), F.lit(space))
     count = df.count()
     if count > 4 * rows:
-        df = df.where(place < space * 2 * rows // count)
+        cut = df.where(place < space * 2 * rows // count)
+        if cut.count() >= rows:
+            df = cut
     return df.orderBy(place, *key).limit(rows)
 
 

@@ -7,31 +7,36 @@ to hold any such match whole; a band that reaches the bound is a region, and an
 the band decides. Case, punctuation and spacing do not count: both sides become lower-case runs of letters and
 digits with one space between.
 
-The budget k is a share of the passage's length. Passages are handed to the tasks in blocks of at most
-``BLOCK_CHARS`` characters, each with its q-gram table, and the texts are read once per block.
-
-Rows: a NULL or empty text matches nothing. Passages whose normalized text is shorter than ``SHORTEST``
-characters are too common to accuse a text and take no part, as do NULL ones. Equal passages match under each
-of their ids. Texts are worked off in overlapping pieces, so their length is not bounded. Other columns are not
+The budget k is a share of the passage's length, and less where the bound would ask for no shared q-gram at all.
+Passages shorter than ``BORDERED`` characters must begin and end where words do: they are matched with the spaces
+around them. Those shorter than q have no q-gram and are looked up as runs of whole words. Passages are handed to
+the tasks in blocks of at most ``BLOCK_CHARS`` characters, each with its q-gram table; the texts are read once per
+block, and the driver holds one block at a time.
+
+Rows: a NULL or empty text matches nothing. Passages without a letter or digit take no part, as do NULL ones. Equal
+passages match under each of their ids. Texts are worked off in overlapping pieces, so their length is not bounded. Other columns are not
 read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import id_and_bytes
+from tidemark.llm.common import id_and_bytes, written
 
 Q = 12
 # Edits allowed per character of a passage.
 BUDGET = 0.05
-SHORTEST = 40
+# Passages below so many normalized characters are matched at word borders.
+BORDERED = 40
 # Normalized characters of the passages a task holds at once.
 BLOCK_CHARS = 4_000_000
 # Characters of a text whose q-grams are looked up at once.
@@ -85,16 +90,34 @@ def qgrams(codes: np.ndarray) -> np.ndarray:
         return (result ^ (result >> np.uint64(29))) * FACTOR
 
 
+def bordered(codes: np.ndarray) -> np.ndarray:
+    """Normalized text with a space at either end."""
+    return np.concatenate([[32], codes, [32]]).astype(np.uint32)
+
+
+def as_text(codes: np.ndarray) -> str:
+    return codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
 class Passages:
     """Passages of a block, and where each of their q-grams occurs."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
-        normalize = Normalizer()
+    def __init__(self, ids: list[int], texts: list[str], only: bool = True):
+        normalize, self.only = Normalizer(), only
         self.ids, self.codes, keys, owner, place = [], [], [], [], []
+        lengths = []
+        # Passages without a q-gram, by their text, and how many words they have.
+        self.brief: dict[str, list[int]] = {}
         for item, text in zip(ids, texts):
             codes, _ = normalize(text)
-            if len(codes) < SHORTEST:
+            if not len(codes):
+                continue
+            if len(codes) < Q:
+                self.brief.setdefault(as_text(codes), []).append(item)
                 continue
+            lengths.append(len(codes))
+            if len(codes) < BORDERED:
+                codes = bordered(codes)
             grams = qgrams(codes)
             keys.append(grams)
             owner.append(np.full(len(grams), len(self.ids)))
@@ -105,7 +128,10 @@ class Passages:
         order = np.argsort(joined[0], kind="stable")
         self.keys, self.owner, self.place = joined[0][order].astype(np.uint64), joined[1][order], joined[2][order]
         self.lengths = np.array([len(c) for c in self.codes], np.int64)
-        self.budgets = np.floor(self.lengths * BUDGET).astype(np.int64)
+        # With more edits than this not one q-gram need be shared.
+        most = (self.lengths - Q) // Q
+        self.budgets = np.minimum(np.floor(np.array(lengths, np.int64) * BUDGET).astype(np.int64), most)
+        self.words = sorted({text.count(" ") + 1 for text in self.brief})
         self.bounds = self.lengths - Q + 1 - self.budgets * Q
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.keys >> np.uint64(64 - FILTER_BITS)] = True
@@ -179,12 +205,36 @@ class Matcher:
         self.passages, self.normalize = passages, Normalizer()
         self.overlap = int((passages.lengths + 6 * passages.budgets).max(initial=0)) + Q
 
-    def find(self, text: bytes | None) -> dict[int, tuple[int, int, int]]:
-        """Per passage the best match: edits, and its first and last place in the lower-cased text."""
+    def find(self, text: bytes | None) -> list[tuple[int, int, int, int]]:
+        """Per passage found its id and the best match: edits, and its first and last place in the lower-cased text."""
+        if not text:
+            return []
+        codes, places = self.normalize(text.decode("utf-8", "replace"))
+        if not len(codes):
+            return []
+        whole = sorted(self.similar(bordered(codes), np.concatenate([places[:1], places, places[-1:]])).items())
+        return [(self.passages.ids[p], *match) for p, match in whole] + self.equal(codes, places)
+
+    def equal(self, codes: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The first place of each passage that is too short for a q-gram."""
+        found: dict[str, tuple[int, int]] = {}
+        if not self.passages.brief:
+            return []
+        words = as_text(codes).split(" ")
+        ends = list(itertools.accumulate(len(w) + 1 for w in words))
+        for n in self.passages.words:
+            for first in range(len(words) - n + 1):
+                run = " ".join(words[first : first + n])
+                if run in self.passages.brief and run not in found:
+                    start = ends[first] - len(words[first]) - 1
+                    found[run] = int(places[start]), int(places[start + len(run) - 1])
+        return sorted((item, 0, *found[run]) for run in found for item in self.passages.brief[run])
+
+    def similar(self, codes: np.ndarray, places: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """Per passage with q-grams its best match."""
         found: dict[int, tuple[int, int, int]] = {}
-        if not text or not self.passages.ids:
+        if not self.passages.ids:
             return found
-        codes, places = self.normalize(text.decode("utf-8", "replace"))
         for start in range(0, max(1, len(codes) - self.overlap), PIECE):
             piece = codes[start : start + PIECE + self.overlap]
             for passage, low, high in self.passages.regions(qgrams(piece)):
@@ -192,7 +242,9 @@ class Matcher:
                     continue
                 match = align(self.passages.codes[passage], piece, low, high, int(self.passages.budgets[passage]))
                 if match and (passage not in found or match[0] < found[passage][0]):
-                    found[passage] = match[0], int(places[start + match[1]]), int(places[start + match[2] - 1])
+                    first, last = start + match[1], start + match[2] - 1
+                    first, last = first + (codes[first] == 32), last - (codes[last] == 32)
+                    found[passage] = match[0], int(places[first]), int(places[last])
         return found
 
 
@@ -204,7 +256,7 @@ def passage_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: st
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = part.orderBy("item_id", "text").collect()
-        yield Passages([r["item_id"] for r in rows], [r["text"] for r in rows])
+        yield Passages([r["item_id"] for r in rows], [r["text"] for r in rows], only=blocks == 1)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,37 +269,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             matcher = Matcher(passages)
             for batch in batches:
                 rows = [
-                    (doc, passages.ids[p], *match)
-                    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for p, match in sorted(matcher.find(text.as_py()).items())
+                    (doc, *match) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)) for match in matcher.find(text.as_py())
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*rows)) or [()] * 5], names)
 
-        parts.append(id_and_bytes(docs, id_col, text_col).mapInArrow(work, ", ".join(f"{n} long" for n in names)))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        found = id_and_bytes(docs, id_col, text_col).mapInArrow(work, ", ".join(f"{n} long" for n in names))
+        # Of several blocks each is done with before the next one comes to the driver.
+        parts.append(found if passages.only else written(found, "leaks"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def is_leak(benchmark: DataFrame) -> Callable[[Column], Column]:
-    """A column function over texts: does any passage occur in it?"""
+def leak_judge(passages: Passages):
+    """A pandas UDF over text bytes: does any passage of the block occur?"""
 
-    def judge_of(passages: Passages):
-        @F.pandas_udf("boolean")
-        def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            matcher = Matcher(passages)
-            for texts in batches:
-                yield pd.Series([bool(matcher.find(t)) for t in texts], dtype=bool)
-
-        return judge
+    @F.pandas_udf("boolean")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(passages)
+        for texts in batches:
+            yield pd.Series([bool(matcher.find(t)) for t in texts], dtype=bool)
 
-    judges = [judge_of(passages) for passages in passage_blocks(benchmark)]
+    return judge
 
-    def found(text: Column) -> Column:
-        any_of = F.lit(False)
-        for judge in judges:
-            any_of = any_of | judge(text.cast("binary"))
-        return any_of
 
-    return found
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text holds no passage of the benchmark."""
+    for passages in passage_blocks(benchmark):
+        docs = docs.where(~leak_judge(passages)(F.col(text_col).cast("binary")))
+        if not passages.only:
+            docs = written(docs, "unleaked")
+    return docs

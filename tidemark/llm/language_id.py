@@ -22,6 +22,8 @@ each. Without any declared row all languages have equal likelihoods. Other colum
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -64,6 +66,24 @@ def trigrams(text: bytes | None) -> np.ndarray:
 _LETTERS = np.array([chr(c).isalpha() for c in range(TABLED)])
 
 
+def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """A long text in parts of about ``size`` bytes, whole characters each. Two characters overlap, so every three
+    that follow one another are in one part, and in one only."""
+    start = 0
+    while True:
+        end = min(len(text), start + size)
+        while end < len(text) and text[end] & 0xC0 == 0x80:
+            end += 1
+        yield text[start:end]
+        if end == len(text):
+            return
+        start = end
+        for _ in range(2):
+            start -= 1
+            while start > 0 and text[start] & 0xC0 == 0x80:
+                start -= 1
+
+
 def learn(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """Log likelihoods, one row per bucket and a column per language and for ``other``.
 
@@ -102,8 +122,8 @@ def witness(table: np.ndarray, languages: tuple[str, ...]):
         logs, letters = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts), bool)
         for row, (text, name) in enumerate(zip(texts, declared)):
             n = 0
-            for at in range(0, len(text or b""), PIECE):
-                found = trigrams(text[at : at + PIECE])
+            for piece in pieces(text or b""):
+                found = trigrams(piece)
                 logs[row] += table[found].sum(axis=0, dtype=np.float64)
                 n += len(found)
             logs[row] *= min(n, WITNESSES) / max(n, 1)

@@ -62,22 +62,39 @@ class Lattice:
                     into[end].append((start, piece, weights[piece]))
         return into
 
+    @staticmethod
+    def total(logs: list[float]) -> float:
+        """Logarithm of the sum of what the logarithms stand for."""
+        if len(logs) == 1:
+            return logs[0]
+        top = max(logs, default=-math.inf)
+        return top + math.log(sum(math.exp(x - top) for x in logs)) if top > -math.inf else top
+
     def forward(self, into: list[list[tuple[int, str, float]]]) -> list[float]:
         """Log probability of reaching every place by any path."""
         reached = [0.0]
         for arcs in into[1:]:
-            logs = [reached[start] + weight for start, _, weight in arcs]
-            if len(logs) == 1:
-                reached.append(logs[0])
-            elif logs:
-                top = max(logs)
-                reached.append(top + math.log(sum(math.exp(x - top) for x in logs)) if top > -math.inf else top)
-            else:
-                reached.append(-math.inf)
+            reached.append(self.total([reached[start] + weight for start, _, weight in arcs]))
         return reached
 
     def log_probability(self, word: str) -> float:
-        return self.forward(self.arcs(word))[-1]
+        """Log probability of a word over all paths; holds as many places as the longest piece, however long the word."""
+        text, weights, prefixes = SIGN + word, self.weights, self.prefixes
+        places = self.longest + 1
+        into: list[list[float]] = [[] for _ in range(places)]
+        into[0].append(0.0)
+        for start, char in enumerate(text):
+            here, into[start % places] = self.total(into[start % places]), []
+            if char not in weights:
+                cost = sum(self.byte_weights[b] for b in char.encode("utf-8", "replace"))
+                into[(start + 1) % places].append(here + cost)
+            for end in range(start + 1, min(len(text), start + self.longest) + 1):
+                piece = text[start:end]
+                if piece not in prefixes:
+                    break
+                if piece in weights:
+                    into[end % places].append(here + weights[piece])
+        return self.total(into[len(text) % places])
 
     def expected(self, word: str, times: float, into_counts: dict[str, float]) -> None:
         """Add the expected uses of every piece over all paths of a word."""
@@ -174,6 +191,15 @@ def reweighted(counts: DataFrame, weights: dict, byte_weights: list, longest: in
     return {p: math.log((found.get(p, 0.0) + prior * math.exp(w)) / (used + prior)) for p, w in weights.items()}
 
 
+def mixed(lattice_log: float, c: int, smooth: int) -> float:
+    """log10 of c + smooth * lattice, without leaving logarithms: a long word's probability is no float."""
+    drawn = math.log(smooth) + lattice_log
+    if not c:
+        return drawn / LOG10
+    seen = math.log(c)
+    return (max(seen, drawn) + math.log1p(math.exp(-abs(seen - drawn)))) / LOG10
+
+
 def score_documents(
     docs: DataFrame,
     model_path: str,
@@ -199,17 +225,14 @@ def score_documents(
     smooth = max(kinds, 1)
     base_below, below = math.log10(total + kinds + 1), math.log10(total + smooth)
 
-    def end_of(lattice_log: float, c: int) -> float:
-        return math.log10(c + smooth * math.exp(lattice_log))
-
-    base_end, score_end = math.log10(ends + 1), end_of(end_weight, ends)
+    base_end, score_end = math.log10(ends + 1), mixed(end_weight, ends, smooth)
 
     def with_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words with their counts and the logarithm that the model scores them by."""
         lattice = Lattice(weights, byte_weights, longest)
         for batch in batches:
             found, cs = batch.column(0), batch.column(1).to_pylist()
-            logs = [end_of(lattice.log_probability(w), c) for w, c in zip(found.to_pylist(), cs)]
+            logs = [mixed(lattice.log_probability(w), c, smooth) for w, c in zip(found.to_pylist(), cs)]
             yield pa.RecordBatch.from_arrays([found, pa.array(cs, pa.int64()), pa.array(logs, pa.float64())], ["word", "c", "log"])
 
     scored_schema = "word string, c long, log double"

@@ -147,6 +147,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
             (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD_BYTES).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.md5(F.coalesce(text, F.lit(""))).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sized",
     )
@@ -163,13 +164,14 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
 
 
 def numbered(rows: DataFrame, count: int) -> DataFrame:
-    """``slot`` from 0 in every shard. Rows are dealt to blocks, blocks are counted, and each numbers its own."""
+    """``slot`` from 0 in every shard. Rows, equal ones too, are dealt to blocks, blocks are counted, and each numbers
+    its own."""
     blocks = blocks_for(count, ROWS_PER_BLOCK, 64)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(blocks)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "digest", "row"), F.lit(blocks)))
     sizes = dealt.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "digest")
+    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "digest", "row")
     ranked = dealt.withColumn("rank", F.row_number().over(inside))
-    # One row per shard and block: thousands, whatever the documents are.
-    return ranked.join(F.broadcast(starts), ["shard", "block"]).withColumn("slot", F.col("start") + F.col("rank") - 1)
+    # The rows lie by shard and block already; one row per shard and block comes to them.
+    return ranked.join(starts, ["shard", "block"]).withColumn("slot", F.col("start") + F.col("rank") - 1)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ROW, id_and_bytes, written
+from tidemark.llm.common import id_and_bytes, written
 from tidemark.llm.components import components
 
 BITS = 64
@@ -152,13 +152,13 @@ def near_duplicates(
     return rows.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(rows: DataFrame, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(rows: DataFrame, row: str, grouped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay: of each component one, that with the smallest id; one without an id if none has any.
 
-    ``rows`` has keys of its own, and ``grouped`` is what ``near_duplicates`` gives under those keys.
+    ``rows`` has a key column ``row``, and ``grouped`` is what ``near_duplicates`` gives under those keys.
     """
-    named = rows.select(ROW, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
-    members = grouped.select(F.col("doc_id").alias(ROW), "component_id").join(named, ROW)
-    first = F.min(F.struct(F.col("id").isNull(), "id", "hash", ROW))[ROW]
-    stays = members.groupBy("component_id").agg(first.alias(ROW)).select(ROW)
-    return rows.join(stays, ROW, "left_semi").drop(ROW)
+    named = rows.select(F.col(row).alias("key"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    members = grouped.select(F.col("doc_id").alias("key"), "component_id").join(named, "key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "hash", "key"))["key"]
+    stays = members.groupBy("component_id").agg(first.alias(row)).select(row)
+    return rows.join(stays, row, "left_semi").drop(row)

@@ -13,9 +13,10 @@ Fitting takes at most ``max_rows`` labelled rows, those with the smallest hash o
 part of the contract; features are counted by the tasks, and the driver gets the chosen ones of each of these
 rows. Scoring reads every text whole.
 
-Rows: a NULL or empty text has no feature and the severity of the thresholds alone. Labels with a NULL grade or
-id, and those without a document, teach nothing. Several labels of one document teach each. With fewer than two
-grades among the labels the severity is the only grade, 0 without labels. Other columns are not read.
+Rows: a text without any chosen feature, so also a NULL or empty one, says nothing either way: its severity is 0.
+Labels with a NULL grade or id, and those without a document, teach nothing. Several labels of one document teach
+each, as do several documents of one id; the bound holds for the rows that teach. With fewer than two grades among
+the labels nothing can be told apart and every severity is 0. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -69,20 +70,23 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class OrdinalModel:
-    """Weights of the features that matter, and the ordered thresholds."""
+    """Weights of the features that matter, the ordered thresholds, and the least grade."""
 
     weights: dict[bytes, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=list)
-    constant: float = 0.0
+    least: float = 0.0
 
     def at_least(self, text: bytes | None) -> np.ndarray:
-        """P(grade >= k) for k from 1; no element if there is nothing to tell apart."""
+        """P(grade >= k) for k above the least grade; no element for a text without any chosen feature."""
         keys = self.weights.keys() & features(text)
-        mean = sum(map(self.weights.__getitem__, sorted(keys))) / max(len(keys), 1)
+        if not keys:
+            return np.zeros(0)
+        mean = sum(map(self.weights.__getitem__, sorted(keys))) / len(keys)
         return sigmoid(mean - np.array(self.thresholds))
 
     def severity(self, text: bytes | None) -> float:
-        return self.constant + float(self.at_least(text).sum())
+        above = self.at_least(text)
+        return self.least + float(above.sum()) if len(above) else 0.0
 
 
 def fit_ordinal(rows: np.ndarray, columns: np.ndarray, n_columns: int, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,10 +150,12 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, max_rows: int = MAX_R
 
     texts = id_and_bytes(docs, id_col, text_col).join(F.broadcast(taught), "doc_id").select("text", "grade")
     texts = written(texts, "taught")
+    if texts.count() > max_rows:  # documents of one id
+        texts = written(bounded_sample(texts, "text", "grade", rows=max_rows), "taught")
 
     per_grade = {r["grade"]: r["count"] for r in texts.groupBy("grade").count().collect()}
     if len(per_grade) < 2:
-        return OrdinalModel(constant=float(min(per_grade, default=0)))
+        return OrdinalModel()
     chosen = telling(texts, per_grade)
     place = {feature: at for at, feature in enumerate(chosen)}
 

@@ -9,7 +9,8 @@ share of its pages so covered. A host is blocked if distrust makes up more than
 Edges are counted per pair of hosts before anything is joined, so neither a host with a third of all pages nor a
 target of a third of all links puts its rows in one task. Links within a host and links without a host name
 carry nothing to others and are left out; a host without edges keeps its own seed only, and what flows into it
-goes back to the seeds. Scores run for a fixed number of rounds, written out every few.
+goes back to the seeds. Rounds go on until no further host is reached and the scores of either kind change by less
+than ``TOLERANCE`` in all: a host reached late has a small score, but it may be the only one it has.
 
 Rows: a NULL url, or one without ``://``, has empty host and path, fits no rule and is judged like a host of its
 own that has no links. NULL html has no links. Repeated rows are judged each and count each as a page. Other
@@ -24,7 +25,8 @@ from tidemark.llm.common import lower_ascii, written
 
 ALLOW, BLOCK = "allow", "block"
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-6
+# Rounds between two written tables, after each of which the change is measured.
 ROUNDS_PER_TABLE = 4
 THRESHOLD = 0.5
 _LINKS = r"""(?i)(?:href|src)\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
@@ -72,14 +74,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return named.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def flow(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def flow(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """(kind, host, score): PageRank of two graphs at once, each from its own seeds.
 
     ``edges`` has (kind, src, dst, share) where the shares of a source add up to one, ``seeds`` (kind, host, seed)
     whose seeds add up to one per kind. What reaches a host without edges returns to the seeds.
     """
-    state = seeds.select("kind", "host", F.col("seed").alias("score"))
-    for done in range(1, rounds + 1):
+    state, reached, done = seeds.select("kind", "host", F.col("seed").alias("score")), None, 0
+    while True:
+        done += 1
         moved = edges.join(state.withColumnRenamed("host", "src"), ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * DAMPING).alias("part")
         )
@@ -88,13 +91,21 @@ def flow(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         base = seeds.join(F.broadcast(kept), "kind", "left").select(
             "kind", "host", (F.col("seed") * (1 - F.coalesce("moved", F.lit(0.0)))).alias("part")
         )
-        state = moved.unionByName(base).groupBy("kind", "host").agg(F.sum("part").alias("score"))
-        if done % ROUNDS_PER_TABLE == 0 or done == rounds:
-            state = written(state, "flow")
-    return state
-
-
-def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+        before, state = state, moved.unionByName(base).groupBy("kind", "host").agg(F.sum("part").alias("score"))
+        if done % ROUNDS_PER_TABLE:
+            continue
+        old = before.select("kind", "host", F.col("score").alias("old"))
+        both = state.join(old, ["kind", "host"], "full_outer")
+        state = written(both.select("kind", "host", F.coalesce("score", F.lit(0.0)).alias("score"), "old"), "flow")
+        change = F.sum(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))).alias("change")
+        now = {r["kind"]: r for r in state.groupBy("kind").agg(change, F.count("*").alias("hosts")).collect()}
+        hosts = {kind: r["hosts"] for kind, r in now.items()}
+        if hosts == reached and all(r["change"] < tolerance for r in now.values()):
+            return state.drop("old")
+        state, reached = state.drop("old"), hosts
+
+
+def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust, verdict) of every host that a seed or a flow reaches.
 
     ``judged`` has host, html and ruled for every page.
@@ -121,7 +132,7 @@ def host_verdicts(judged: DataFrame, threshold: float = THRESHOLD, rounds: int =
     else:
         out = both.groupBy("kind", "src").agg(F.sum("links").alias("out"))
         edges = written(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("out")).alias("share")), "shares")
-        state = flow(edges, written(seeds, "seeds"), rounds)
+        state = flow(edges, written(seeds, "seeds"), tolerance)
 
     def of(kind: str) -> Column:
         return F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
@@ -135,7 +146,7 @@ def judge_urls(
     pages: DataFrame,
     rules: list[tuple[str, str]],
     threshold: float = THRESHOLD,
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -147,7 +158,7 @@ def judge_urls(
         F.coalesce(path_of(url), F.lit("")).alias("path"), F.col(html_col).alias("html"),
     )
     ruled = with_rule(read, rules)
-    hosts = host_verdicts(ruled, threshold, rounds).withColumnRenamed("verdict", "host_verdict")
+    hosts = host_verdicts(ruled, threshold, tolerance).withColumnRenamed("verdict", "host_verdict")
     # A third of the pages may name one host: the join's large side is one that Spark splits when it is skewed.
     joined = ruled.drop("html").join(hosts, "host", "left")
     return joined.select(
