@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import jobs
+from tidemark.plans import jobs, registry
 from tidemark.schemas import LAKE_EVENT
 from tidemark.sources import lake
 from tidemark.sources.versions import VersionedTable
@@ -52,6 +52,37 @@ def test_bodies_reach_the_lake_through_the_topic(spark, tmp_path, monkeypatch):
     assert WindowedCounts(spark, counted).counts().agg(F.sum("n")).first()[0] == 20
 
 
+def test_land_makes_its_table_and_partitions_it_by_day(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    body = '{"user_id":"u%d","item_id":"i","event_type":"click","created_at":"2027-01-%02dT00:00:00Z"}'
+    rows = [(body % (i, 1 + i % 3), None, "t", 0, i) for i in range(9)]
+    spark.createDataFrame(rows, "value string, timestamp timestamp, topic string, partition int, offset long").write.parquet(topic)
+    arguments = ["land", "--format", "parquet", "--path", topic, "--output", str(tmp_path / "lake"), "--table", "jobs_test.landed", "--once"]
+    for _ in range(2):
+        jobs.main([*arguments, "--checkpoint", str(tmp_path / "ck")])
+    landed = lake.current_events(spark, "jobs_test", "landed")
+    assert landed.count() == 9
+    assert sorted(p.name for p in (tmp_path / "lake" / "landed").glob("created_day=*")) == [f"created_day=2027-01-0{d}" for d in (1, 2, 3)]
+
+
+def test_definitions_outlive_the_process_and_bind_the_sources(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    other = registry.FeatureView("other", registry.USER, ("a",), timedelta(hours=3), "at", "made")
+    services = [registry.RANKING, registry.FeatureService("more", (other, registry.ITEM_VIEW))]
+    registry.save_definitions(spark, path, services)
+    assert registry.load_definitions(spark, path) == {s.name: s for s in services}
+    now = datetime(2027, 1, 1)
+    good, bad, less = (str(tmp_path / n) for n in ("good", "bad", "less"))
+    spark.createDataFrame([("u", now, now, 1)], other.schema).write.parquet(good)
+    spark.read.parquet(good).withColumn("a", F.col("a").cast("double")).write.parquet(bad)
+    spark.read.parquet(good).drop("made").write.parquet(less)
+    assert registry.stored_source(spark, other, good).schema == other.schema
+    with pytest.raises(TypeError, match="a.*double instead of bigint"):
+        registry.stored_source(spark, other, bad)
+    with pytest.raises(TypeError, match="missing .'made'"):
+        registry.stored_source(spark, other, less)
+
+
 @pytest.mark.parametrize(("given", "env", "want"), [("x", "y", "x"), (None, "y", "y/land"), (None, None, "out/checkpoint")])
 def test_checkpoint_directory(monkeypatch, given, env, want):
     monkeypatch.delenv("CHECKPOINTS_DIRECTORY", raising=False)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 
@@ -52,13 +53,35 @@ def test_bootstrap_is_idempotent_and_absence_is_an_error(spark, tmp_path):
     names = {lake.ensure_table(spark, str(tmp_path / "w"), "boot_test") for _ in range(2)}
     assert names == {"boot_test.events_raw"}
     assert lake.current_events(spark, "boot_test").count() == 0
-    lake.with_day(some_events(spark)).write.insertInto("boot_test.events_raw")
+    lake.insert(some_events(spark), "boot_test.events_raw", "load")
     current = lake.current_events(spark, "boot_test")
     assert tuple(current.columns) == EVENT_COLUMNS and current.count() == 40
     assert lake.ensure_table(spark, str(tmp_path / "w"), "boot_test") == "boot_test.events_raw"
     assert current.count() == 40
 
 
+@pytest.mark.parametrize("width", [2, 200])
+def test_files_have_the_target_size_whatever_a_row_takes(spark, tmp_path, width):
+    """The first write guesses, the next ones know what a row took."""
+    rng = random.Random(width)
+    day = datetime(2026, 1, 1)
+    # Half of the rows on one day, and ids that do not compress.
+    rows = [("".join(rng.choices("0123456789abcdef", k=width)), "i", "click", day + timedelta(days=rng.choice([0, 0, 0, 1, 2]), seconds=i), day) for i in range(24_000)]
+    events = spark.createDataFrame(rows, LAKE_EVENT)
+    path, target = str(tmp_path / "lake"), 60_000 if width == 2 else 600_000
+    lake.append(events, path, target)
+    before = {f for f in (tmp_path / "lake").rglob("*.parquet")}
+    row_bytes = lake.bytes_per_row(spark.read.parquet(path))
+    lake.append(events, path, target)
+    sizes = {}
+    for f in (tmp_path / "lake").rglob("*.parquet"):
+        if f not in before:
+            sizes.setdefault(f.parent.name, []).append(f.stat().st_size)
+    largest = sizes["created_day=2026-01-01"]
+    assert len(largest) == round(14_400 * row_bytes / target) or len(largest) > 1
+    assert all(abs(s - target) < target / 4 for s in largest), (sorted(largest), target)
+
+
 def test_derived_interactions_have_the_awkward_rows(spark, sf_dir):
     rows = derived.interactions(spark, sf_dir)
     assert rows.where("ingested_at < created_at").count() > 0

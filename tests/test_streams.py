@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import os
-from datetime import datetime, timezone
+import random
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
+from tidemark.schemas import LAKE_EVENT
 from tidemark.sources import lake, topics
-from tidemark.streaming.batchlog import BatchLog, total
+from tidemark.streaming.batches import BatchTable, total
 from tidemark.streaming.changes import FollowedTable
 from tidemark.streaming.counts import WindowedCounts
 from tidemark.streaming.landing import land, land_table
@@ -76,12 +78,77 @@ def test_late_is_what_the_records_before_say_however_they_are_cut(spark, tmp_pat
     assert late == LATE and counts(counted) == kept and late_seconds(counted) == sorted(LATE)
 
 
-def test_partitions_have_marks_of_their_own(spark, tmp_path):
+def merged_rule(records, idle=2_000):
+    """Late records one by one; a record is (arrival ms, partition, second)."""
+    peaks, seen, mark, late = {}, {}, None, []
+    for arrival, part, second in records:
+        active = [p for source, p in peaks.items() if arrival - seen[source] <= idle]
+        if active:
+            slowest = (min(active) - 2) * 1000
+            mark = slowest if mark is None else max(mark, slowest)
+        if mark is not None and mark >= (second - second % 10 + 10) * 1000 - 1 + 5000:
+            late.append(second)
+        peaks[part], seen[part] = max(second, peaks.get(part, second)), arrival
+    return late
+
+
+def three_partitions(n, seed):
+    """A slow partition, a fast one, and one that falls silent and wakes up again."""
+    rng, clock, records, second = random.Random(seed), 0, [], 0
+    for i in range(n):
+        clock += rng.choice([50, 100, 400])
+        part = rng.randrange(3 if i % 60 < 20 else 2)
+        second += 1
+        records.append((clock, part, max(0, second - (0, 12, 3)[part] - rng.choice([0, 0, 0, 1, 30]))))
+    return records
+
+
+@pytest.mark.parametrize("per_batch", [1, 7, 10**6])
+def test_the_slowest_partition_that_is_not_idle_sets_the_mark(spark, tmp_path, per_batch):
+    records = three_partitions(180, 3)
+    wire, counted = str(tmp_path / "wire"), WindowedCounts(spark, str(tmp_path / "state"))
+    schema = "value string, timestamp timestamp, topic string, partition int, offset long"
+    at = lambda ms: datetime.fromtimestamp(BASE + ms / 1000, timezone.utc)
+    size = 26
+    for start in range(0, len(records), size):
+        rows = [(line(f"p{s}", "like", s), at(ms), "t", part, start + i) for i, (ms, part, s) in enumerate(records[start : start + size])]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(wire)
+        for f in os.listdir(wire):  # files are delivered in the order of their times
+            if f.endswith(".parquet") and os.stat(f"{wire}/{f}").st_mtime > BASE - 10**6:
+                os.utime(f"{wire}/{f}", (BASE - 10**7 + start, BASE - 10**7 + start))
+    counted.start(topics.stream(spark, "parquet", {"maxFilesPerTrigger": str(per_batch)}, wire), once=True)
+    want = sorted(merged_rule(records))
+    assert late_seconds(counted) == want and sum(counts(counted).values()) == len(records) - len(want)
+    assert want
+
+
+def test_marks_are_those_of_the_rule_however_arrivals_are_cut(spark):
+    records = three_partitions(200, 5)
+    rows = [(s * 1000, f"t/{p}", i, ms) for i, (ms, p, s) in enumerate(records)]
+    df = spark.createDataFrame(rows, "ms long, source string, offset long, arrival_ms long")
+    sources = {f"t/{p}": (None, None) for p in range(3)}
+    results = []
+    for slice_ms in (1, 700, 10**9):
+        judged = windows.judge(windows.merged_watermark(df, sources, slice_ms=slice_ms))
+        results.append(sorted(r["ms"] // 1000 for r in judged.where("late").collect()))
+    assert results == [sorted(merged_rule(records))] * 3 and results[0]
+
+
+def test_two_topics_do_not_share_a_partition(spark, tmp_path):
     counted = WindowedCounts(spark, str(tmp_path / "state"))
-    schema = "user_id string, item_id string, event_type string, created_at timestamp, partition int, offset long"
+    schema = "user_id string, item_id string, event_type string, created_at timestamp, topic string, partition int, offset long, timestamp timestamp"
     at = lambda s: datetime.fromtimestamp(BASE + s, timezone.utc)
-    counted._take(spark.createDataFrame([("p90", "i", "like", at(90), 0, 5), ("p10", "i", "like", at(10), 1, 9)], schema), 0)
-    counted._take(spark.createDataFrame([("p11", "i", "like", at(11), 1, 10), ("p12", "i", "like", at(12), 0, 6)], schema), 1)
+
+    def take(batch_id, *rows):
+        placed = [(f"p{s}", "i", "like", at(s), topic, 0, offset, at(offset / 10)) for s, topic, offset in rows]
+        counted._take(spark.createDataFrame(placed, schema), batch_id)
+
+    take(0, (10, "b", 4), (90, "a", 5))
+    # The slower topic holds the mark back, offsets are counted per topic.
+    take(1, (11, "a", 6))
+    assert late_seconds(counted) == []
+    take(2, (80, "b", 6))
+    take(3, (12, "a", 7))
     assert late_seconds(counted) == [12]
 
 
@@ -110,7 +177,7 @@ def test_replayed_batch_replaces_itself_and_fold_changes_nothing(spark, tmp_path
 
 
 def peak(counted, batch_id):
-    return [r["peak_ms"] for r in counted._peaks_before(batch_id).collect()]
+    return [p for p, _ in counted._known(batch_id)[0].values()]
 
 
 def test_long_stream_folds_itself(spark, tmp_path):
@@ -121,7 +188,9 @@ def test_long_stream_folds_itself(spark, tmp_path):
         counted._take(spark.createDataFrame([("u", "i", "click", at)], schema), batch_id)
     assert counts(counted) == {("click", 0): 8}
     assert peak(counted, 8) == [(BASE + 7) * 1000]
-    assert len(list((tmp_path / "state" / "counts" / "batches").iterdir())) == 2
+    # Two eras are folded and emptied; the third one's batches are there.
+    eras = {e.name: [b.name for b in e.iterdir() if b.name.startswith("batch_id")] for e in (tmp_path / "state" / "counts" / "batches").glob("era=*")}
+    assert sorted(eras.pop("era=2")) == ["batch_id=6", "batch_id=7"] and set(map(len, eras.values())) == {0}
 
 
 def test_closed_windows_are_written_once_more_and_never_again(spark, tmp_path):
@@ -133,29 +202,31 @@ def test_closed_windows_are_written_once_more_and_never_again(spark, tmp_path):
         counted._take(spark.createDataFrame(rows, schema), batch_id)
 
     settled = tmp_path / "state" / "counts" / "settled"
+
+    def closed():
+        return {(r["event_type"], r["start_ms"] - BASE * 1000): r["n"] for r in spark.read.parquet(str(settled)).collect()}
+
     take(0, (1, 0), (2, 1))
     take(1, (40, 0))
     take(2, (41, 0))
     # The second partition may still add to the first window.
-    assert spark.read.parquet(str(settled / "upto=1")).count() == 0
+    assert not list(settled.rglob("*.parquet"))
     take(3, (3, 1), (60, 1))
     take(4, (61, 0))
-    first = settled / "upto=3"
-    assert [(r["start_ms"] - BASE * 1000, r["n"]) for r in spark.read.parquet(str(first)).collect()] == [(0, 3)]
-    files = sorted(f.stat().st_mtime_ns for f in first.iterdir())
+    assert closed() == {("click", 0): 3}
+    files = {f: f.stat().st_mtime_ns for f in settled.rglob("*.parquet")}
     # A partition that shows up later is counted all the same.
-    take(5, (5, 2), (90, 0))
+    take(5, (62, 2), (90, 0))
     take(6, (91, 1), (92, 2))
     take(7, (93, 2))
     take(8, (94, 2))
-    assert sorted(f.stat().st_mtime_ns for f in first.iterdir()) == files
-    assert counts(counted) == {("click", 0): 4, ("click", 40): 2, ("click", 60): 2, ("click", 90): 5}
-    folded = list((tmp_path / "state" / "counts" / "folded").iterdir())
-    assert len(folded) == 1 and spark.read.parquet(str(folded[0])).count() == 1
+    assert files.items() <= {f: f.stat().st_mtime_ns for f in settled.rglob("*.parquet")}.items()
+    assert counts(counted) == {("click", 0): 3, ("click", 40): 2, ("click", 60): 3, ("click", 90): 5}
+    assert {k for k, _ in closed().items()} == {("click", 0), ("click", 40), ("click", 60)}
 
 
-def test_a_fold_that_dies_half_way_counts_nothing_twice(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "log"), spark.range(0).selectExpr("id AS k", "id AS n").schema)
+def test_a_fold_that_dies_half_way_counts_nothing_twice(spark, tmp_path, monkeypatch):
+    log = BatchTable(spark, str(tmp_path / "log"), spark.range(0).selectExpr("id AS k", "id AS n").schema, era_batches=2)
     for n in range(4):
         log.put(spark.range(3).selectExpr("id AS k", f"CAST({n} AS bigint) AS n"), n)
 
@@ -164,12 +235,18 @@ def test_a_fold_that_dies_half_way_counts_nothing_twice(spark, tmp_path):
 
     merge = lambda rows: total(rows, ("k",))
     log.fold(merge, 0, F.col("k") == 0)
-    # As if the next fold had ended after its first write.
-    merge(log.rows()).write.parquet(log._settled(2))
+    # The next fold ends after its writes, before they are published.
+    enter = type(log.folded)._enter
+    with monkeypatch.context() as patch:
+        patch.setattr(type(log.folded), "_enter", lambda self, n, f, s, *label: enter(self, n, f, s, *label) if s != "published" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.fold(merge, 2, F.col("k") <= 1)
     assert sums() == {0: 6, 1: 6, 2: 6}
     log.fold(merge, 3, F.col("k") <= 1)
     assert sums() == {0: 6, 1: 6, 2: 6}
-    assert log._numbers("settled", "upto") == [0, 3]
+    log.fold(merge, 3, F.col("k") <= 1)
+    log.put(spark.range(3).selectExpr("id AS k", "id AS n"), 4)
+    assert sums() == {0: 6, 1: 7, 2: 8}
 
 
 def test_empty_batches_keep_the_peak(spark, tmp_path):
@@ -182,13 +259,19 @@ def test_empty_batches_keep_the_peak(spark, tmp_path):
     assert peak(counted, 0) == []
 
 
-def test_half_written_batch_is_not_read(spark, tmp_path):
-    log = BatchLog(spark, str(tmp_path / "log"), spark.range(0).selectExpr("'' AS event_type", "id AS n").schema)
+def test_a_batch_that_dies_is_not_read_and_one_written_again_counts_once(spark, tmp_path):
+    log = BatchTable(spark, str(tmp_path / "log"), spark.range(0).selectExpr("'' AS event_type", "id AS n").schema)
     rows = spark.createDataFrame([("click", 1)], "event_type string, n long")
+    assert log.rows().count() == 0 and log.before(5).count() == 0
     log.put(rows, 0)
-    log.put(rows, 1)
-    (tmp_path / "log" / "batches" / "batch_id=1" / "_SUCCESS").unlink()
-    assert total(log.rows(), ("event_type",)).first()["n"] == 1
+    with pytest.raises(Exception, match="lost"):
+        log.put(spark.range(0, 40, 1, 4).selectExpr("'x' AS event_type", "CASE WHEN id = 39 THEN raise_error('lost') ELSE id END AS n"), 1)
+    assert total(log.rows(), ("event_type",)).collect() == [("click", 1)]
+    for _ in range(2):
+        log.put(rows, 1)
+    assert total(log.rows(), ("event_type",)).collect() == [("click", 2)]
+    log.put(rows.limit(0), 2)
+    assert log.before(3).count() == 1
 
 
 def test_a_batch_beside_a_landing_stream_is_refused(spark, tmp_path):
@@ -218,23 +301,27 @@ def test_landing_loses_and_repeats_nothing_across_restarts(spark, tmp_path):
 
 
 def test_landing_into_a_catalog_table(spark, tmp_path):
-    spark.sql(
-        "CREATE TABLE IF NOT EXISTS landed_test (user_id string, item_id string, event_type string, "
-        f"created_at timestamp, ingested_at timestamp) USING parquet LOCATION '{tmp_path}/landed'"
-    )
+    table = lake.ensure_table(spark, str(tmp_path / "landed"), "landed_test")
     wire = tmp_path / "wire"
     put(wire, "0.json", *lake_lines(3))
-    query = land_table(text_stream(spark, wire), "landed_test", str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)))
+    query = land_table(text_stream(spark, wire), table, str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)))
     try:
         query.processAllAvailable()
     finally:
         query.stop()
-    assert spark.table("landed_test").count() == 3
+    assert lake.current_events(spark, "landed_test").count() == 3
     put(wire, "1.json", *lake_lines(2, 3))
     for _ in range(2):
-        land_table(text_stream(spark, wire), "landed_test", str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)), once=True)
-    spark.catalog.refreshTable("landed_test")
-    assert spark.table("landed_test").count() == 5
+        land_table(text_stream(spark, wire), table, str(tmp_path / "ck"), F.lit(datetime(2027, 1, 20)), once=True)
+    assert lake.current_events(spark, "landed_test").count() == 5
+    # A load beside the stream; done again it replaces itself, a replayed micro-batch too.
+    day = spark.createDataFrame([("x", "i", "click", datetime(2027, 1, 1), datetime(2027, 1, 2))] * 2, LAKE_EVENT)
+    for _ in range(2):
+        lake.insert(day, table, "load-1")
+        lake.insert(lake.current_events(spark, "landed_test").where("user_id = 'u4'"), table, "stream-0000000007")
+    assert lake.current_events(spark, "landed_test").count() == 8
+    days = spark.table(table).where("user_id = 'x'").select(lake.DAY, lake.LANDED).distinct().collect()
+    assert [tuple(r) for r in days] == [(date(2027, 1, 1), "load-1")]
 
 
 def test_stream_equals_batch_on_ordered_input(spark, tmp_path):

@@ -44,7 +44,7 @@ def test_a_rewrite_that_dies_leaves_the_old_content(spark, tmp_path, monkeypatch
     else:
         enter = VersionedTable._enter
         with monkeypatch.context() as patch:
-            patch.setattr(VersionedTable, "_enter", lambda self, n, f, s: enter(self, n, f, s) if s == "begun" else 1 / 0)
+            patch.setattr(VersionedTable, "_enter", lambda self, n, f, s, *label: enter(self, n, f, s) if s == "begun" else 1 / 0)
             with pytest.raises(ZeroDivisionError):
                 table.replace(numbers(spark, 2, 3))
     assert content(table.current()) == [1] == content(reader)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators import chunks
 
-_FEATURE, _ENTITY = 0, 1
+# What earlier chunks left has no time and comes first.
+_BEFORE, _FEATURE, _ENTITY = -1, 0, 1
 # The chunk of rows without a time, before all others.
 _NO_TIME = -(1 << 62)
 
@@ -52,15 +53,16 @@ def as_of_join(
     # Feature rows sort before entity rows of the same instant.
     order = [F.col("_at"), F.col("_side"), F.col("_tie").asc_nulls_first()]
     so_far = chunks.within(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = placed.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far)).where(F.col("_row").isNotNull())
+    has_row = F.col("_row").isNotNull()
 
     def carry(name: str, earlier: Window) -> Column:
         return F.last(name, ignorenulls=True).over(earlier)
 
     latest = F.max(F.when(F.col("_side") == _FEATURE, F.struct("_at", "_tie", "_found")))
-    before = chunks.carried(placed, {"_before": latest}, carry, F.col("_row").isNotNull())
-    before = before.select(*chunks.PLACE, F.col("_before._found").alias("_before"))
-    both = inside.join(before, list(chunks.PLACE))
-    result = both.select("_row.*", F.coalesce("_found", "_before").alias("_found"))
+    before = chunks.carried(placed, {"_before": latest}, carry, has_row)
+    before = before.select(*chunks.PLACE, F.col("_before._found").alias("_found"), F.lit(_BEFORE).alias("_side"))
+    whole = placed.unionByName(before, allowMissingColumns=True)
+    carried = whole.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far)).where(has_row)
+    result = carried.select("_row.*", "_found")
     fresh = F.col(key).isNotNull() & (F.col("_found.seen_at") >= F.col(time) - F.lit(ttl))
     return result.select(*entities.columns, *[F.when(fresh, F.col(f"_found.{n}")).alias(n) for n in names])

@@ -2,8 +2,8 @@
 
 A window sorts its group in one task, and a key may own a third of a table. Rows are therefore placed by key and
 chunk; what a chunk hands on to the later ones of its key is one small row, and a window over these rows alone
-carries it forward. Both steps read the same exchange, so the input is computed once. All keys go this way: there
-is no list of large ones.
+carries it forward. What arrives in a chunk is a first row beside its own, so nothing is joined. Both steps read the
+same exchange, so the input is computed once. All keys go this way: there is no list of large ones.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key with 3 * 10^11 rows over three years has some ten million rows an hour.
-CHUNK_SECONDS = 3_600
+# Long enough that an ordinary key has few chunks, short enough that a day of a key with a third of a table that spans
+# years is no more than a core's share of the whole.
+CHUNK_SECONDS = 86_400
 # Where rows go: key text, whether there is none (its rows are a group), chunk number.
 KEY, NO_KEY, CHUNK = "_key", "_no_key", "_chunk"
 PLACE = (KEY, NO_KEY, CHUNK)
@@ -38,13 +39,15 @@ def within(*order: str | Column) -> Window:
 
 
 def carried(placed: DataFrame, per_chunk: dict[str, Column], carry: Callable[[str, Window], Column], asked: Column) -> DataFrame:
-    """What reaches each chunk from the earlier ones of its key, under the names of ``per_chunk``.
+    """What reaches each chunk from the earlier ones of its key, under the names of ``per_chunk``: a row to be added to
+    the chunk's own, where it must sort first.
 
     ``per_chunk`` sums a chunk up, ``carry`` makes the carried value of a column over a frame of earlier chunks.
-    Only chunks with a row that is ``asked`` for are returned: nobody reads the others. ``asked`` must need what the
-    windows beside this step carry; then both steps need the same columns, and Spark reuses one exchange.
+    Only chunks with a row that is ``asked`` for get one: nobody reads the others. ``asked`` must need what the windows
+    over the chunks carry; then both steps need the same columns, and Spark reuses one exchange.
     """
     earlier = Window.partitionBy(KEY, NO_KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     sums = placed.groupBy(*PLACE).agg(*[c.alias(n) for n, c in per_chunk.items()], F.count_if(asked).alias("_asked"))
     values = [carry(n, earlier).alias(n) for n in per_chunk]
-    return sums.select(*PLACE, *values, "_asked").where(F.col("_asked") > 0).drop("_asked")
+    rows = sums.select(*PLACE, *values, "_asked").where(F.col("_asked") > 0).drop("_asked")
+    return rows.repartition(*PLACE)

@@ -107,13 +107,30 @@ def topic_partition(key: Column, partitions: int = TOPIC_PARTITIONS) -> Column:
     return (head % F.lit(partitions)).cast("int")
 
 
-def publish(records: DataFrame, options: dict[str, str], fmt: str = "kafka", path: str | None = None) -> None:
-    """Write bus records. The broker partitions by key; files get the same rule as a folder column.
-
-    Neither form shuffles: rows keep the order in which the source delivered them.
+def publish(
+    records: DataFrame,
+    options: dict[str, str],
+    fmt: str = "kafka",
+    path: str | None = None,
+    batch_id: int | None = None,
+    order: tuple[str, ...] = (),
+) -> None:
+    """Write bus records, those of a key by one task and in order. The broker partitions by key; files get the same
+    rule as a folder column.
+
+    The order is that of the ``order`` columns, else that in which the source delivered the rows. One task writes
+    all records of a key because only one writer can keep them in order; a broker's partition is one log as well.
+    With ``batch_id`` a file topic keeps each batch in a folder of its own, and a batch written again replaces itself.
     """
+    delivered = records.withColumn("_delivered", F.monotonically_increasing_id())
+    placed = delivered.withColumn("partition", topic_partition(F.col("key"))).repartition("key")
+    # The partition comes first, as the file writer sorts by it and leaves rows alone that are sorted.
+    in_order = placed.sortWithinPartitions("partition", "key", *order, "_delivered").drop("_delivered", *order)
     if fmt == "kafka":
-        records.select("key", "value").write.format("kafka").options(**options).save()
+        in_order.select("key", "value").write.format("kafka").options(**options).save()
+        return
+    if batch_id is None:
+        in_order.write.format(fmt).options(**options).mode("append").partitionBy("partition").save(path)
         return
-    placed = records.withColumn("partition", topic_partition(F.col("key")))
-    placed.write.format(fmt).options(**options).mode("append").partitionBy("partition").save(path)
+    writer = in_order.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).options(**options).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("partition", "batch_id").save(path)

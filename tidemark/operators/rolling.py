@@ -11,8 +11,8 @@ Two states are asked for at two instants (``history`` is another event of the sa
 * availability row, at ``ingested_at``, for events not dated after their ingestion: history ingested by
   then, itself and its ties included, created less than seven days before, and likewise not future-dated.
 
-The sum has two levels (``chunks``): rows are placed by key and hour, with a bare copy where their event expires;
-points are summed within the hour, and the totals of the key's earlier hours are carried in.
+The sum has two levels (``chunks``): rows are placed by key and day, with a bare copy where their event expires;
+points are summed within the day, beginning with the totals of the key's earlier days.
 """
 
 from __future__ import annotations
@@ -52,9 +52,8 @@ def add_counts(rows: DataFrame, key: str, prefix: str, chunk_seconds: int = chun
     points = _points(_placed(rows, key, chunk_seconds, F.struct(*others).alias("_row")), chunk_seconds, carries_row)
     # The default frame is a RANGE up to the current instant: ties see one value.
     so_far = chunks.within("at")
-    summed = points.withColumns({c: F.sum(c).over(so_far) for c in _STATE}).where(has_row)
-    whole = _carried_in(summed, points, has_row)
-    return _of_kind(whole.select(chunks.given_key(key), "_row.*", *_STATE), prefix)
+    summed = _with_carried(points, has_row).withColumns({c: F.sum(c).over(so_far) for c in _STATE}).where(has_row)
+    return _of_kind(summed.select(chunks.given_key(key), "_row.*", *_STATE), prefix)
 
 
 def _of_kind(rows: DataFrame, prefix: str) -> DataFrame:
@@ -117,15 +116,14 @@ def _points(placed: DataFrame, chunk_seconds: int, *extra: Column) -> DataFrame:
     )
 
 
-def _carried_in(summed: DataFrame, points: DataFrame, asked: Column) -> DataFrame:
-    """Sums within chunks plus the totals of all earlier chunks of the key."""
+def _with_carried(points: DataFrame, asked: Column) -> DataFrame:
+    """The points and, first in each chunk, one without an instant that holds the totals of the key's earlier chunks."""
 
     def carry(name: str, earlier: Window) -> Column:
         return F.coalesce(F.sum(name).over(earlier), F.lit(0))
 
-    totals = chunks.carried(points, {f"_{c}": F.sum(c) for c in _STATE}, carry, asked)
-    whole = summed.join(totals, list(chunks.PLACE))
-    return whole.withColumns({c: F.col(c) + F.col(f"_{c}") for c in _STATE}).drop(*[f"_{c}" for c in _STATE])
+    totals = chunks.carried(points, {c: F.sum(c) for c in _STATE}, carry, asked)
+    return points.unionByName(totals, allowMissingColumns=True)
 
 
 def instant_state(events: DataFrame, key: str, chunk_seconds: int = chunks.CHUNK_SECONDS) -> DataFrame:
@@ -147,7 +145,7 @@ def instant_state(events: DataFrame, key: str, chunk_seconds: int = chunks.CHUNK
     so_far = chunks.within("at")
     here = so_far.rangeBetween(Window.currentRow, Window.currentRow)
     state = (
-        points.withColumns(
+        _with_carried(points, asked).withColumns(
             {
                 **{c: F.sum(c).over(so_far) for c in _STATE},
                 **{c: rule(c).over(here) for c, rule in _AT_INSTANT.items()},
@@ -159,4 +157,4 @@ def instant_state(events: DataFrame, key: str, chunk_seconds: int = chunks.CHUNK
         .where(asked)
         .drop("_previous")
     )
-    return _carried_in(state, points, asked).select(chunks.given_key(key), "at", *_STATE, *_AT_INSTANT)
+    return state.select(chunks.given_key(key), "at", *_STATE, *_AT_INSTANT)

@@ -26,11 +26,12 @@ def materialize(events: DataFrame, directory: str, end: datetime) -> dict[str, s
 
     The online tables read the written sources, so the sweep over the events runs once.
     """
-    features.write_feature_sources(events, f"{directory}/sources")
-    sources = features.stored_sources(events.sparkSession, f"{directory}/sources")
+    spark = events.sparkSession
+    folders = dict(zip(features.SOURCE_FILES, features.write_feature_sources(events, f"{directory}/sources")))
+    registry.save_definitions(spark, f"{directory}/registry", [registry.RANKING])
     store = registry.FeatureRegistry()
-    for view in registry.RANKING.views:
-        store.apply(view, sources[view.entity.name])
+    for view in registry.load_definitions(spark, f"{directory}/registry")[registry.RANKING.name].views:
+        store.apply(view, registry.stored_source(spark, view, folders[view.entity.name]))
     return store.materialize(f"{directory}/online", F.lit(end))
 
 
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--path", help="folder of the topic, for file formats")
         job.add_argument("--output", required=True)
         job.add_argument("--checkpoint")
-        job.add_argument("--table", help="land into this catalog table instead of the output folder")
+        job.add_argument("--table", help="land into this catalog table, made below the output folder where missing")
+        job.add_argument("--table-format", default="parquet")
         job.add_argument("--bodies", help="folder of request bodies to accept, one document per line")
         job.add_argument("--once", action="store_true", help="take what is there now and stop")
     job = jobs.add_parser("features")
@@ -87,7 +89,9 @@ def main(argv: list[str] | None = None) -> None:
         counted = WindowedCounts(spark, args.output, checkpoint=checkpoint)
         query = counted.start(wire, args.once)
     elif args.table:
-        query = land_table(wire, args.table, checkpoint, once=args.once)
+        namespace, _, table = args.table.rpartition(".")
+        name = lake.ensure_table(spark, args.output, namespace or lake.NAMESPACE, table, args.table_format)
+        query = land_table(wire, name, checkpoint, once=args.once, fmt=args.table_format)
     else:
         query = land(wire, args.output, checkpoint, once=args.once)
     query.awaitTermination()

@@ -67,6 +67,24 @@ judged AS (
     coalesce(watermark_ms >= start_ms + 9999, false) AS fired FROM marked)
 """
 
+_PARTITIONS = range(3)
+_EARLIER = "OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+# Peak and last arrival of each partition before a record; the slowest that is not idle gives the mark.
+_MERGED_WATERMARK = f"""
+dense AS (
+  SELECT seq, event_type, {DENSE_EPOCH_MS} + seq * 700
+    - CASE WHEN seq % 41 = 0 THEN 60000 WHEN seq % 13 = 0 THEN 4000 ELSE 0 END AS ms, seq * 100 AS arrival,
+    CASE WHEN seq % 300 < 100 THEN seq % 3 ELSE seq % 2 END AS part FROM interactions),
+peaks AS (
+  SELECT *, {", ".join(f"max(CASE WHEN part = {p} THEN ms END) {_EARLIER} AS peak{p}, max(CASE WHEN part = {p} THEN arrival END) {_EARLIER} AS seen{p}" for p in _PARTITIONS)}
+  FROM dense),
+marked AS (
+  SELECT seq, event_type, ms, ms - ms % 10000 AS start_ms,
+    max(least({", ".join(f"CASE WHEN arrival - seen{p} <= 2000 THEN peak{p} END" for p in _PARTITIONS)}) - 2000) OVER (ORDER BY seq) AS watermark_ms
+  FROM peaks),
+judged AS (SELECT *, coalesce(watermark_ms >= start_ms + 9999 + 5000, false) AS late FROM marked)
+"""
+
 
 def _ntz(ms: str) -> str:
     return f"make_timestamp(({ms}) * 1000)"
@@ -255,9 +273,17 @@ ORACLES: dict[str, str] = {
         f"""SELECT user_id, item_id, j.event_type, {_ntz('ms')} AS created_at
             FROM judged j JOIN interactions USING (seq) WHERE late""",
     ),
+    "stream_late_partitions": _with(
+        _MERGED_WATERMARK,
+        f"""SELECT user_id, item_id, j.event_type, {_ntz('ms')} AS created_at
+            FROM judged j JOIN interactions USING (seq) WHERE late""",
+    ),
     "stream_lake_append": _with(
         _CLASSES, _CONSUMED, "SELECT user_id, item_id, event_type, created_at, ingested_at FROM consumed"
     ),
+    "lake_table_append": _with(
+        _CLASSES, _CONSUMED, "SELECT user_id, item_id, event_type, created_at, ingested_at FROM consumed"
+    ),
     "stream_publish": _with(_CLASSES, _GATEWAY, _RECORDS),
     "feature_event_rows": _with(_EVENT_ROWS, f"SELECT seq, {_FEATURE_COLUMNS} FROM event_rows"),
     "feature_availability_rows": _with(_AVAILABILITY_ROWS, f"SELECT seq, {_FEATURE_COLUMNS} FROM availability_rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import changes, envelopes, features, gateway, online, windows
 from tidemark.plans import registry
@@ -15,7 +15,7 @@ from tidemark.sources import derived, lake, topics
 from tidemark.streaming.changes import FollowedTable
 from tidemark.streaming.counts import WindowedCounts
 from tidemark.streaming.intake import accept
-from tidemark.streaming.landing import land
+from tidemark.streaming.landing import land, land_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,14 +124,18 @@ def lake_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ----------------------------------------------------------------------------------------------
 
 
-def _counted_stream(spark: SparkSession, sf_dir: str) -> WindowedCounts:
-    """The dense interactions in the order of their offsets, all of them in one delivery of several files."""
+def _counted_stream(spark: SparkSession, sf_dir: str, partition: Column | None = None) -> WindowedCounts:
+    """The dense interactions, ten arriving each second, all of them in one delivery of several files.
+
+    They lie in partition 0 of the topic unless ``partition`` deals them out by ``seq``.
+    """
     timed = derived.dense_interactions(spark, sf_dir).withColumn("created_at", F.timestamp_millis("ms"))
-    records = gateway.serialize(timed, keep=("created_at", "seq"))
+    dealt = F.lit(0) if partition is None else partition
+    timed = timed.withColumn("timestamp", F.timestamp_millis(F.col("seq") * 100)).withColumn("partition", dealt.cast("int"))
+    records = gateway.serialize(timed, keep=("timestamp", "partition", "seq"))
     directory = shared_dir(spark, "counts")
     wire = f"{directory}/wire"
-    named = records.withColumnsRenamed({"created_at": "timestamp", "seq": "offset"}).withColumn("partition", F.lit(0))
-    named.repartition(4, "offset").write.parquet(wire)
+    records.withColumnRenamed("seq", "offset").repartition(4, "offset").write.parquet(wire)
     counted = WindowedCounts(spark, directory)
     counted.start(topics.stream(spark, "parquet", {}, wire), once=True)
     return counted
@@ -145,6 +149,12 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(_counted_stream(spark, sf_dir).late(), "created_at")
 
 
+def stream_late_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late events of a topic of three partitions, the third of which is idle two thirds of the time."""
+    partition = F.when(F.col("seq") % 300 < 100, F.col("seq") % 3).otherwise(F.col("seq") % 2)
+    return _zoneless(_counted_stream(spark, sf_dir, partition).late(), "created_at")
+
+
 def _delivered_in_two_parts(spark: SparkSession, sf_dir: str, wire: str):
     """All envelopes with their arrival time, half of them per round; yields the topic stream each time."""
     records = derived.envelopes(spark, sf_dir).select(
@@ -164,6 +174,22 @@ def stream_lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(lake.scan(spark, table), "created_at", "ingested_at")
 
 
+def lake_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalog table: the odd envelopes landed by a stream that is restarted, the even ones by a load done twice."""
+    directory = shared_dir(spark, "table")
+    table = lake.ensure_table(spark, directory, f"lake_{directory.rpartition('-')[2]}")
+    wire = derived.envelopes(spark, sf_dir).withColumn("timestamp", F.col("ingested_at").cast("timestamp"))
+    for part in (1, 3):
+        records = wire.where(F.col("seq") % 4 == part).select("value", "timestamp")
+        records.write.mode("append").parquet(f"{directory}/wire")
+        stream = topics.stream(spark, "parquet", {}, f"{directory}/wire")
+        land_table(stream, table, f"{directory}/checkpoint", F.col("timestamp"), once=True)
+    even = wire.where(F.col("seq") % 2 == 0)
+    for _ in range(2):
+        lake.insert(envelopes.parse_lake_events(even, F.col("timestamp")), table, "load-of-even")
+    return _zoneless(lake.current_events(spark, table.partition(".")[0]), "created_at", "ingested_at")
+
+
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gateway over the same deliveries: what the topic holds after both rounds."""
     directory = shared_dir(spark, "intake")
@@ -318,7 +344,7 @@ _ALL: tuple[Query, ...] = (
     parse_envelopes, parse_lake_rows, event_type_counts,
     gateway_validate, gateway_normalize, gateway_route, gateway_quarantine, envelope_serialize, publish_keyed,
     arrival_watermark, tumbling_counts, late_events, window_firings, count_lines,
-    lake_scan, lake_partitions, stream_counts, stream_late, stream_lake_append, stream_publish,
+    lake_scan, lake_partitions, stream_counts, stream_late, stream_late_partitions, stream_lake_append, lake_table_append, stream_publish,
     feature_event_rows, feature_availability_rows, feature_snapshot, user_feature_source, item_feature_source,
     pit_user, pit_item, pit_ranking_features,
     online_latest_user, online_latest_item, online_lookup, online_merge, offline_online_parity,

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import asof, online
 from tidemark.schemas import FEATURE_WINDOW, ITEM_FEATURES, USER_FEATURES, require_columns
@@ -30,6 +30,18 @@ class FeatureView:
     time: str = "event_timestamp"
     created: str = "created_timestamp"
 
+    @property
+    def schema(self) -> T.StructType:
+        """What the view's stored source must hold."""
+        return T.StructType(
+            [
+                T.StructField(self.entity.join_key, T.StringType()),
+                T.StructField(self.time, T.TimestampType()),
+                T.StructField(self.created, T.TimestampType()),
+                *[T.StructField(name, T.LongType()) for name in self.features],
+            ]
+        )
+
 
 @dataclass(frozen=True)
 class FeatureService:
@@ -44,6 +56,56 @@ ITEM_VIEW = FeatureView("item_interaction_features", ITEM, ITEM_FEATURES)
 RANKING = FeatureService("ranking_features", (USER_VIEW, ITEM_VIEW))
 
 
+_DEFINITION = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("entity", T.StringType()),
+        T.StructField("join_key", T.StringType()),
+        T.StructField("members", T.ArrayType(T.StringType())),
+        T.StructField("ttl_seconds", T.DoubleType()),
+        T.StructField("time", T.StringType()),
+        T.StructField("created", T.StringType()),
+    ]
+)
+
+
+def save_definitions(spark: SparkSession, path: str, services: Iterable[FeatureService]) -> str:
+    """Publish the services and their views as a table that other processes read back."""
+    services = list(services)
+    views = {view.name: view for service in services for view in service.views}
+    rows = [
+        ("view", v.name, v.entity.name, v.entity.join_key, list(v.features), v.ttl.total_seconds(), v.time, v.created)
+        for v in views.values()
+    ]
+    rows += [("service", s.name, None, None, [v.name for v in s.views], None, None, None) for s in services]
+    return VersionedTable(spark, path).replace(spark.createDataFrame(rows, _DEFINITION).coalesce(1))
+
+
+def load_definitions(spark: SparkSession, path: str) -> dict[str, FeatureService]:
+    """The services as last published, by name."""
+    rows = VersionedTable(spark, path).current(_DEFINITION).collect()
+    views = {
+        r["name"]: FeatureView(
+            r["name"], Entity(r["entity"], r["join_key"]), tuple(r["members"]), timedelta(seconds=r["ttl_seconds"]), r["time"], r["created"]
+        )
+        for r in rows
+        if r["kind"] == "view"
+    }
+    return {r["name"]: FeatureService(r["name"], tuple(views[v] for v in r["members"])) for r in rows if r["kind"] == "service"}
+
+
+def stored_source(spark: SparkSession, view: FeatureView, folder: str) -> DataFrame:
+    """The view's stored source, read by its declared schema; refused if its files hold other types."""
+    declared = {f.name: f.dataType for f in view.schema}
+    actual = {f.name: f.dataType for f in spark.read.parquet(folder).schema}
+    wrong = {n: f"{actual[n].simpleString()} instead of {t.simpleString()}" for n, t in declared.items() if n in actual and actual[n] != t}
+    missing = sorted(set(declared) - set(actual))
+    if wrong or missing:
+        raise TypeError(f"source of {view.name}: missing {missing}, wrong types {wrong}")
+    return spark.read.schema(view.schema).parquet(folder)
+
+
 @dataclass
 class FeatureRegistry:
     """Views with the DataFrames behind them. Sources are checked when a view is applied, before any job."""

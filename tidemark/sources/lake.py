@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import EVENT_COLUMNS, LAKE_EVENT, require_columns
 
 NAMESPACE, TABLE = "event_lake", "events_raw"
 DAY = "created_day"
+# Which load or micro-batch brought the rows: a partition of the catalog table, so that it can be written again.
+LANDED = "landed_by"
 # Fixed value: target size of a data file, 128 MiB.
 TARGET_FILE_BYTES = 134_217_728
-# The file writer counts rows, not bytes: the target size at 16 compressed bytes per event.
-MAX_RECORDS_PER_FILE = TARGET_FILE_BYTES // 16
+# Compressed bytes per event until a write has been measured.
+GUESSED_ROW_BYTES = 16.0
+MAX_RECORDS_PER_FILE = int(TARGET_FILE_BYTES / GUESSED_ROW_BYTES)
 
 
 def ensure_table(
@@ -32,8 +36,8 @@ def ensure_table(
         )
     else:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {DAY} DATE) USING {fmt} "
-            f"PARTITIONED BY ({DAY}) LOCATION '{location}/{table}'"
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {DAY} DATE, {LANDED} STRING) USING {fmt} "
+            f"PARTITIONED BY ({DAY}, {LANDED}) LOCATION '{location}/{table}'"
         )
     return name
 
@@ -54,23 +58,77 @@ def with_day(events: DataFrame) -> DataFrame:
 
 def refuse_stream_folder(spark: SparkSession, path: str) -> None:
     """A folder that a stream lands in is read by the stream's own log, which would hide a batch written beside it."""
-    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
-    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
-        raise ValueError(f"{path} belongs to a landing stream: land the batch through it, or through a catalog table")
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_spark_metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    raise ValueError(f"{path} belongs to a landing stream: land the batch through it, or through a catalog table")
 
 
-def append(events: DataFrame, path: str) -> str:
-    """Append a batch, few files per day.
+def bytes_per_row(table: DataFrame) -> float | None:
+    """Compressed bytes per row of a table's latest day, from the sizes of its files; NULL without rows.
 
-    The rebalance hint lets AQE cut a big day into several tasks and put small days together, where a plain
-    repartition by day would give a day with a third of the rows to one task.
+    Only the partition column and the files' own facts are read.
     """
-    refuse_stream_folder(events.sparkSession, path)
-    placed = with_day(events).hint("rebalance", DAY)
-    placed.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(DAY).parquet(path)
+    latest = table.agg(F.max(DAY)).first()[0]
+    if latest is None:
+        return None
+    files = table.where(F.col(DAY) == latest).groupBy("_metadata.file_path").agg(
+        F.count("*").alias("n"), F.first("_metadata.file_size").alias("size")
+    )
+    rows, size = files.agg(F.sum("n"), F.sum("size")).first()
+    return size / rows if rows else None
+
+
+def in_files(rows: DataFrame, row_bytes: float, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Rows with a day, dealt to one task per file: a day gets as many files of the target size as its rows fill.
+
+    Rows are counted per day first. A day with a third of all rows is cut like any other; rows go to its files by
+    their content, so a task that runs again writes the same file.
+    """
+    days = {r[DAY]: r["n"] for r in rows.groupBy(DAY).agg(F.count("*").alias("n")).collect()}
+    if not days:
+        return rows
+    plan, files = [], 0
+    for day, n in sorted(days.items()):
+        plan.append((day, files, max(1, round(n * row_bytes / target_bytes))))
+        files += plan[-1][2]
+    # One row per calendar day of the batch.
+    plan = F.broadcast(rows.sparkSession.createDataFrame(plan, f"{DAY} date, _first int, _files int"))
+    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != DAY]), F.col("_files"))
+    placed = rows.join(plan, DAY).withColumn("_file", (F.col("_first") + spread).cast("int"))
+    return placed.repartitionById(files, F.col("_file")).select(*rows.columns)
+
+
+def append(events: DataFrame, path: str, target_bytes: int = TARGET_FILE_BYTES) -> str:
+    """Append a batch in files of about the target size, by what a row took in the writes before."""
+    spark = events.sparkSession
+    refuse_stream_folder(spark, path)
+    try:
+        measured = bytes_per_row(spark.read.parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        measured = None
+    placed = in_files(with_day(events), measured or GUESSED_ROW_BYTES, target_bytes)
+    placed.write.mode("append").partitionBy(DAY).parquet(path)
     return path
 
 
+def insert(events: DataFrame, table: str, landed_by: str, target_bytes: int = TARGET_FILE_BYTES) -> None:
+    """Put a load or micro-batch into the catalog table; the same ``landed_by`` again replaces what it brought.
+
+    Streams and batch loads may share the table: each replaces its own partitions only.
+    """
+    spark = events.sparkSession
+    rows = with_day(events)
+    placed = in_files(rows, bytes_per_row(spark.table(table)) or GUESSED_ROW_BYTES, target_bytes)
+    writer = placed.withColumn(LANDED, F.lit(landed_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.insertInto(table)
+
+
 def scan(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
     """Event columns of the days asked for; both bounds are inclusive and prune partitions."""
     return _days(spark.read.parquet(path), first, last).select(*EVENT_COLUMNS)

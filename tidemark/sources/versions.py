@@ -10,6 +10,7 @@ that is emptied with the old ones. One writer at a time.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,6 +20,7 @@ _JOURNAL = T.StructType(
         T.StructField("number", T.LongType()),
         T.StructField("folder", T.StringType()),
         T.StructField("state", T.StringType()),
+        T.StructField("label", T.LongType()),
         T.StructField("at", T.TimestampType()),
     ]
 )
@@ -30,16 +32,19 @@ class VersionedTable:
         """``keep`` versions, the newest included, stay readable; at least one."""
         self.spark, self.path, self.keep = spark, path.rstrip("/"), max(1, keep)
 
-    def replace(self, rows: DataFrame) -> str:
+    def replace(self, rows: DataFrame, label: int | None = None, beside: Callable[[int], None] | None = None) -> str:
         """Publish the rows as the table's content; returns the folder of the new version.
 
-        The rows may come from the table itself.
+        The rows may come from the table itself. ``label`` is published with them. ``beside`` is called with the
+        number of the version before it is published, for what must be there with it; numbers are never used twice.
         """
         number = max((r["number"] for r in self._entries()), default=0) + 1
         folder = f"version={number:08d}-{uuid.uuid4().hex[:8]}"
         self._enter(number, folder, BEGUN)
         rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        self._enter(number, folder, PUBLISHED)
+        if beside is not None:
+            beside(number)
+        self._enter(number, folder, PUBLISHED, label)
         self._drop_old(rows.schema)
         return f"{self.path}/{folder}"
 
@@ -48,6 +53,15 @@ class VersionedTable:
         published = [(r["number"], r["folder"]) for r in self._entries() if r["state"] == PUBLISHED]
         return f"{self.path}/{max(published)[1]}" if published else None
 
+    def label(self) -> int | None:
+        """Label of the newest published version."""
+        published = [(r["number"], r["label"]) for r in self._entries() if r["state"] == PUBLISHED]
+        return max(published)[1] if published else None
+
+    def published(self) -> list[int]:
+        """Numbers of all versions that were ever published."""
+        return sorted({r["number"] for r in self._entries() if r["state"] == PUBLISHED})
+
     def exists(self) -> bool:
         return self.folder() is not None
 
@@ -68,10 +82,10 @@ class VersionedTable:
                 return []
             raise
 
-    def _enter(self, number: int, folder: str, state: str) -> None:
+    def _enter(self, number: int, folder: str, state: str, label: int | None = None) -> None:
         entry = self.spark.range(1).select(
             F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"), F.lit(state).alias("state"),
-            F.current_timestamp().alias("at"),
+            F.lit(label).cast("long").alias("label"), F.current_timestamp().alias("at"),
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_journal")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import changes
-from tidemark.streaming.batchlog import BatchLog, run
+from tidemark.streaming.batches import BatchTable, run
 
 _LATEST = T.StructType(
     [
@@ -38,8 +38,8 @@ class FollowedTable:
 
     def __init__(self, spark: SparkSession, directory: str, checkpoint: str | None = None, fold_every: int = 360):
         self.checkpoint, self.fold_every = checkpoint or f"{directory}/checkpoint", fold_every
-        self.log = BatchLog(spark, f"{directory}/images", _LATEST)
-        self.refused_log = BatchLog(spark, f"{directory}/refused", _REFUSED)
+        self.log = BatchTable(spark, f"{directory}/images", _LATEST, fold_every)
+        self.refused_log = BatchTable(spark, f"{directory}/refused", _REFUSED, fold_every)
 
     def start(self, records: DataFrame, once: bool = False) -> StreamingQuery:
         """Follow streaming records; without an ``lsn`` column the position is read from the records."""
@@ -47,11 +47,9 @@ class FollowedTable:
         return run(writer.option("checkpointLocation", self.checkpoint), once)
 
     def _take(self, batch: DataFrame, batch_id: int) -> None:
-        refused = batch.where("reason IS NOT NULL").select(*_REFUSED.names)
-        if not refused.isEmpty():
-            self.refused_log.put(refused, batch_id)
+        self.refused_log.put(batch.where("reason IS NOT NULL"), batch_id)
         good = batch.where("reason IS NULL").select(*_LATEST.names)
-        self.log.put(changes.latest_images(good).select(*_LATEST.names), batch_id)
+        self.log.put(changes.latest_images(good), batch_id)
         if batch_id and batch_id % self.fold_every == 0:
             self.fold(batch_id - 1)
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import gateway
-from tidemark.streaming.batchlog import run
+from tidemark.streaming.batches import run
 
 
 def accept(
@@ -18,21 +18,20 @@ def accept(
     received_at: Column | None = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Publish accepted bodies, keyed by user. A file topic gets each record once, a broker at least once."""
+    """Publish accepted bodies, keyed by user, each user's in the order in which they came.
+
+    A file topic holds each record once: a batch that is replayed replaces its files. A broker gets it at least once.
+    """
     records = gateway.serialize(gateway.normalize(bodies, received_at))
-    if fmt == "kafka":
-        return run(_writer(records, checkpoint, options, fmt, path), once)
-    placed = records.withColumn("partition", gateway.topic_partition(F.col("key")))
-    return run(_writer(placed, checkpoint, options, fmt, path).partitionBy("partition"), once)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        gateway.publish(batch, options, fmt, path, batch_id)
+
+    return run(records.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint), once)
 
 
 def refuse(bodies: DataFrame, checkpoint: str, path: str, once: bool = False) -> StreamingQuery:
     """Keep refused bodies, whole, with outcome, status and reason. Its own query, so its own place in the source."""
     refused = gateway.quarantine(bodies).select("value", "outcome", "status", "reason")
-    return run(_writer(refused, checkpoint, {}, "parquet", path).partitionBy("outcome"), once)
-
-
-def _writer(rows: DataFrame, checkpoint: str, options: dict[str, str], fmt: str, path: str | None):
-    writer = rows.writeStream.format(fmt).options(**options).outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint)
-    return writer if path is None else writer.option("path", path)
+    writer = refused.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return run(writer.option("path", path).partitionBy("outcome"), once)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.envelopes import parse_lake_events
 from tidemark.sources import lake
-from tidemark.streaming.batchlog import run
+from tidemark.streaming.batches import run
 
 
 def land(
@@ -31,13 +31,34 @@ def land(
 
 
 def land_table(
-    wire: DataFrame, table: str, checkpoint: str, ingested_at: Column | None = None, once: bool = False
+    wire: DataFrame,
+    table: str,
+    checkpoint: str,
+    ingested_at: Column | None = None,
+    once: bool = False,
+    name: str = "stream",
+    fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Land into a catalog table whose format commits atomically and partitions by itself."""
+    """Land into the catalog table, which batch loads may share (``lake.insert``).
+
+    Each micro-batch writes partitions of its own, named after the stream and the batch, so one that is replayed
+    replaces itself. ``name`` must be another for each stream into a table. A format that commits atomically by
+    itself takes the rows as they come.
+    """
     rows = parse_lake_events(wire, ingested_at)
-    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if not once:
-        return writer.trigger(processingTime="10 seconds").toTable(table)
-    query = writer.trigger(availableNow=True).toTable(table)
-    query.awaitTermination()
-    return query
+    if fmt == "iceberg":
+        writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        if not once:
+            return writer.trigger(processingTime="10 seconds").toTable(table)
+        query = writer.trigger(availableNow=True).toTable(table)
+        query.awaitTermination()
+        return query
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            lake.insert(kept, table, f"{name}-{batch_id:010d}")
+        finally:
+            kept.unpersist()
+
+    return run(rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint), once)
