@@ -17,6 +17,7 @@ LANDED = "landed_by"
 TARGET_FILE_BYTES = 134_217_728
 # Compressed bytes per event until a write has been measured.
 GUESSED_ROW_BYTES = 16.0
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 MAX_RECORDS_PER_FILE = int(TARGET_FILE_BYTES / GUESSED_ROW_BYTES)
 
 
@@ -125,8 +126,13 @@ def insert(events: DataFrame, table: str, landed_by: str, target_bytes: int = TA
     spark = events.sparkSession
     rows = with_day(events)
     placed = in_files(rows, bytes_per_row(spark.table(table)) or GUESSED_ROW_BYTES, target_bytes)
-    writer = placed.withColumn(LANDED, F.lit(landed_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table)
+    # A write into a catalog table takes this from the session only; without it the whole table would be replaced.
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        placed.withColumn(LANDED, F.lit(landed_by)).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
 
 
 def scan(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
