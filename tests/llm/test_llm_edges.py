@@ -99,7 +99,8 @@ def test_vectors(spark):
             (7, [None, 1.0]), (8, []), (9, [1.0]), (None, [1.0, 1.0]), (10, [-1.0, 0.0])]
     vectors = with_odd(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in mih.nearest(vectors, F.col("vec_id") % 100 == 0, k=10).orderBy("rank").collect()]
-    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 10)]
+    # The short vector has zeros behind it.
+    assert got == [(0, 1, 9), (0, 2, 1), (0, 3, 2), (0, 4, 10)]
     assert mih.nearest(vectors.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
@@ -113,6 +114,52 @@ def test_repeated_rows_keep_no_other_id_from_the_index(spark):
     assert [r["score"] for r in got[:3]] == [0, 0, 0]
 
 
+def brute_neighbours(rows, k):
+    """Padded vectors, an id at its smallest distance, ties to the smaller id."""
+    width = max(len(v) for _, v in rows)
+    points = [(i, [*v, *[0.0] * (width - len(v))]) for i, v in rows if any(v)]
+    found = {}
+    for query in sorted({i for i, _ in points if i % 100 == 0}):
+        best = {}
+        for _, asked in (p for p in points if p[0] == query):
+            for other, vector in points:
+                if other != query:
+                    best[other] = min(best.get(other, 1e9), sum((a - b) ** 2 for a, b in zip(asked, vector)) ** 0.5)
+        found[query] = sorted((d, i) for i, d in best.items())[:k]
+    return found
+
+
+@pytest.mark.parametrize("ids, lengths", [(400, (6,)), (30, (6,)), (400, (6, 6, 6, 2, 9, 40))])
+def test_neighbours_of_repeated_ids_and_uneven_vectors(spark, ids, lengths):
+    prepare(spark)
+    rng = random.Random(ids)
+    rows = [(i % ids, [float(rng.randrange(-3, 4)) for _ in range(rng.choice(lengths))]) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in mih.nearest(vectors, F.col("vec_id") % 100 == 0, k=5, slack=99).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    expected = brute_neighbours(rows, 5)
+    assert {q: [i for _, i in f] for q, f in got.items()} == {q: [i for _, i in f] for q, f in expected.items()}
+    assert all(abs(a - b) < 1e-9 for q in got for (a, _), (b, _) in zip(got[q], expected[q]))
+
+
+def test_an_id_of_many_rows_hides_no_other(spark):
+    prepare(spark)
+    rng = random.Random(5)
+    rows = [(0, [1.0] * 8)] + [(1, [1 + rng.random() / 99 for _ in range(8)]) for _ in range(3000)] + [(i, [-1.0, *[float(i)] * 7]) for i in range(2, 9)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mih.nearest(vectors, F.col("vec_id") == 0, k=10).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 9))
+
+
+def test_neighbours_of_huge_vectors(spark):
+    prepare(spark)
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 2.0]), (2, [-1e308, 1e308]), (3, [1e-300, 0.0]), (4, [1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mih.nearest(vectors, F.col("vec_id") == 0, k=10).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 3, 4] and got[0]["score"] == 1.0
+
+
 def test_declared_languages_are_read_from_the_whole_page(spark):
     prepare(spark)
     far = "x" * 10_000
