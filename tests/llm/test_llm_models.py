@@ -1,0 +1,211 @@
+"""Language ID and toxicity held against plain Python: the same posterior, features, fit and severities by other code."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import language_id as li, toxicity
+from tidemark.llm.common import prepare
+
+CLASSES = [*li.LANGUAGES, li.OTHER]
+
+
+# Language ID ------------------------------------------------------------------------------------------
+
+
+def plain_buckets(text):
+    """Buckets of the trigrams around a letter, by characters and integers."""
+    signs = (text or "").lower()
+    is_letter = [ord(c) >= li.TABLED or c.isalpha() for c in signs]
+    codes = [ord(c) if letter else 32 for c, letter in zip(signs, is_letter)]
+    a, b, c = (int(x) for x in (li._A, li._B, li._C))
+    found = []
+    for i in range(1, len(codes) - 1):
+        if is_letter[i]:
+            h = (codes[i - 1] * a + codes[i] * b + codes[i + 1] * c) % 2**32
+            found.append(((h ^ (h >> 15)) * a % 2**32) >> (32 - li.BUCKET_BITS))
+    return found
+
+
+def plain_softmax(logs):
+    parts = [math.exp(x - max(logs)) for x in logs]
+    return [p / sum(parts) for p in parts]
+
+
+def plain_identify(rows):
+    """(language, posterior, kept) of (text, declared, host) rows, all of which teach if they are declared."""
+    counts = {name: Counter() for name in li.LANGUAGES}
+    for text, declared, _ in rows:
+        if declared in counts:
+            counts[declared].update(plain_buckets(text))
+    space = 2**li.BUCKET_BITS
+    total = {name: sum(c.values()) + li.SMOOTHING * space for name, c in counts.items()}
+
+    def log_likelihood(bucket, name):
+        share = 1 / space if name == li.OTHER else (counts[name][bucket] + li.SMOOTHING) / total[name]
+        return float(np.float32(math.log(share)))
+
+    logs, shares, letters = [], [], []
+    for text, declared, _ in rows:
+        buckets = plain_buckets(text)
+        own = [sum(log_likelihood(b, name) for b in buckets) * min(len(buckets), li.WITNESSES) / max(len(buckets), 1) for name in CLASSES]
+        if declared in li.LANGUAGES:
+            wrong = (1 - li.DECLARED_RIGHT) / len(li.LANGUAGES)
+            own = [x + math.log(li.DECLARED_RIGHT if name == declared else wrong) for x, name in zip(own, CLASSES)]
+        logs.append(own)
+        shares.append(plain_softmax(own))
+        letters.append(bool(buckets))
+
+    domain = lambda h: h.split(".", 1)[1] if h and "." in h else None
+    suffix = lambda h: h.rsplit(".", 1)[1] if h and "." in h else None
+    levels = [defaultdict(lambda: [0.0] * len(CLASSES)) for _ in range(3)]
+    for (_, _, host), share in zip(rows, shares):
+        for level, key in zip(levels, (host, domain(host), suffix(host))):
+            if key is not None:
+                level[key] = [x + y for x, y in zip(level[key], share)]
+    whole = [sum(s[i] for s in shares) for i in range(len(CLASSES))]
+    named = sum(whole[:-1])
+    overall = [(x + 1) / (named + len(li.LANGUAGES)) * (1 - li.OTHER_PRIOR) for x in whole[:-1]] + [li.OTHER_PRIOR]
+    out = []
+    for (_, _, host), own, share, told in zip(rows, logs, shares, letters):
+        def others(level, key):  # what all other rows of the level say
+            return [max(x - y, 0) for x, y in zip(level[key], share)] if key is not None else [0.0] * len(CLASSES)
+
+        prior = overall
+        for level, key, pull in ((levels[1], domain(host), li.DOMAIN_PULL), (levels[0], host, li.HOST_PULL)):
+            said = others(level, key)
+            prior = [(s + pull * p) / (sum(said) + pull) for s, p in zip(said, prior)]
+        evidence = [x + math.log(p) for x, p in zip(own, prior)]
+        if suffix(host) is not None:
+            evidence = [
+                x + math.log((s + 1) / (max(w - y, 0) + max(len(levels[2]), 1)))
+                for x, s, w, y in zip(evidence, others(levels[2], suffix(host)), whole, share)
+            ]
+        posterior = plain_softmax(evidence)
+        best = posterior.index(max(posterior))
+        out.append((CLASSES[best], posterior[best], told and CLASSES[best] != li.OTHER and posterior[best] >= li.SURE))
+    return out
+
+
+def test_the_posterior_is_that_of_plain_python(spark, sf_dir):
+    prepare(spark)
+    docs = pd.read_parquet(f"{sf_dir}/documents.parquet").sort_values("doc_id").head(80)
+    hosts = ["a.news.fr", "b.news.fr", "www.site.com", "single", None, "x.de", "a.news.fr", "shop.site.com"]
+    rows = []
+    for i, (text, lang) in enumerate(zip(docs.text, docs.lang)):
+        declared = [lang, None, "en", "xx", lang][i % 5]  # right, none, mostly wrong, unknown
+        rows.append((text[:400] if i % 7 else ["", None, "12 34", "你好世界", "Été \U0001f600 a"][i // 7 % 5], declared, hosts[i % 8]))
+    rows += [rows[3], rows[3]]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, text string, declared string, host string")
+    got = {r["id"]: r for r in li.identify(frame.repartition(5), ["id"]).collect()}
+    expected = plain_identify(rows)
+    assert [got[i]["language"] for i in range(len(rows))] == [e[0] for e in expected]
+    assert max(abs(got[i]["posterior"] - e[1]) for i, e in enumerate(expected)) < 1e-9
+    assert [got[i]["kept"] for i in range(len(rows))] == [e[2] for e in expected]
+    assert {e[2] for e in expected} == {True, False}
+
+
+def test_languages_do_not_hang_on_the_declaration(spark):
+    """Half of the rows declare nothing, some declare a wrong language; texts alone must tell."""
+    prepare(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) >= 40")
+    wrong = F.when(F.col("lang") == "en", "fr").otherwise("en")
+    said = F.when(F.col("doc_id") % 2 == 0, None).when(F.col("doc_id") % 20 == 1, wrong).otherwise(F.col("lang"))
+    evidence = li.document_evidence(docs.withColumn("said", said), lang_col="said")
+    got = li.identify(evidence, ["id"]).join(docs.select(F.col("doc_id").alias("id"), "lang"), "id").toPandas()
+    silent, misled = got[got.id % 2 == 0], got[got.id % 20 == 1]
+    assert len(silent) > 300 and len(misled) > 30
+    assert (silent.language == silent.lang).mean() > 0.98 and (misled.language == misled.lang).mean() > 0.9
+    emptied = li.identify(evidence.withColumn("text", F.lit("")), ["id"])
+    assert emptied.where("kept").count() == 0
+
+
+# Toxicity ---------------------------------------------------------------------------------------------
+
+
+def newton(dense, above, ridge):
+    """Weights and thresholds of the summed logistic losses by Newton's method from zero."""
+    n, p = dense.shape
+    levels = above.shape[1]
+    at = np.zeros(p + levels)
+
+    def loss(x):
+        z = dense @ x[:p]
+        z = z[:, None] - x[p:]
+        return (np.logaddexp(0, z) - above * z).sum() / n + ridge / 2 * (x[:p] ** 2).sum()
+
+    for _ in range(200):
+        z = (dense @ at[:p])[:, None] - at[p:]
+        chance = 1 / (1 + np.exp(-z))
+        error, bend = (chance - above) / n, chance * (1 - chance) / n
+        slope = np.append(dense.T @ error.sum(axis=1) + ridge * at[:p], -error.sum(axis=0))
+        curve = np.zeros((p + levels,) * 2)
+        curve[:p, :p] = dense.T @ (dense * bend.sum(axis=1)[:, None]) + ridge * np.eye(p)
+        curve[:p, p:] = -dense.T @ bend
+        curve[p:, :p] = curve[:p, p:].T
+        curve[p:, p:] = np.diag(bend.sum(axis=0))
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while loss(at - size * step) > loss(at) and size > 1e-9:
+            size /= 2
+        at = at - size * step
+    return at[:p], at[p:], loss
+
+
+@pytest.mark.parametrize("seed, grades", [(1, 2), (2, 3), (3, 4)])
+def test_the_ordinal_fit_is_the_optimum(seed, grades):
+    rng = np.random.default_rng(seed)
+    n, p = 400, 6
+    held = rng.random((n, p)) < 0.4
+    severity = held @ rng.normal(0, 2, p) / np.maximum(held.sum(axis=1), 1) + rng.logistic(0, 1, n)
+    grade = np.searchsorted(np.quantile(severity, np.arange(1, grades) / grades), severity)
+    rows, columns = np.nonzero(held)
+    weights, thresholds = toxicity.fit_ordinal(rows, columns, p, grade)
+    dense = held / np.maximum(held.sum(axis=1, keepdims=True), 1)
+    best_weights, best_thresholds, loss = newton(dense, (grade[:, None] >= np.arange(1, grades)).astype(float), toxicity.RIDGE)
+    assert (np.diff(best_thresholds) > 0).all()  # so keeping them in order costs nothing
+    assert loss(np.append(weights, thresholds)) - loss(np.append(best_weights, best_thresholds)) < 1e-8
+    assert np.abs(weights - best_weights).max() < 1e-3 and np.abs(thresholds - best_thresholds).max() < 1e-3
+
+
+def plain_features(text):
+    """Words without marks at their ends, and starts of longer words, which end in a space."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(space, " ")
+    marks = toxicity.EDGES.decode()
+    found = {w.strip(marks) for w in lowered.split(" ")} - {""}
+    return found | {w[:n] + " " for w in found for n in toxicity.STARTS if n < len(w)}
+
+
+def test_features_and_severities_are_those_of_plain_python(spark, sf_dir):
+    prepare(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    texts = docs.join(labels, "doc_id").select("doc_id", "text", F.col("toxic").alias("grade"))
+    model = toxicity.fit(docs, labels, F.col("toxic"))
+    rows = texts.toPandas()
+    per_feature, positive = Counter(), Counter()
+    for text, grade in zip(rows.text, rows.grade):
+        held = plain_features(text)
+        per_feature.update(held)
+        positive.update(held if grade else ())
+    n, share = len(rows), rows.grade.mean()
+    chosen = {
+        f for f, c in per_feature.items()
+        if toxicity.LEAST_ROWS <= c <= max(toxicity.LEAST_ROWS, toxicity.MOST_SHARE * n) and c < n
+        and abs(positive[f] - c * share) > toxicity.OFF_CHANCE * math.sqrt(share * (1 - share) * c * (1 - c / n))
+    }
+    assert chosen and chosen == {f.decode() for f in model.weights}
+    weights = {f.decode(): w for f, w in model.weights.items()}
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for doc_id, text in docs.select("doc_id", "text").toPandas().itertuples(index=False):
+        held = [weights[f] for f in plain_features(text) if f in weights]
+        severity = sum(1 / (1 + math.exp(t - sum(held) / len(held))) for t in model.thresholds) if held else 0.0
+        assert abs(got[doc_id]["severity"] - severity) < 1e-9 and got[doc_id]["toxic"] == (got[doc_id]["severity"] >= toxicity.TOXIC_FROM)
