@@ -118,7 +118,17 @@ def test_languages_are_told_apart(spark, sf_dir, documents):
     assert len(mine) == len(documents) and (mine.language == mine.lang).mean() > 0.98 and mine.kept.mean() > 0.98
 
 
-def test_neighbours_are_found(spark, sf_dir):
+@pytest.mark.parametrize("sf_dir, coalesced", [("/root/testdata/sf0.001", "true"), ("/root/testdata/sf0.1", "false")])
+def test_neighbours_are_found(spark, sf_dir, coalesced):
+    # Uncoalesced, blocks that belong together must also meet in one partition.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    try:
+        check_neighbours(spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def check_neighbours(spark, sf_dir):
     rows = pd.read_parquet(f"{sf_dir}/embeddings.parquet")
     points, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
     got = result(spark, sf_dir, "op4_nearest_neighbours")

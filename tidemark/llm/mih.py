@@ -218,7 +218,8 @@ def in_block_pairs(index: DataFrame, queries: DataFrame, work: Callable, schema:
 
     def dealt(frame: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         place = F.pmod(F.xxhash64(*[c for c in ("vec_id", "vector", "code") if c in frame.columns]), F.lit(blocks))
-        return frame.select("*", place.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)).groupBy("i", "q")
+        # Both sides' block numbers are of one type, or equal ones would be shuffled apart.
+        return frame.select("*", place.cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)).groupBy("i", "q")
 
     asked = dealt(queries, "q", query_blocks, "i", index_blocks)
     return dealt(index, "i", index_blocks, "q", query_blocks).cogroup(asked).applyInArrow(work, schema)
