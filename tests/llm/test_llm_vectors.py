@@ -91,6 +91,23 @@ def test_rank_one_updates_keep_the_spectrum_of_the_scatter(seed):
     assert np.abs(whole.vectors.T @ whole.vectors - np.eye(width)).max() <= 1e-12
 
 
+@pytest.mark.parametrize("weight", [1e-10, 1e-16, 1e-20, 1e-26])
+def test_roots_beside_poles_of_little_weight(weight):
+    # 1 + weight / (p - x) + 1 / (q - x) is zero at these roots, up to squares of the weight.
+    for poles, weights, root in (([0.0, 1.0], [weight, 1.0], weight / 2), ([0.0, 1.0], [4.0, weight], -weight / 3)):
+        origin, offset = whitening.secular_roots(np.array(poles), np.array(weights))
+        near = np.flatnonzero(np.array(weights)[origin] == weight)[0]
+        assert offset[near] == pytest.approx(root, rel=max(1e-14, 4 * weight), abs=0)
+
+
+def test_an_update_with_little_weight_in_a_direction():
+    rows = np.array([[0.0, 3e5], [1e6, 1e-4]])
+    held = whitening.Spectrum.empty(2)
+    for row in rows:
+        held.update(row)
+    assert np.abs(held.vectors * held.values @ held.vectors.T - rows.T @ rows).max() <= 1e-14 * 1e12
+
+
 def test_whitening_of_awkward_rows(spark):
     rows = [(1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (None, [3.0, 1.0], 0), (2, None, 0), (3, [NAN, 1.0], 0), (4, [INF, 1.0], 0),
             (5, [None, 1.0], 0), (6, [], 0), (7, [5.0], 0), (8, [1e300, 0.0], 0)]

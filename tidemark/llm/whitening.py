@@ -48,7 +48,8 @@ def secular_roots(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, n
     """Roots of 1 + sum(weights / (poles - x)) for ascending poles and positive weights, one above each pole.
 
     Returns the nearest pole of each root and the root's distance from it, which keeps the digits that the root
-    itself would lose beside a large pole. Found by bisection in that distance, all roots at once.
+    itself would lose beside a large pole. Found by bisection in that distance, all roots at once. What is halved
+    are the distance's bits, which are in its order: beside a pole of little weight, too, all digits are right.
     """
     gaps = np.append(np.diff(poles), weights.sum())
     middle = poles + gaps / 2
@@ -57,15 +58,18 @@ def secular_roots(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, n
     upper = at_middle < 0
     upper[-1] = False
     origin = np.arange(len(poles)) + upper
-    low = np.where(upper, -gaps / 2, 0.0)
-    high = np.where(upper, 0.0, np.append(gaps[:-1] / 2, gaps[-1]))
+    sign = np.where(upper, -1.0, 1.0)
+    low = np.ones(len(poles), np.int64)
+    high = np.append(gaps[:-1] / 2, gaps[-1]).view(np.int64)
     from_origin = poles - poles[origin][:, None]
-    for _ in range(60):
-        x = (low + high) / 2
-        with np.errstate(divide="ignore", invalid="ignore"):
+    for _ in range(63):
+        half = low + (high - low) // 2
+        x = sign * half.view(np.float64)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             above = 1 + (weights / (from_origin - x[:, None])).sum(axis=1) > 0
-        low, high = np.where(above, low, x), np.where(above, x, high)
-    return origin, (low + high) / 2
+        nearer = above != upper
+        low, high = np.where(nearer, low, half), np.where(nearer, half, high)
+    return origin, sign * high.view(np.float64)
 
 
 @dataclass
